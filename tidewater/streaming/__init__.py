@@ -1,0 +1,8 @@
+"""Streaming.
+
+The warehouse this library re-expresses is a batch, full-refresh system: it
+has no streams, watermarks, event-time windows or stateful operators, so
+nothing here is needed for parity. The layer jobs in ``plans.warehouse`` are
+plain batch jobs; a file-arrival variant would wrap the same transforms in
+``readStream`` + ``foreachBatch``, which is left out on purpose.
+"""
