@@ -24,14 +24,15 @@ class LoadAudit:
     rows: list = field(default_factory=list)
 
     def run(self, layer: str, table: str, load: Callable[[], DataFrame],
-            rejects: Callable[[], int] | None = None) -> DataFrame:
-        """Run ``load`` (which writes and returns the written table), record it."""
+            rejects: Callable[[int], int] | None = None) -> DataFrame:
+        """Run ``load`` (which writes and returns the written table), record it.
+        ``rejects`` maps the written row count to the number of rejected records."""
         started = datetime.now(timezone.utc).replace(tzinfo=None)
         t0 = time.perf_counter()
         try:
             out = load()
             n = out.count()
-            bad = rejects() if rejects else 0
+            bad = rejects(n) if rejects else 0
         except Exception as exc:
             self._add(layer, table, None, None, started, t0, "failed", f"{type(exc).__name__}: {exc}")
             raise

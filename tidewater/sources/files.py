@@ -29,7 +29,10 @@ def _with_corrupt(schema: StructType) -> StructType:
 
 def _split_rejects(df: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
     good = df.where(F.col(CORRUPT).isNull()).select(*schema.fieldNames())
-    bad = df.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
+    # The rejects keep the parsed fields next to the raw line: Spark refuses
+    # scans whose only referenced column is the corrupt-record column.
+    bad = df.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"),
+                                                       *schema.fieldNames())
     return good, bad
 
 
