@@ -13,15 +13,31 @@ from pyspark.sql import functions as F
 from tidewater.functions._col import as_col
 
 # The day-first layouts accepted for "style 105" text
-# (dd-mm-yyyy with optional time), most specific first.
-DAY_FIRST_PATTERNS = ("dd-MM-yyyy HH:mm:ss", "dd-MM-yyyy HH:mm", "dd-MM-yyyy")
+# (dd-mm-yyyy with optional time), each with the shape of text it applies to.
+DAY_FIRST_PATTERNS = (
+    ("dd-MM-yyyy HH:mm:ss", r"^\d{2}-\d{2}-\d{4} \d{2}:\d{2}:\d{2}$"),
+    ("dd-MM-yyyy HH:mm", r"^\d{2}-\d{2}-\d{4} \d{2}:\d{2}$"),
+    ("dd-MM-yyyy", r"^\d{2}-\d{2}-\d{4}$"),
+)
 
 # The default (ISO-like) layouts accepted by a plain CAST.
-ISO_PATTERNS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd")
+ISO_PATTERNS = (
+    ("yyyy-MM-dd HH:mm:ss", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"),
+    ("yyyy-MM-dd HH:mm", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$"),
+    ("yyyy-MM-dd", r"^\d{4}-\d{2}-\d{2}$"),
+)
 
 
 def _try_parse(c: Column, patterns) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in patterns]).cast("timestamp_ntz")
+    """Parse with the one layout whose shape the text has. Choosing by shape
+    first matters for speed: a parse attempt that fails costs an exception
+    inside the JVM, so trying every layout in turn is several times slower.
+    Text of no known shape, or an impossible date (31-02), gives null."""
+    out = None
+    for pattern, shape in patterns:
+        parsed = F.try_to_timestamp(c, F.lit(pattern))
+        out = F.when(c.rlike(shape), parsed) if out is None else out.when(c.rlike(shape), parsed)
+    return out.cast("timestamp_ntz")
 
 
 def try_parse_day_first(c) -> Column:
@@ -32,7 +48,7 @@ def try_parse_day_first(c) -> Column:
 
 def try_parse_day_first_date(c) -> Column:
     """``TRY_CONVERT(DATE, LEFT(s, 10), 105)``."""
-    return F.try_to_timestamp(F.left(as_col(c), F.lit(10)), F.lit("dd-MM-yyyy")).cast("date")
+    return _try_parse(F.left(as_col(c), F.lit(10)), DAY_FIRST_PATTERNS[2:]).cast("date")
 
 
 def try_parse_timestamp(c) -> Column:

@@ -26,6 +26,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     or all descending when ``descending``). Columns and their order are kept."""
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
+    if len(order) == 1 and not rest:
+        # Only the order column is carried: a plain min/max, which for a
+        # fixed-width type runs as a hash aggregate instead of a sort aggregate.
+        pick = F.max(order[0]) if descending else F.min(order[0])
+        return df.groupBy(*keys).agg(pick.alias(order[0])).select(*df.columns)
     packed = F.struct(*[F.col(c) for c in order + rest])
     pick = F.max(packed) if descending else F.min(packed)
     out = df.groupBy(*keys).agg(pick.alias("_tw_first"))

@@ -3,6 +3,10 @@
 ``ROW_NUMBER() OVER (ORDER BY k)`` with no PARTITION BY makes Spark gather every
 row into one task (``Exchange SinglePartition``). Here instead:
 
+0. (default) write the input once as a table, so that the range bounds are
+   sampled from, and the rows numbered from, one materialised result rather
+   than two evaluations of an expensive upstream plan (sampling runs the
+   input once, the shuffle a second time);
 1. range-partition on the order keys and sort inside each partition, so the
    partitions are ordered and each is sorted;
 2. tag each row with ``monotonically_increasing_id`` (partition id in the upper
@@ -37,13 +41,19 @@ def _order_cols(order: Sequence) -> list[Column]:
 
 
 def global_row_number(df: DataFrame, order: Sequence, out_col: str,
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, stage_input: bool = True) -> DataFrame:
     """``df`` plus ``out_col`` = 1..N following ``order`` (E6). Eager: stages the
-    ranked rows as a parquet table and returns a frame reading it."""
+    ranked rows as a parquet table and returns a frame reading it. Pass
+    ``stage_input=False`` when ``df`` is already a cheap scan."""
     spark = df.sparkSession
     order = _order_cols(order)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *order)
+    source = df
+    if stage_input:
+        path_in = staging_path(spark, f"rownum-input-{out_col}")
+        df.write.mode("overwrite").parquet(path_in)
+        source = spark.read.parquet(path_in)
+    tagged = (source.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)
                 .withColumn("_tw_mid", F.monotonically_increasing_id()))
     path = staging_path(spark, f"rownum-{out_col}")
