@@ -25,3 +25,17 @@ def join_lookup(left: DataFrame, lookup: DataFrame, on, how: str = "left",
     ``max_rows`` rows (checked), otherwise a shuffled join."""
     side = F.broadcast(lookup) if fits_rows(lookup, max_rows) else lookup
     return left.join(side, on, how)
+
+
+def left_join_null_keys_aside(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` where many left rows may have a
+    null key. A null key never matches, but a hash shuffle still sends every
+    null-keyed row to the same reducer; if a third of the rows are null that
+    one task does a third of the work. The null-keyed rows therefore skip the
+    join and get null right-side columns; only the others are shuffled."""
+    extra = [c for c in right.columns if c != key]
+    nulls = left.where(F.col(key).isNull()).select(
+        *left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra])
+    matched = left.where(F.col(key).isNotNull()).join(right, key, "left") \
+        .select(*left.columns, *extra)
+    return matched.unionByName(nulls)

@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import prefixed_key
-from tidewater.operators import global_row_number, join_lookup, keep_first
+from tidewater.operators import (global_row_number, join_lookup, keep_first,
+                                 left_join_null_keys_aside)
 
-# Bound for broadcasting the category translation lookup (checked at run time).
+# Bounds for broadcasting lookups (checked at run time, shuffled join beyond).
 TRANSLATION_BROADCAST_ROWS = 100_000
+GEOLOCATION_BROADCAST_ROWS = 1_000_000
 
 
 def _keyed(df: DataFrame, key: str, order, keyed: bool) -> DataFrame:
@@ -48,7 +50,10 @@ def dim_seller(wh, keyed: bool = True) -> DataFrame:
     """Sellers with the first coordinate of their zip prefix."""
     s = wh.silver("prd_seller_details")
     g = first_geolocation(wh)
-    d = s.join(g, s.seller_zip_code_prefix == g.geolocation_zip_code_prefix, "left") \
+    # one row per zip prefix: broadcast when the zip domain is small (checked),
+    # which also keeps a zip shared by many sellers off a single reducer
+    d = join_lookup(s, g, s.seller_zip_code_prefix == g.geolocation_zip_code_prefix, "left",
+                    max_rows=GEOLOCATION_BROADCAST_ROWS) \
          .select("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state",
                  "geolocation_lat", "geolocation_lng")
     return _keyed(d, "seller_key", ["seller_id"], keyed)
@@ -102,8 +107,8 @@ def fact_sales(wh, keyed: bool = True) -> DataFrame:
     ci = wh.silver("crm_cust_info").select("customer_id", "customer_unique_id")
     j = (od.join(order_item_totals(wh), "order_id", "left")
            .join(order_payment_totals(wh), "order_id", "left")
-           .join(rv, "order_id", "left")
-           .join(ci, "customer_id", "left"))
+           .join(rv, "order_id", "left"))
+    j = left_join_null_keys_aside(j, ci, "customer_id")
     f = j.select(
         "order_id", "customer_unique_id", "order_status", "order_purchase_timestamp",
         "order_approved_at", "shipping_limit_date", "order_delivered_carrier_date",
@@ -135,11 +140,12 @@ def fact_sales_items(wh, keyed: bool = True) -> DataFrame:
     dc = dim_customer(wh, keyed=True).select("customer_unique_id", "customer_key")
     dp = wh.silver("prd_item_details").select(F.col("product_id").alias("_tw_pid"))
     ds = wh.silver("prd_seller_details").select(F.col("seller_id").alias("_tw_sid"))
-    j = (oi.join(od, "order_id", "left")
-           .join(ci, "customer_id", "left")
-           .join(dc, "customer_unique_id", "left")
-           .join(dp, oi.product_id == dp._tw_pid, "left")
-           .join(ds, oi.seller_id == ds._tw_sid, "left"))
+    # items without an order, orders without a customer give null keys; keep
+    # those rows off a single reducer
+    j = left_join_null_keys_aside(oi.join(od, "order_id", "left"), ci, "customer_id")
+    j = left_join_null_keys_aside(j, dc, "customer_unique_id")
+    j = (j.join(dp, j.product_id == dp._tw_pid, "left")
+          .join(ds, j.seller_id == ds._tw_sid, "left"))
     f = j.select(
         "order_id", "order_item_id",
         prefixed_key("CUST", F.col("customer_key")).alias("customer_key"),
