@@ -149,3 +149,24 @@ def load_silver(spark: SparkSession, bronze_root: str, silver_root: str,
                   lambda name=name, transform=transform: overwrite_table(
                       transform(bronze.bronze(name)), f"{silver_root}/{name}"))
     return audit
+
+
+GOLD_MODELS = ("dim_customer", "dim_seller", "dim_products", "fact_sales", "fact_sales_items")
+
+
+def build_gold(spark: SparkSession, silver_root: str, gold_root: str,
+               audit: LoadAudit | None = None, views: bool = True) -> LoadAudit:
+    """Materialise the gold models from silver tables (A7, ledger L12: the
+    surrogate keys are fixed per build instead of shifting on every read),
+    and publish each as a temp view ``gold_<model>``. The v2 dimensions are
+    the v1 ones (J5-J7)."""
+    from tidewater.plans import gold  # local: gold imports operators that stage under the session
+
+    audit = audit or LoadAudit()
+    layer = MaterializedLayer(spark, silver_root)
+    for model in GOLD_MODELS:
+        out = audit.run("gold", model, lambda model=model: overwrite_table(
+            getattr(gold, model)(layer), f"{gold_root}/{model}"))
+        if views:
+            out.createOrReplaceTempView(f"gold_{model}")
+    return audit
