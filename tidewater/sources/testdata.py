@@ -20,6 +20,22 @@ TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
 
+# Declared schemas of the test tables this library reads: a declared schema
+# skips the footer-reading job that schema inference runs on every read.
+TEST_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
 DAY_FIRST_OUT = "dd-MM-yyyy HH:mm"
 ISO_TS_OUT = "yyyy-MM-dd HH:mm:ss"
 ISO_DATE_OUT = "yyyy-MM-dd"
@@ -33,14 +49,17 @@ def spread_thin(df: DataFrame, splits: int) -> DataFrame:
     parallelism (a small file with one row group is read by one task) over
     all cores. On large inputs the scan already has enough splits and this is
     a no-op; on thin ones it costs one small shuffle and buys parallel
-    map-side work (parsing, formatting, partial aggregation)."""
+    map-side work (parsing, formatting, partial aggregation). Hashing on the
+    leading (key) column keeps the spread deterministic without the local
+    sort a round-robin repartition needs, and lets column pruning pass."""
     parallelism = df.sparkSession.sparkContext.defaultParallelism
-    return df if splits >= parallelism else df.repartition(parallelism)
+    return df if splits >= parallelism else df.repartition(parallelism, df.columns[0])
 
 
 def read_test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
+    reader = spark.read.schema(TEST_SCHEMAS[name]) if name in TEST_SCHEMAS else spark.read
+    df = reader.parquet(path)
     if path not in _SCAN_SPLITS:   # planning only, no job; once per table
         _SCAN_SPLITS[path] = df.rdd.getNumPartitions()
     return spread_thin(df, _SCAN_SPLITS[path])
