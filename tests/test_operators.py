@@ -74,3 +74,16 @@ def test_ntile_bucket_sizes_differ_by_at_most_one(spark):
         .groupBy("b").count().collect()
     sizes = sorted(r["count"] for r in b)
     assert len(sizes) == 10 and sizes[-1] - sizes[0] <= 1
+
+
+def test_salted_left_join_equals_plain_left_join(spark):
+    from tidewater.operators import left_join_spread_null_keys
+    left = spark.createDataFrame([(i, None if i % 3 else f"k{i % 5}") for i in range(300)],
+                                 "id int, k string")
+    right = spark.createDataFrame([(f"k{i}", i) for i in range(4)] + [(None, 99)], "k string, v int")
+    ours = left_join_spread_null_keys(left, right, "k", buckets=16)
+    plain = left.join(right, "k", "left")
+    assert sorted(map(tuple, ours.select("id", "k", "v").collect()), key=str) == \
+        sorted(map(tuple, plain.select("id", "k", "v").collect()), key=str)
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    assert "_tw_salt" in plan.split("Join")[1].split("\n")[0]   # salt is a join key

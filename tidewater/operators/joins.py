@@ -27,15 +27,24 @@ def join_lookup(left: DataFrame, lookup: DataFrame, on, how: str = "left",
     return left.join(side, on, how)
 
 
-def left_join_null_keys_aside(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def left_join_spread_null_keys(left: DataFrame, right: DataFrame, key: str,
+                               buckets: int | None = None) -> DataFrame:
     """``left LEFT JOIN right USING (key)`` where many left rows may have a
     null key. A null key never matches, but a hash shuffle still sends every
     null-keyed row to the same reducer; if a third of the rows are null that
-    one task does a third of the work. The null-keyed rows therefore skip the
-    join and get null right-side columns; only the others are shuffled."""
-    extra = [c for c in right.columns if c != key]
-    nulls = left.where(F.col(key).isNull()).select(
-        *left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra])
-    matched = left.where(F.col(key).isNotNull()).join(right, key, "left") \
-        .select(*left.columns, *extra)
-    return matched.unionByName(nulls)
+    one task does a third of the work. Both sides are joined on (key, salt):
+    right rows and non-null left rows carry salt 0, null-keyed left rows a
+    deterministic salt from a hash of the row, so they spread over
+    ``buckets`` reducers and still match nothing. One evaluation of each
+    side, no extra shuffle."""
+    n = buckets or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.when(F.col(key).isNull(),
+                  F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(n))) \
+            .otherwise(F.lit(0)).cast("long")
+    # 0 for every right row that can match; written as an expression rather
+    # than a literal, which the optimizer would fold into a join filter and
+    # drop from the shuffle keys
+    right_salt = F.when(F.col(key).isNotNull(), F.lit(0)).cast("long")
+    out = left.withColumn("_tw_salt", salt).join(
+        right.withColumn("_tw_salt", right_salt), [key, "_tw_salt"], "left")
+    return out.drop("_tw_salt")
