@@ -28,18 +28,20 @@ def join_lookup(left: DataFrame, lookup: DataFrame, on, how: str = "left",
 
 
 def left_join_spread_null_keys(left: DataFrame, right: DataFrame, key: str,
-                               buckets: int | None = None) -> DataFrame:
+                               buckets: int | None = None, salt_from: str | None = None) -> DataFrame:
     """``left LEFT JOIN right USING (key)`` where many left rows may have a
     null key. A null key never matches, but a hash shuffle still sends every
     null-keyed row to the same reducer; if a third of the rows are null that
     one task does a third of the work. Both sides are joined on (key, salt):
     right rows and non-null left rows carry salt 0, null-keyed left rows a
-    deterministic salt from a hash of the row, so they spread over
-    ``buckets`` reducers and still match nothing. One evaluation of each
-    side, no extra shuffle."""
+    deterministic salt from a hash of one column (``salt_from``, by default
+    the first; a row id spreads best), so they spread over ``buckets``
+    reducers and still match nothing. One evaluation of each side, no extra
+    shuffle. Hashing a single column keeps column pruning and join
+    elimination working for the columns a query does not use."""
     n = buckets or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.when(F.col(key).isNull(),
-                  F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(n))) \
+                  F.pmod(F.xxhash64(F.col(salt_from or left.columns[0])), F.lit(n))) \
             .otherwise(F.lit(0)).cast("long")
     # 0 for every right row that can match; written as an expression rather
     # than a literal, which the optimizer would fold into a join filter and

@@ -108,7 +108,7 @@ def fact_sales(wh, keyed: bool = True) -> DataFrame:
     j = (od.join(order_item_totals(wh), "order_id", "left")
            .join(order_payment_totals(wh), "order_id", "left")
            .join(rv, "order_id", "left"))
-    j = left_join_spread_null_keys(j, ci, "customer_id")
+    j = left_join_spread_null_keys(j, ci, "customer_id", salt_from="order_id")
     f = j.select(
         "order_id", "customer_unique_id", "order_status", "order_purchase_timestamp",
         "order_approved_at", "shipping_limit_date", "order_delivered_carrier_date",
@@ -142,8 +142,9 @@ def fact_sales_items(wh, keyed: bool = True) -> DataFrame:
     ds = wh.silver("prd_seller_details").select(F.col("seller_id").alias("_tw_sid"))
     # items without an order, orders without a customer give null keys; keep
     # those rows off a single reducer
-    j = left_join_spread_null_keys(oi.join(od, "order_id", "left"), ci, "customer_id")
-    j = left_join_spread_null_keys(j, dc, "customer_unique_id")
+    j = left_join_spread_null_keys(oi.join(od, "order_id", "left"), ci, "customer_id",
+                                   salt_from="order_id")
+    j = left_join_spread_null_keys(j, dc, "customer_unique_id", salt_from="order_id")
     j = (j.join(dp, j.product_id == dp._tw_pid, "left")
           .join(ds, j.seller_id == ds._tw_sid, "left"))
     f = j.select(
