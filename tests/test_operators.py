@@ -87,3 +87,25 @@ def test_salted_left_join_equals_plain_left_join(spark):
         sorted(map(tuple, plain.select("id", "k", "v").collect()), key=str)
     plan = ours._jdf.queryExecution().executedPlan().toString()
     assert "_tw_salt" in plan.split("Join")[1].split("\n")[0]   # salt is a join key
+
+
+def test_row_number_and_ntile_property(spark):
+    from hypothesis import given, settings, strategies as st
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.tuples(st.integers(-5, 5), st.one_of(st.none(), st.sampled_from("abc"))),
+                    min_size=0, max_size=60),
+           st.integers(1, 6), st.integers(1, 12))
+    def check(rows, parts, buckets):
+        df = spark.createDataFrame([(v, g, i) for i, (v, g) in enumerate(rows)],
+                                   "v int, g string, id int")
+        order = [F.col("v").desc(), F.col("g").asc_nulls_first(), F.col("id")]
+        ours = global_ntile(global_row_number(df, order, "rn", num_partitions=parts,
+                                              stage_input=False),
+                            order, buckets, "b", num_partitions=parts)
+        w = Window.orderBy(*order)
+        ref = df.withColumn("rn", F.row_number().over(w)).withColumn("b", F.ntile(buckets).over(w))
+        assert sorted(map(tuple, ours.select("id", "rn", "b").collect())) == \
+            sorted(map(tuple, ref.select("id", "rn", "b").collect()))
+
+    check()

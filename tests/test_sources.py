@@ -69,3 +69,16 @@ def test_raw_lines_drop_header_by_text(spark):
     _write(f"{root}/s/part.txt", b"h1,h2\n1,2,c,S\n")
     assert [r.value for r in read_raw_lines(spark, f"{root}/s", header="h1,h2").collect()] == \
         ["1,2,c,S"]
+
+
+def test_audit_records_then_raises_over_reject_limit(spark):
+    import pytest
+    from tidewater.sources.audit import LoadAudit, RejectLimitExceeded
+    audit = LoadAudit()
+    df = spark.createDataFrame([(1,)], "x int")
+    audit.run("bronze", "ok_table", lambda: df, rejects=lambda n: 0, max_rejects=0)
+    with pytest.raises(RejectLimitExceeded):
+        audit.run("bronze", "bad_table", lambda: df, rejects=lambda n: 3, max_rejects=2)
+    rows = {r.table_name: r for r in audit.to_df(spark).collect()}
+    assert rows["ok_table"].status == "ok" and rows["bad_table"].status == "failed"
+    assert "3 rejected" in rows["bad_table"].error

@@ -127,15 +127,18 @@ def source_records(spark: SparkSession, src_root: str, name: str) -> int:
 
 
 def load_bronze(spark: SparkSession, src_root: str, bronze_root: str,
-                audit: LoadAudit | None = None) -> LoadAudit:
-    """A11 ``load_bronze``: every source file -> bronze parquet, full refresh."""
+                audit: LoadAudit | None = None, max_rejects: int | None = None) -> LoadAudit:
+    """A11 ``load_bronze``: every source file -> bronze parquet, full refresh.
+    Malformed records are counted as rejects; more than ``max_rejects`` in one
+    table fails the batch after recording it (no limit by default)."""
     audit = audit or LoadAudit()
     for name in BRONZE:
         rows, _rejects = read_source(spark, src_root, name)
         audit.run("bronze", name,
                   lambda rows=rows, name=name: overwrite_table(rows, f"{bronze_root}/{name}",
                                                                BRONZE[name].fieldNames()),
-                  rejects=lambda n, name=name: source_records(spark, src_root, name) - n)
+                  rejects=lambda n, name=name: source_records(spark, src_root, name) - n,
+                  max_rejects=max_rejects)
     return audit
 
 

@@ -19,20 +19,29 @@ AUDIT_SCHEMA = ("layer string, table_name string, row_count long, rejected long,
                 "status string, error string")
 
 
+class RejectLimitExceeded(RuntimeError):
+    pass
+
+
 @dataclass
 class LoadAudit:
     rows: list = field(default_factory=list)
 
     def run(self, layer: str, table: str, load: Callable[[], DataFrame],
-            rejects: Callable[[int], int] | None = None) -> DataFrame:
+            rejects: Callable[[int], int] | None = None,
+            max_rejects: int | None = None) -> DataFrame:
         """Run ``load`` (which writes and returns the written table), record it.
-        ``rejects`` maps the written row count to the number of rejected records."""
+        ``rejects`` maps the written row count to the number of rejected
+        records; more than ``max_rejects`` of them fails the load (recorded,
+        then raised), like a bulk load's error limit (ledger L27)."""
         started = datetime.now(timezone.utc).replace(tzinfo=None)
         t0 = time.perf_counter()
         try:
             out = load()
             n = out.count()
             bad = rejects(n) if rejects else 0
+            if max_rejects is not None and bad > max_rejects:
+                raise RejectLimitExceeded(f"{layer}.{table}: {bad} rejected records > {max_rejects}")
         except Exception as exc:
             self._add(layer, table, None, None, started, t0, "failed", f"{type(exc).__name__}: {exc}")
             raise
