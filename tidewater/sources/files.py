@@ -40,8 +40,10 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType,
                    sep: str = ",") -> tuple[DataFrame, DataFrame]:
     """Header-skipping delimited load with quoting turned off (A1). Returns
     (rows, rejects); a line whose fields do not fit the schema is a reject.
-    Spark refuses to count the rejects straight from the file (the corrupt
-    column alone); cache or write them first, or count records and rows.
+    Spark refuses a query on the file whose only column is the corrupt-record
+    column (``rows.count()``, ``rejects.count()``): land the rows first
+    (``overwrite_table``, as ``load_bronze`` does), cache them, or count
+    records and rows separately.
     The default line separator drops a CR of CRLF files and a leading BOM."""
     df = (spark.read.schema(_with_corrupt(schema))
           .option("header", True).option("sep", sep).option("quote", "")
