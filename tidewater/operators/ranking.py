@@ -53,6 +53,11 @@ def global_row_number(df: DataFrame, order: Sequence, out_col: str,
         path_in = staging_path(spark, f"rownum-input-{out_col}")
         df.write.mode("overwrite").parquet(path_in)
         source = spark.read.parquet(path_in)
+        if num_partitions is None:
+            # at least one range partition per input split (~128 MB each), so
+            # partitions stay bounded in size however large the input grows;
+            # a plain scan, so counting its splits plans without running a job
+            n = max(n, source.rdd.getNumPartitions())
     tagged = (source.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)
                 .withColumn("_tw_mid", F.monotonically_increasing_id()))

@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions import day_diff, int_avg, pct
+from tidewater.functions import day_diff, int_avg, pct, round_avg
 from tidewater.operators import global_ntile, percent_of_total
 from tidewater.plans import gold
 from tidewater.plans.eda import orders_per_customer
@@ -156,6 +156,6 @@ def installment_analysis(wh) -> DataFrame:
            .otherwise("Single Payment")
     return f.groupBy(cat.alias("payment_category")).agg(
         F.count(F.lit(1)).alias("total_orders"),
-        _dbl(F.round(F.avg("total_price"), 2), "average_order_value"),
-        _dbl(F.round(F.avg("total_payment_value"), 2), "average_payment_value")) \
+        _dbl(round_avg("total_price"), "average_order_value"),
+        _dbl(round_avg("total_payment_value"), "average_payment_value")) \
         .orderBy(F.desc("average_order_value"))

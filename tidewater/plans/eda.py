@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions import day_diff, int_avg
+from tidewater.functions import day_diff, int_avg, round_avg
 from tidewater.plans import gold
 
 
@@ -86,7 +86,7 @@ def monthly_orders(wh) -> DataFrame:
 def average_order_value(wh) -> DataFrame:
     """K10"""
     return gold.fact_sales(wh, keyed=False).agg(
-        _money(F.round(F.avg("total_price"), 2), "average_order_value"))
+        _money(round_avg("total_price"), "average_order_value"))
 
 
 def orders_by_status(wh) -> DataFrame:
@@ -105,8 +105,8 @@ def avg_delivery_days(wh) -> DataFrame:
 def avg_freight_and_order_value(wh) -> DataFrame:
     """K13"""
     return gold.fact_sales(wh, keyed=False).agg(
-        _money(F.round(F.avg("total_freight_value"), 2), "avg_freight"),
-        _money(F.round(F.avg("total_price"), 2), "avg_order_value"))
+        _money(round_avg("total_freight_value"), "avg_freight"),
+        _money(round_avg("total_price"), "avg_order_value"))
 
 
 def items_per_product(wh) -> DataFrame:

@@ -89,14 +89,6 @@ def order_payment_totals(wh) -> DataFrame:
         F.sum("payment_value").alias("total_payment_value"))
 
 
-FACT_COLUMNS = ("order_id", "customer_unique_id", "order_status", "order_purchase_timestamp",
-                "order_approved_at", "shipping_limit_date", "order_delivered_carrier_date",
-                "order_delivered_customer_date", "order_estimated_delivery_date", "total_items",
-                "total_price", "total_freight_value", "payment_count",
-                "total_payment_installments", "total_payment_value", "review_id",
-                "review_score", "review_creation_date", "review_answer_date")
-
-
 def fact_sales(wh, keyed: bool = True) -> DataFrame:
     """One row per order. All children are keyed on order_id, so the
     aggregates come out hash-partitioned on it and the order-side joins reuse
