@@ -189,27 +189,55 @@ def violations(check: Check, df: DataFrame) -> DataFrame:
     return df.where(row_condition(check))
 
 
+def _stack(counts: DataFrame, chs: list[Check]) -> DataFrame:
+    """One-row frame of per-check counts -> one (check_id, violations) row each."""
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(ch.check_id).alias("check_id"), F.col(ch.check_id).cast("long")
+                 .alias("violations")) for ch in chs])).alias("r")).select("r.check_id", "r.violations")
+
+
+def _group_condition(check: Check) -> Column:
+    """On a (group, _tw_n) row: does this group violate the check?"""
+    if check.kind == "domain":
+        return F.lit(True)
+    cond = F.col("_tw_n") > 1
+    if check.kind == "duplicate_or_null":
+        cond = cond | _any([F.col(c).isNull() for c in check.columns])
+    return cond
+
+
+def _group_pass(df: DataFrame, group: Check, riders: list[Check]) -> DataFrame:
+    """One grouped aggregate for a group-level check; the table's row-level
+    checks ride along as sums of per-row flags, so the table is evaluated once
+    for all of them (partial aggregation keeps the flags' cost map-side)."""
+    flags = [F.sum(F.when(row_condition(ch), 1).otherwise(0)).alias(ch.check_id) for ch in riders]
+    groups = df.groupBy(*group.columns).agg(F.count(F.lit(1)).alias("_tw_n"), *flags)
+    counts = groups.agg(F.count_if(_group_condition(group)).alias(group.check_id),
+                        *[F.coalesce(F.sum(ch.check_id), F.lit(0)).alias(ch.check_id)
+                          for ch in riders])
+    return _stack(counts, [group] + riders)
+
+
 def run_suite(wh, checks=CHECKS, layers=("bronze", "silver")) -> DataFrame:
     """One row per check: check_id, layer, table_name, kind, columns,
-    violations, expect_zero, passed."""
+    violations, expect_zero, passed. Per table: one grouped aggregate per
+    group-level check (duplicates, profiles, domains), the row-level checks
+    (nulls, blanks, quotes, dates, ranges, lookups) counted inside the first of
+    them, or in one plain aggregate when the table has no group-level check."""
     parts: list[DataFrame] = []
-    row_checks: dict[tuple, list[Check]] = {}
+    by_table: dict[tuple, tuple[list, list]] = {}
     for ch in checks:
-        if ch.layer not in layers:
-            continue
-        if ch.kind in ROW_KINDS:
-            row_checks.setdefault((ch.layer, ch.table), []).append(ch)
-        else:
-            df = getattr(wh, ch.layer)(ch.table)
-            parts.append(violations(ch, df).agg(F.count(F.lit(1)).alias("violations"))
-                         .select(F.lit(ch.check_id).alias("check_id"), "violations"))
-    for (layer, table), chs in row_checks.items():
+        if ch.layer in layers:
+            rows, groups = by_table.setdefault((ch.layer, ch.table), ([], []))
+            (rows if ch.kind in ROW_KINDS else groups).append(ch)
+    for (layer, table), (row_chs, group_chs) in by_table.items():
         df = getattr(wh, layer)(table)
-        counts = df.agg(*[F.count_if(row_condition(ch)).alias(ch.check_id) for ch in chs])
-        stacked = counts.select(F.explode(F.array(*[
-            F.struct(F.lit(ch.check_id).alias("check_id"), F.col(ch.check_id).alias("violations"))
-            for ch in chs])).alias("r")).select("r.check_id", "r.violations")
-        parts.append(stacked)
+        if group_chs:
+            parts.append(_group_pass(df, group_chs[0], row_chs))
+            parts += [_group_pass(df, g, []) for g in group_chs[1:]]
+        else:
+            counts = df.agg(*[F.count_if(row_condition(ch)).alias(ch.check_id) for ch in row_chs])
+            parts.append(_stack(counts, row_chs))
     counts = reduce(DataFrame.unionByName, parts)
     meta = wh.spark.createDataFrame(
         [(c.check_id, c.layer, c.table, c.kind, ",".join(c.columns), c.expect_zero)
