@@ -166,10 +166,22 @@ def build_gold(spark: SparkSession, silver_root: str, gold_root: str,
     from tidewater.plans import gold  # local: gold imports operators that stage under the session
 
     audit = audit or LoadAudit()
-    layer = MaterializedLayer(spark, silver_root)
-    for model in GOLD_MODELS:
+    layer = GoldBuild(spark, silver_root, gold_root)
+    for model in GOLD_MODELS:   # dimensions first: the item fact reuses dim_customer
         out = audit.run("gold", model, lambda model=model: overwrite_table(
             getattr(gold, model)(layer), f"{gold_root}/{model}"))
+        layer.built.add(model)
         if views:
             out.createOrReplaceTempView(f"gold_{model}")
     return audit
+
+
+class GoldBuild(MaterializedLayer):
+    """Silver tables plus the gold models built so far."""
+
+    def __init__(self, spark: SparkSession, silver_root: str, gold_root: str):
+        super().__init__(spark, silver_root)
+        self.gold_root, self.built = gold_root.rstrip("/"), set()
+
+    def gold_table(self, name: str) -> DataFrame | None:
+        return self.spark.read.parquet(f"{self.gold_root}/{name}") if name in self.built else None
