@@ -7,7 +7,7 @@ from __spark_entry__ import queries
 from tidewater.plans import advanced, eda
 from tidewater.plans.registry import present
 from tidewater.plans.warehouse import (LoadAudit, MaterializedLayer, Warehouse, build_gold,
-                                       export_sources, load_bronze, load_silver)
+                                       export_sources, load_bronze, load_silver, register_catalog)
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,3 +48,11 @@ def test_pipeline_end_to_end(spark):
     n_keys = dims.selectExpr("concat('CUST', cast(customer_key AS string)) AS customer_key") \
         .join(built.select("customer_key").distinct(), "customer_key").count()
     assert n_keys == built.select("customer_key").distinct().count()
+
+    # the source's own SQL names work once the layers are registered
+    register_catalog(spark, bronze, silver, gold)
+    assert spark.sql("SELECT COUNT(*) AS total_orders FROM gold.fact_sales").first()[0] == \
+        q["k1_total_orders"](spark, SF).first()[0]
+    assert spark.sql("SELECT COUNT(*) FROM gold_v2.fact_sales").first()[0] == \
+        spark.read.parquet(f"{gold}/fact_sales_items").count()
+    assert spark.sql("SELECT COUNT(*) FROM silver.crm_cust_reviews").first()[0] > 0

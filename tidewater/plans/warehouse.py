@@ -185,3 +185,30 @@ class GoldBuild(MaterializedLayer):
 
     def gold_table(self, name: str) -> DataFrame | None:
         return self.spark.read.parquet(f"{self.gold_root}/{name}") if name in self.built else None
+
+
+# The gold_v2 names of the source and the models they map to
+# (v2 shares the v1 dimensions; its fact is the item-grain one).
+GOLD_V2_VIEWS = {"dim_customer": "dim_customer", "dim_seller": "dim_seller",
+                 "dim_products": "dim_products", "fact_sales": "fact_sales_items"}
+
+
+def register_catalog(spark: SparkSession, bronze_root: str, silver_root: str,
+                     gold_root: str) -> None:
+    """Layer namespaces (A8) and published tables (A7): ``bronze``,
+    ``silver`` and ``gold`` databases with the written parquet folders as
+    external tables, and ``gold_v2`` views, so that SQL written against the
+    source's schema names (``SELECT COUNT(*) FROM gold.fact_sales``) runs
+    unchanged through ``spark.sql``. Nothing is copied."""
+    from tidewater.schemas import BRONZE as tables
+
+    layers = {"bronze": (bronze_root, tables), "silver": (silver_root, tables),
+              "gold": (gold_root, GOLD_MODELS)}
+    for db, (root, names) in layers.items():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root.rstrip('/')}'")
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
+            spark.sql(f"CREATE TABLE {db}.{name} USING parquet LOCATION '{root.rstrip('/')}/{name}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS gold_v2 LOCATION '{gold_root.rstrip('/')}/_v2'")
+    for view, model in GOLD_V2_VIEWS.items():
+        spark.sql(f"CREATE OR REPLACE VIEW gold_v2.{view} AS SELECT * FROM gold.{model}")

@@ -14,7 +14,7 @@ import argparse
 
 from tidewater.plans import advanced, eda, quality
 from tidewater.plans.warehouse import (LoadAudit, MaterializedLayer, Warehouse, build_gold,
-                                       export_sources, load_bronze, load_silver)
+                                       export_sources, load_bronze, load_silver, register_catalog)
 from tidewater.session import build_session
 
 REPORTS = {
@@ -61,6 +61,7 @@ def main(argv=None) -> None:
     load_bronze(spark, src, bronze, audit)
     load_silver(spark, bronze, silver, audit)
     build_gold(spark, silver, gold_root, audit)
+    register_catalog(spark, bronze, silver, gold_root)   # bronze.*, silver.*, gold.*, gold_v2.*
     layers = _Layers(spark, bronze, silver, gold_root)
     for name, fn in REPORTS.items():
         audit.run("report", name, lambda fn=fn, name=name: _write(fn(layers), f"{out}/reports/{name}"))
