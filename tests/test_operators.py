@@ -109,3 +109,20 @@ def test_row_number_and_ntile_property(spark):
             sorted(map(tuple, ref.select("id", "rn", "b").collect()))
 
     check()
+
+
+def test_split_hot_keys_join_equals_plain_left_join(spark):
+    from tidewater.operators import left_join_split_hot_keys
+    rows = [(i, "hot" if i % 3 else f"k{i % 7}") for i in range(3000)] + [(5000 + i, None) for i in range(50)]
+    left = spark.createDataFrame(rows, "id int, k string")
+    right = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3), ("k3", 4)], "k string, v int")
+    ours = left_join_split_hot_keys(left, right, "k", salt_from="id", salts=8, min_hot_rows=10,
+                                    partitions=16)
+    plain = left.join(right, "k", "left")
+    assert ours.count() == plain.count()
+    assert sorted(map(tuple, ours.select("id", "k", "v").collect()), key=str) == \
+        sorted(map(tuple, plain.select("id", "k", "v").collect()), key=str)
+    salted = left_join_split_hot_keys(left, right, "k", salt_from="id", salts=8, min_hot_rows=10,
+                                      partitions=16)
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "_tw_salt" in plan

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import prefixed_key
 from tidewater.operators import (global_row_number, join_lookup, keep_first,
-                                 left_join_spread_null_keys)
+                                 left_join_split_hot_keys, left_join_spread_null_keys)
 
 # Bounds for broadcasting lookups (checked at run time, shuffled join beyond).
 TRANSLATION_BROADCAST_ROWS = 100_000
@@ -158,11 +158,16 @@ def fact_sales_items(wh, keyed: bool = True) -> DataFrame:
     dc = dim_customer(wh, keyed=True).select("customer_unique_id", "customer_key")
     dp = wh.silver("prd_item_details").select(F.col("product_id").alias("_tw_pid"))
     ds = wh.silver("prd_seller_details").select(F.col("seller_id").alias("_tw_sid"))
-    # items without an order, orders without a customer give null keys; keep
-    # those rows off a single reducer
-    j = left_join_spread_null_keys(oi.join(od, "order_id", "left"), ci, "customer_id",
-                                   salt_from="order_id")
-    j = left_join_spread_null_keys(j, dc, "customer_unique_id", salt_from="order_id")
+    # The customer mapping is done at order grain, then joined to the items
+    # once. Same result as chaining every join at item grain (each join's
+    # condition uses only the table before it, so the left joins associate),
+    # but the customer joins see one row per order, and a customer with a
+    # huge share of the items is no longer a hot key at item grain.
+    orders = left_join_spread_null_keys(od, ci, "customer_id", salt_from="order_id")
+    orders = left_join_spread_null_keys(orders, dc, "customer_unique_id", salt_from="order_id") \
+        .drop("customer_id", "customer_unique_id")
+    # an order holding a large share of all items is split over many reducers
+    j = left_join_split_hot_keys(oi, orders, "order_id", salt_from="order_item_id")
     j = (j.join(dp, j.product_id == dp._tw_pid, "left")
           .join(ds, j.seller_id == ds._tw_sid, "left"))
     f = j.select(
