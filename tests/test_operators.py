@@ -126,3 +126,12 @@ def test_split_hot_keys_join_equals_plain_left_join(spark):
                                       partitions=16)
     plan = salted._jdf.queryExecution().executedPlan().toString()
     assert "_tw_salt" in plan
+
+
+def test_hot_keys_one_pass(spark):
+    from tidewater.operators import hot_keys
+    rows = [(i % 2 and "A" or f"o{i}", "P" if i % 3 else f"p{i}") for i in range(600)]
+    df = spark.createDataFrame(rows, "o string, p string")
+    hot = hot_keys(df, ["o", "p"], partitions=16, min_hot_rows=10)
+    assert [r.o for r in hot["o"].collect()] == ["A"]
+    assert [r.p for r in hot["p"].collect()] == ["P"]

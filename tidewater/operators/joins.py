@@ -52,35 +52,54 @@ def left_join_spread_null_keys(left: DataFrame, right: DataFrame, key: str,
     return out.drop("_tw_salt")
 
 
-def left_join_split_hot_keys(left: DataFrame, right: DataFrame, key: str, salt_from: str,
-                             salts: int | None = None, min_hot_rows: int = 100_000,
-                             partitions: int | None = None) -> DataFrame:
-    """``left LEFT JOIN right USING (key)`` that stays balanced when a few keys
-    hold a large share of ``left`` (one order with a third of all items).
-
-    One grouped pass over ``left`` (partial aggregation, so it shuffles one
-    row per key and map task) finds the hot keys: more than four average
-    partitions' worth of rows and at least ``min_hot_rows``. There can be at
-    most ``partitions / 4`` of them, so broadcasting that key set has a proven
-    bound. Left rows of a hot key get a salt from a hash of ``salt_from``;
-    the right rows of a hot key are repeated once per salt; null keys are
-    salted too (they match nothing). The join is then on (key, salt), so each
-    hot key is spread over ``salts`` reducers. Evaluates ``left`` twice: use
-    it on a materialised or cheap input."""
-    spark = left.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salts = salts or n
-    per_key = left.groupBy(key).agg(F.count(F.lit(1)).alias("_tw_c"))
-    total = per_key.select(F.sum("_tw_c")).scalar()
-    hot = per_key.where(F.col(key).isNotNull() & (F.col("_tw_c") >= F.lit(min_hot_rows))
-                        & (F.col("_tw_c") * F.lit(n) > total * F.lit(4))) \
-                 .select(key, F.lit(True).alias("_tw_hot"))
+def hot_keys(df: DataFrame, keys, partitions: int | None = None,
+             min_hot_rows: int = 100_000) -> dict[str, DataFrame]:
+    """For each column in ``keys``, the values holding more than four average
+    partitions' worth of rows of ``df`` (and at least ``min_hot_rows``), as a
+    frame (key, _tw_hot=true). All keys are counted in one pass: a GROUPING
+    SETS aggregate with partial aggregation, so the shuffle carries one row
+    per distinct value and map task. Each set has at most ``partitions / 4``
+    rows, which bounds its broadcast."""
+    keys = list(keys)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupingSets([[k] for k in keys], *keys).agg(
+        F.count(F.lit(1)).alias("_tw_c"), F.grouping_id().alias("_tw_gid"))
+    total = df.select(F.count(F.lit(1))).scalar()
+    width = len(keys)
+    out = {}
+    for j, k in enumerate(keys):
+        gid = sum(1 << (width - 1 - i) for i in range(width) if i != j)
+        out[k] = counts.where((F.col("_tw_gid") == gid) & F.col(k).isNotNull()
+                              & (F.col("_tw_c") >= F.lit(min_hot_rows))
+                              & (F.col("_tw_c") * F.lit(n) > total * F.lit(4))) \
+                       .select(k, F.lit(True).alias("_tw_hot"))
+    return out
+
+
+def left_join_salted(left: DataFrame, right: DataFrame, key: str, hot: DataFrame,
+                     salt_from: str, salts: int | None = None) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` with the keys listed in ``hot``
+    (see ``hot_keys``) spread over ``salts`` reducers: their left rows get a
+    salt from a hash of ``salt_from``, their right rows are repeated once per
+    salt; null keys are salted too (they match nothing)."""
+    salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.pmod(F.xxhash64(F.col(salt_from)), F.lit(salts))
-    tagged = left.join(F.broadcast(hot), key, "left")
-    l = tagged.withColumn("_tw_salt", F.when(F.col(key).isNull() | F.col("_tw_hot"), spread)
-                          .otherwise(F.lit(0)).cast("long")).drop("_tw_hot")
+    l = left.join(F.broadcast(hot), key, "left")
+    l = l.withColumn("_tw_salt", F.when(F.col(key).isNull() | F.col("_tw_hot"), spread)
+                     .otherwise(F.lit(0)).cast("long")).drop("_tw_hot")
     r = right.join(F.broadcast(hot), key, "left").withColumn(
         "_tw_salt", F.explode(F.when(F.col("_tw_hot"), F.sequence(F.lit(0).cast("long"),
                                                                   F.lit(salts - 1).cast("long")))
                               .otherwise(F.array(F.lit(0).cast("long"))))).drop("_tw_hot")
     return l.join(r, [key, "_tw_salt"], "left").drop("_tw_salt")
+
+
+def left_join_split_hot_keys(left: DataFrame, right: DataFrame, key: str, salt_from: str,
+                             salts: int | None = None, min_hot_rows: int = 100_000,
+                             partitions: int | None = None) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` that stays balanced when a few keys
+    hold a large share of ``left`` (one order with a third of all items):
+    ``hot_keys`` on ``left`` then ``left_join_salted``. Evaluates ``left``
+    twice: use it on a materialised or cheap input."""
+    hot = hot_keys(left, [key], partitions, min_hot_rows)[key]
+    return left_join_salted(left, right, key, hot, salt_from, salts or partitions)

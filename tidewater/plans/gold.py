@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import prefixed_key
-from tidewater.operators import (global_row_number, join_lookup, keep_first,
-                                 left_join_split_hot_keys, left_join_spread_null_keys)
+from tidewater.operators import (global_row_number, hot_keys, join_lookup, keep_first,
+                                 left_join_salted, left_join_spread_null_keys)
 
 # Bounds for broadcasting lookups (checked at run time, shuffled join beyond).
 TRANSLATION_BROADCAST_ROWS = 100_000
@@ -156,8 +156,8 @@ def fact_sales_items(wh, keyed: bool = True) -> DataFrame:
         "order_estimated_delivery_date")
     ci = wh.silver("crm_cust_info").select("customer_id", "customer_unique_id")
     dc = dim_customer(wh, keyed=True).select("customer_unique_id", "customer_key")
-    dp = wh.silver("prd_item_details").select(F.col("product_id").alias("_tw_pid"))
-    ds = wh.silver("prd_seller_details").select(F.col("seller_id").alias("_tw_sid"))
+    dp = wh.silver("prd_item_details").select("product_id", F.col("product_id").alias("_tw_pid"))
+    ds = wh.silver("prd_seller_details").select("seller_id", F.col("seller_id").alias("_tw_sid"))
     # The customer mapping is done at order grain, then joined to the items
     # once. Same result as chaining every join at item grain (each join's
     # condition uses only the table before it, so the left joins associate),
@@ -166,10 +166,13 @@ def fact_sales_items(wh, keyed: bool = True) -> DataFrame:
     orders = left_join_spread_null_keys(od, ci, "customer_id", salt_from="order_id")
     orders = left_join_spread_null_keys(orders, dc, "customer_unique_id", salt_from="order_id") \
         .drop("customer_id", "customer_unique_id")
-    # an order holding a large share of all items is split over many reducers
-    j = left_join_split_hot_keys(oi, orders, "order_id", salt_from="order_item_id")
-    j = (j.join(dp, j.product_id == dp._tw_pid, "left")
-          .join(ds, j.seller_id == ds._tw_sid, "left"))
+    # An order, product or seller holding a large share of all items is
+    # spread over many reducers; the hot values of all three keys are found
+    # in one pass over the items.
+    hot = hot_keys(oi, ["order_id", "product_id", "seller_id"])
+    j = left_join_salted(oi, orders, "order_id", hot["order_id"], salt_from="order_item_id")
+    j = left_join_salted(j, dp, "product_id", hot["product_id"], salt_from="order_id")
+    j = left_join_salted(j, ds, "seller_id", hot["seller_id"], salt_from="order_id")
     f = j.select(
         "order_id", "order_item_id",
         prefixed_key("CUST", F.col("customer_key")).alias("customer_key"),
