@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.session import staging_path
+
 DEFAULT_LOOKUP_ROWS = 1_000_000
 
 
@@ -56,23 +58,33 @@ def hot_keys(df: DataFrame, keys, partitions: int | None = None,
              min_hot_rows: int = 100_000) -> dict[str, DataFrame]:
     """For each column in ``keys``, the values holding more than four average
     partitions' worth of rows of ``df`` (and at least ``min_hot_rows``), as a
-    frame (key, _tw_hot=true). All keys are counted in one pass: a GROUPING
-    SETS aggregate with partial aggregation, so the shuffle carries one row
-    per distinct value and map task. Each set has at most ``partitions / 4``
+    frame (key, _tw_hot=true).
+
+    One pass: a GROUPING SETS aggregate over every key plus the empty set
+    (the total row count), with partial aggregation, so the shuffle carries
+    one row per distinct value and map task. Only candidate rows (at least
+    ``min_hot_rows``) and the total survive; they are written once under the
+    staging folder, so the consumers share that tiny table instead of each
+    re-running the aggregate. Each result has at most ``partitions / 4``
     rows, which bounds its broadcast."""
+    spark = df.sparkSession
     keys = list(keys)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.groupingSets([[k] for k in keys], *keys).agg(
-        F.count(F.lit(1)).alias("_tw_c"), F.grouping_id().alias("_tw_gid"))
-    total = df.select(F.count(F.lit(1))).scalar()
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     width = len(keys)
+    everything = (1 << width) - 1            # grouping_id of the empty set
+    counts = df.groupingSets([[k] for k in keys] + [[]], *keys).agg(
+        F.count(F.lit(1)).alias("_tw_c"), F.grouping_id().alias("_tw_gid"))
+    path = staging_path(spark, "hot-keys")
+    counts.where((F.col("_tw_c") >= F.lit(min_hot_rows)) | (F.col("_tw_gid") == everything)) \
+        .write.mode("overwrite").parquet(path)
+    small = spark.read.parquet(path)
+    total = small.where(F.col("_tw_gid") == everything).select(F.max("_tw_c")).scalar()
     out = {}
     for j, k in enumerate(keys):
         gid = sum(1 << (width - 1 - i) for i in range(width) if i != j)
-        out[k] = counts.where((F.col("_tw_gid") == gid) & F.col(k).isNotNull()
-                              & (F.col("_tw_c") >= F.lit(min_hot_rows))
-                              & (F.col("_tw_c") * F.lit(n) > total * F.lit(4))) \
-                       .select(k, F.lit(True).alias("_tw_hot"))
+        out[k] = small.where((F.col("_tw_gid") == gid) & F.col(k).isNotNull()
+                             & (F.col("_tw_c") * F.lit(n) > total * F.lit(4))) \
+                      .select(k, F.lit(True).alias("_tw_hot"))
     return out
 
 
@@ -99,7 +111,7 @@ def left_join_split_hot_keys(left: DataFrame, right: DataFrame, key: str, salt_f
                              partitions: int | None = None) -> DataFrame:
     """``left LEFT JOIN right USING (key)`` that stays balanced when a few keys
     hold a large share of ``left`` (one order with a third of all items):
-    ``hot_keys`` on ``left`` then ``left_join_salted``. Evaluates ``left``
-    twice: use it on a materialised or cheap input."""
+    ``hot_keys`` on ``left`` (eager, one pass) then ``left_join_salted``.
+    Evaluates ``left`` twice: use it on a materialised or cheap input."""
     hot = hot_keys(left, [key], partitions, min_hot_rows)[key]
     return left_join_salted(left, right, key, hot, salt_from, salts or partitions)
