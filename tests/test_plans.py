@@ -50,3 +50,14 @@ def test_v8_joins_the_dimension_after_reducing_per_customer(wh):
     # the per-customer aggregate sits below the join with the dimension
     join_at = p.index("Join")
     assert "HashAggregate(keys=[customer_unique_id" in p[join_at:]
+
+
+def test_row_number_gathers_only_partition_counts(spark):
+    from pyspark.sql import functions as F
+
+    from tidewater.operators import global_row_number
+    df = spark.range(0, 5000).select((F.col("id") * 7 % 5000).alias("k"))
+    p = plan(global_row_number(df, ["k"], "rn", num_partitions=6))
+    assert p.count("Exchange SinglePartition") == 1
+    single = p[p.index("Exchange SinglePartition"):]
+    assert "functions=[partial_count(1)]" in single and "BroadcastHashJoin" in p
