@@ -7,8 +7,11 @@ Layout
 - ``functions`` Column -> Column helpers (text cleaning, date parsing, integer average)
 - ``operators`` DataFrame -> DataFrame building blocks (dedupe, global row number, NTILE)
 - ``plans``     the warehouse jobs: silver transforms, gold models, EDA, advanced
-                analytics and the declarative quality suite
+                analytics and the declarative quality suite; layer jobs and catalog
+                registration (``plans.warehouse``); named queries with their SQL
+                oracles (``plans.registry``)
 - ``streaming`` (intentionally thin, see its docstring)
+- ``run``       ``python -m tidewater.run --sf-dir DIR --out SHARED_DIR``: the whole pipeline
 """
 
 from tidewater.session import build_session, staging_path
