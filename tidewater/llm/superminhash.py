@@ -14,10 +14,12 @@ whole sequence as one; without words it is empty and linked with nothing).
    so thousands of copies cost one row from here on.
 3. Classes that share a band key meet in a bucket. Each is compared with the
    bucket's leader (smallest id), on the full sets. Confirmed links are
-   united (union-find), and only the pairs of a bucket that are still in
-   different components and that the triangle inequality of the Jaccard
-   distance (through the leader) can't rule out are compared afterwards. No
-   bucket is capped and none is expanded into all its pairs.
+   united (union-find); what is left outside a bucket's largest component is
+   compared with a few changing members of that, and united again. Only the
+   pairs of a bucket that are then still in different components and that the
+   triangle inequality of the Jaccard distance (through the leader) can't rule
+   out are compared one by one. No bucket is capped and none is expanded into
+   all its pairs.
 
 Null ids and repeated rows: rows that repeat an id are one node whose links
 unite; a null id gets a null component and is kept.
@@ -37,6 +39,11 @@ from tidewater.llm.components import connected_components
 
 SHINGLE = 5
 BANDS, ROWS = 25, 5
+#: Bands that a pair has to share before it is compared outside the leaders'
+#: stars. A pair at 85 per cent shares fewer with a probability of 9e-6.
+SHARED = 2
+#: Rounds of comparisons with changing members of a bucket's largest component.
+PIVOT_ROUNDS = 1
 #: Bytes hashed at a time; a longer word extends its block.
 BLOCK = 1 << 20
 _U = np.uint64
@@ -203,8 +210,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     ``docs`` needs doc_id and text; other columns are ignored. Documents are
     linked when 100 * intersection >= percent * union of their shingle sets.
-    At 85 per cent a linked pair is missed by all 25 bands of five entries
-    with a probability of 4e-7, and of 3e-5 at 80 per cent."""
+    A pair at exactly 85 per cent shares fewer than two of the 25 bands of
+    five entries with a probability of 9e-6, at 80 per cent of 7e-4."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
     signed = stage(base.mapInArrow(
         _sign, "doc_id long, n long, k1 long, k2 long, bands array<long>"), "signed")
@@ -230,9 +237,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     tested = stage(_confirm(first, sets, percent), "tested")
     edges = tested.where("linked").select("a", "b")
     parts = connected_components(edges)
-
-    second = _across(buckets, tested, parts, percent)
-    more = stage(_confirm(second, sets, percent), "tested").where("linked").select("a", "b")
+    for turn in range(PIVOT_ROUNDS):
+        pairs = _to_pivots(_mixed(buckets, parts), turn, percent)
+        more = stage(_confirm(pairs, sets, percent), "tested").where("linked").select("a", "b")
+        if not more.limit(1).count():
+            break
+        edges = edges.union(more)
+        parts = connected_components(edges)
+    rest = _across(_mixed(buckets, parts), tested, signed_bands(classes), sets, percent)
+    more = stage(_confirm(rest, sets, percent), "tested").where("linked").select("a", "b")
     if more.limit(1).count():
         parts = connected_components(edges.union(more))
 
@@ -243,47 +256,94 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     return _spread(signed.drop("bands"), joined)
 
 
-def _across(buckets: DataFrame, tested: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that are in different components and may be linked:
-    every class outside the bucket's largest component against the others."""
-    far = (100 - percent) / 100 + 1e-9
+def signed_bands(classes: DataFrame) -> DataFrame:
+    return classes.select("id", F.col("k1").alias("k"), "bands")
+
+
+def _mixed(buckets: DataFrame, parts: DataFrame) -> DataFrame:
+    """The classes of buckets that hold several components, with their own and
+    their bucket's largest component."""
     comp = parts.select(F.col("node").alias("id"), "component")
-    seen = tested.select(F.col("a").alias("la"), F.col("ka").alias("lk"), F.col("b").alias("id"),
-                         F.col("kb").alias("k"), "dist")
     rows = (buckets.select("band", "id", "k", "n", F.col("lead.id").alias("la"),
                            F.col("lead.k").alias("lk"), F.col("lead.n").alias("ln"))
             .join(comp, "id", "left")
             .withColumn("component", F.coalesce("component", "id")))
     counts = rows.groupBy("band", "component").agg(F.count("*").alias("size"))
-    mixed = (counts.groupBy("band")
-             .agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("comps"))
-             .where("comps > 1").select("band", F.col("top.component").alias("major")))
-    rows = stage(rows.join(mixed, "band").join(seen, ["la", "lk", "id", "k"], "left")
-                 .withColumn("is_lead", (F.col("id") == F.col("la")) & (F.col("k") == F.col("lk")))
-                 .withColumn("lo", F.when(F.col("is_lead"), 0.0).otherwise(F.coalesce(
-                     "dist", 1 - F.least("n", "ln") / F.greatest("n", "ln"))))
-                 .withColumn("hi", F.when(F.col("is_lead"), 0.0).otherwise(
-                     F.coalesce("dist", F.lit(1.0))))
-                 # the leader's own pairs have all been compared
-                 .where("NOT is_lead")
-                 .select("band", "id", "k", "n", "component", "major", "lo", "hi"), "mixed")
-    u = rows.where("component != major").select(
-        "band", *[F.col(c).alias(f"u_{c}") for c in ("id", "k", "n", "component", "lo", "hi")])
-    v = rows.select(
-        "band", *[F.col(c).alias(f"v_{c}") for c in ("id", "k", "n", "component", "lo", "hi")])
-    may = (u.join(v, "band")
-           .where("u_component != v_component AND u_id != v_id")
-           .where(F.least("u_n", "v_n") * 100 >= percent * F.greatest("u_n", "v_n"))
-           .where((F.col("u_lo") - F.col("v_hi") <= far) & (F.col("v_lo") - F.col("u_hi") <= far)))
+    several = (counts.groupBy("band")
+               .agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("comps"))
+               .where("comps > 1").select("band", F.col("top.component").alias("major")))
+    return stage(rows.join(several, "band"), "mixed")
+
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    """Distinct pairs (a, ka, b, kb, na, nb), a the smaller id, of columns u_* and v_*."""
     lower = F.col("u_id") < F.col("v_id")
 
     def pick(c: str, low: bool):
         one, two = (f"u_{c}", f"v_{c}") if low else (f"v_{c}", f"u_{c}")
         return F.when(lower, F.col(one)).otherwise(F.col(two))
 
-    return may.select(pick("id", True).alias("a"), pick("k", True).alias("ka"),
-                      pick("id", False).alias("b"), pick("k", False).alias("kb"),
-                      pick("n", True).alias("na"), pick("n", False).alias("nb")).distinct()
+    return joined.select(pick("id", True).alias("a"), pick("k", True).alias("ka"),
+                         pick("id", False).alias("b"), pick("k", False).alias("kb"),
+                         pick("n", True).alias("na"), pick("n", False).alias("nb")).distinct()
+
+
+def _to_pivots(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each class outside its bucket's largest component with one member of
+    that, another one in every band and turn: one pair per row."""
+    pivots = (mixed.where("component = major").groupBy("band")
+              .agg(F.min(F.struct(F.xxhash64("id", "band", F.lit(turn)).alias("h"), "id", "k", "n"))
+                   .alias("p"))
+              .select("band", *[F.col(f"p.{c}").alias(f"v_{c}") for c in ("id", "k", "n")]))
+    rows = mixed.where("component != major").select(
+        "band", *[F.col(c).alias(f"u_{c}") for c in ("id", "k", "n")])
+    return _pairs(rows.join(pivots, "band").where(
+        F.least("u_n", "v_n") * 100 >= percent * F.greatest("u_n", "v_n")))
+
+
+def _held_in_common(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, k, common): how many shingles of each set occur in another one of
+    ``rows`` too. No intersection of two of these sets is larger."""
+    items = (rows.select("id", "k").distinct().join(sets, ["id", "k"])
+             .select("id", "k", F.explode("items").alias("item")))
+    twice = items.groupBy("item").agg(F.count("*").alias("df")).where("df > 1").select("item")
+    return items.join(twice, "item").groupBy("id", "k").agg(F.count("*").alias("common"))
+
+
+def _across(mixed: DataFrame, tested: DataFrame, bands: DataFrame, sets: DataFrame,
+            percent: int) -> DataFrame:
+    """Pairs of a bucket that are still in different components and may be
+    linked: every class outside the bucket's largest component against the
+    others, each pair in the first band that it shares. Two exact bounds keep
+    out what can't be linked: edited copies of one text have shingles that no
+    other set has, and the triangle inequality through the leader."""
+    far = (100 - percent) / 100 + 1e-9
+    seen = tested.select(F.col("a").alias("la"), F.col("ka").alias("lk"), F.col("b").alias("id"),
+                         F.col("kb").alias("k"), "dist")
+    is_lead = (F.col("id") == F.col("la")) & (F.col("k") == F.col("lk"))
+    rows = mixed.where(~is_lead)             # the leader's own pairs have all been compared
+    common = _held_in_common(rows, sets)
+    rows = stage(rows.join(common, ["id", "k"])
+                 .where(F.col("common") * 100 >= percent * F.col("n"))
+                 .join(seen, ["la", "lk", "id", "k"], "left")
+                 .withColumn("lo", F.coalesce("dist", 1 - F.least("n", "ln") / F.greatest("n", "ln")))
+                 .withColumn("hi", F.coalesce("dist", F.lit(1.0)))
+                 .join(bands, ["id", "k"])
+                 .select("band", "id", "k", "n", "component", "major", "lo", "hi", "bands",
+                         "common"), "rest")
+    names = ("id", "k", "n", "component", "lo", "hi", "bands", "common")
+    u = rows.where("component != major").select("band", *[F.col(c).alias(f"u_{c}") for c in names])
+    v = rows.select("band", *[F.col(c).alias(f"v_{c}") for c in names])
+    may = (F.col("u_component") != F.col("v_component")) & (F.col("u_id") != F.col("v_id"))
+    near = F.least("u_n", "v_n") * 100 >= percent * F.greatest("u_n", "v_n")
+    most = F.least("u_common", "v_common")
+    near = near & (most * 100 >= percent * (F.col("u_n") + F.col("v_n") - most))
+    # triangle inequality of the Jaccard distance, through the leader
+    reach = (F.col("u_lo") - F.col("v_hi") <= far) & (F.col("v_lo") - F.col("u_hi") <= far)
+    shared = F.array_intersect("u_bands", "v_bands")
+    v = v.withColumnRenamed("band", "v_band")
+    return _pairs(u.join(v, (F.col("band") == F.col("v_band")) & may & near & reach
+                         & (F.size(shared) >= SHARED) & (F.array_min(shared) == F.col("band"))))
 
 
 def _spread(docs: DataFrame, classes: DataFrame, salts: int = 64) -> DataFrame:
