@@ -26,13 +26,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import crc_fold, slices, stage, text_bytes
 
 FOLDS, HELD_OUT = 4, 2
-MAX_POSITIVE, MAX_UNLABELLED = 20_000, 40_000
+MAX_POSITIVE, MAX_UNLABELLED = 10_000, 25_000
 #: A feature is in at least this share of the confirmed documents, and in MIN_DOCS.
 MIN_SHARE, MIN_DOCS = 0.002, 4
 MIN_Z = 5.0
@@ -124,16 +125,17 @@ def _vectors(features: list[bytes]):
     return run
 
 
-def _csr(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    ends = np.cumsum([0] + [len(r) for r in rows])
-    flat = np.fromiter((x for r in rows for x in r), np.int64, ends[-1])
-    return flat, np.repeat(np.arange(len(rows)), np.diff(ends))
+def _csr(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list array and the row that each is from."""
+    return (pc.list_flatten(rows).to_numpy(zero_copy_only=False).astype(np.int64),
+            pc.list_parent_indices(rows).to_numpy(zero_copy_only=False).astype(np.int64))
 
 
-def fit_nnpu(positive: list[list[int]], unlabelled: list[list[int]], width: int, prior: float,
+def fit_nnpu(positive: pa.Array, unlabelled: pa.Array, width: int, prior: float,
              steps: int = 400, rate: float = 0.05, l2: float = 1e-5) -> tuple[np.ndarray, float]:
     """Weights that minimise the non-negative PU risk with the logistic loss, by
-    full-batch Adam (deterministic), and the intercept that agrees with the prior."""
+    full-batch Adam (deterministic), and the intercept that agrees with the
+    prior. The documents are list arrays of feature places."""
     fp, rp = _csr(positive)
     fu, ru = _csr(unlabelled)
     n_p, n_u = len(positive), len(unlabelled)
@@ -230,21 +232,23 @@ def train_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     least = max(MIN_DOCS, MIN_SHARE * n_pos)
     frequent = (confirmed.repartition(8).mapInArrow(_count_features, "feature binary, n long")
                 .groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-                .collect())
-    frequent = sorted((bytes(r["feature"]), r["n"]) for r in frequent)
-    names, a = [f for f, _ in frequent], np.array([n for _, n in frequent], float)
-    counts = {r["place"]: r["n"] for r in
-              train.select("text").mapInArrow(_count_chosen(names), "place long, n long")
-              .groupBy("place").agg(F.sum("n").alias("n")).collect()}
-    b = np.array([counts.get(i, 0) for i in range(len(names))], float)
+                .toArrow().sort_by("feature"))
+    names = frequent.column("feature").to_pylist()
+    a = frequent.column("n").to_numpy().astype(float)
+    found = (train.select("text").mapInArrow(_count_chosen(names), "place long, n long")
+             .groupBy("place").agg(F.sum("n").alias("n")).toArrow())
+    counts = np.zeros(len(names) + 1)
+    counts[found.column("place").to_numpy()] = found.column("n").to_numpy()
+    b = counts[:-1]
     p, q = a / n_pos, b / n_train
     both = (a + b) / (n_pos + n_train)
     z = (p - q) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n_pos + 1 / n_train))
     chosen = [names[i] for i in np.flatnonzero(z >= MIN_Z)]
     rows = (sample.mapInArrow(_vectors(chosen), "toxic int, places array<int>")
-            .orderBy("toxic", "places").collect())
-    weights, intercept = fit_nnpu([r["places"] for r in rows if r["toxic"]],
-                                  [r["places"] for r in rows if not r["toxic"]],
+            .orderBy("toxic", "places").toArrow().combine_chunks())
+    lists = pa.concat_arrays(rows.column("places").chunks)
+    toxic = rows.column("toxic").to_numpy() == 1
+    weights, intercept = fit_nnpu(lists.filter(pa.array(toxic)), lists.filter(pa.array(~toxic)),
                                   len(chosen), prior)
     used = np.flatnonzero(weights)
     return ToxicityModel([chosen[i] for i in used], weights[used], intercept)
