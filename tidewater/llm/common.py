@@ -16,7 +16,7 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Rows handed to a Python helper at a time, so that the Python objects of a
 #: batch stay small next to its Arrow buffers.
-SLICE_ROWS = 256
+SLICE_ROWS = 128
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -111,10 +111,10 @@ def _luhn_sum(digits: Column, doubled_parity: Column) -> Column:
 def card_pseudonym(value: Column, key: str) -> Column:
     digits = _digits(value)
     n = F.length(digits)
-    valid = (_luhn_sum(digits, n % 2) % 10 == 0) & n.between(13, 19)
+    valid = (_luhn_sum(digits, (n + 1) % 2) % 10 == 0) & n.between(13, 19)
 
     def with_check(body: Column) -> Column:
-        check = (10 - _luhn_sum(F.concat(body, F.lit("0")), n % 2) % 10) % 10
+        check = (10 - _luhn_sum(F.concat(body, F.lit("0")), (n + 1) % 2) % 10) % 10
         return F.concat(body, check.cast("string"))
     body = _permute_digits(_part(digits, 1, n - 1), key, "card")
     return F.when(valid, _refill(value, let(body, with_check)))

@@ -27,9 +27,15 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def on_workers(spark: SparkSession) -> None:
     """Python workers import this package from where the driver did. On a
-    cluster where they can't, ship it with --py-files."""
+    cluster where they can't, ship it with --py-files. Whole texts are long
+    rows, so an unset batch size becomes a smaller one."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "1000")
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):

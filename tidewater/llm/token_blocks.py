@@ -38,7 +38,10 @@ LAYOUT = ((0, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6)
 _COUNT = np.array([c for c, _ in LAYOUT])
 _BITS = np.array([b for _, b in LAYOUT])
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
+#: Marks that may end a word; those that special tokens or contractions use
+#: aren't among them.
+_MARKS = b".,;:!?*%$&#)"
 SEGMENTS = ("part int, first_id long, doc_ids array<long>, lengths array<int>, n_ids long, "
             "words binary, blocks binary")
 
@@ -134,9 +137,11 @@ def decode_ids(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
 
 
 class WordEncoder:
-    """Encodes with a tokenizer of the ``tokenizers`` library whose pieces
-    never cross ASCII white space (its normaliser and splitter drop it), so
-    each distinct word is given to the library once and remembered. The memory
+    """Encodes with a tokenizer of the ``tokenizers`` library that lowers and
+    composes text, splits it into runs of letters, single digits and runs of
+    other marks, and drops white space. So its pieces never cross ASCII white
+    space, nor the place between a letter and the marks that end a word, and
+    each distinct part is given to the library once and remembered. The memory
     is emptied when it holds ``CACHE_WORDS`` words."""
 
     def __init__(self, path: str):
@@ -144,16 +149,48 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, tuple[int, ...]] = {}
 
+    def _learn(self, parts: list[bytes]) -> None:
+        """Remember parts that the library has to encode. A run of the letters
+        a-z is a single unit of its model, which can be asked without the
+        normaliser and the splitter."""
+        known, model = self.known, self.tokenizer.model.tokenize
+        rest = []
+        for part in parts:
+            if part.isalpha() and part.islower() and part.isascii():
+                known[part] = tuple([t.id for t in model(part.decode())])
+            else:
+                rest.append(part)
+        for at in range(0, len(rest), 4096):
+            some = rest[at:at + 4096]
+            coded = self.tokenizer.encode_batch_fast(
+                [p.decode("utf-8", "replace") for p in some], add_special_tokens=False)
+            known.update(zip(some, (tuple(c.ids) for c in coded), strict=True))
+
     def words(self, texts: list[bytes]) -> list[list[bytes]]:
         split = [t.split() for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = list(set(chain.from_iterable(split)).difference(self.known))
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            coded = self.tokenizer.encode_batch_fast(
-                [w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            self.known.update(zip(some, (tuple(c.ids) for c in coded), strict=True))
+        known = self.known
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        new = set(chain.from_iterable(split)).difference(known)
+        made: dict[bytes, tuple[bytes, bytes]] = {}
+        parts = set()
+        for word in new:
+            core = word.rstrip(_MARKS)
+            marks = word[len(core):]
+            if core.isascii() and b"<" not in core:     # '<' may begin a special token
+                low = core.lower()
+            else:
+                low = core
+            if marks and not (core and core.decode("utf-8", "replace")[-1].lower()[-1].isalpha()):
+                low, marks = word, b""      # the marks may go on with what is before them
+            if low != word:
+                made[word] = (low, marks)
+                if marks:
+                    parts.add(marks)
+            parts.add(low)
+        self._learn([p for p in parts if p not in known])
+        for word, (low, marks) in made.items():
+            known[word] = known[low] + known[marks] if marks else known[low]
         return split
 
     def encode(self, texts: list[bytes]) -> list[list[int]]:

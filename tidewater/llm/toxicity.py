@@ -43,7 +43,7 @@ BEGINNINGS = (4, 5, 6)
 _MARKS = b".,;:!?\"'()[]{}|%$*&#<>"
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Words whose features a worker remembers.
-MEMORY = 300_000
+MEMORY = 120_000
 
 
 def words_of(text: bytes) -> set[bytes]:
