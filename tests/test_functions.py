@@ -50,6 +50,20 @@ def test_day_first_date_uses_first_ten_chars(spark):
     assert got == [dt.date(2018, 5, 23), None]
 
 
+def test_usual_forms_parse(spark):
+    forms = ["2-10-2017 9:05", "02/10/2017 10:56", "02.10.2017 10:56:07.123", "2/1/2017",
+             "31/02/2017 10:00", "02-10-2017 25:00", "x", ""]
+    assert one(spark, try_parse_day_first("s"), [(f,) for f in forms]) == [
+        dt.datetime(2017, 10, 2, 9, 5), dt.datetime(2017, 10, 2, 10, 56),
+        dt.datetime(2017, 10, 2, 10, 56, 7, 123000), dt.datetime(2017, 1, 2), None, None, None, None]
+    assert one(spark, try_parse_timestamp("s"), [("2017-10-02 10:56:07.000",), ("2017/1/2",),
+                                                 ("2017-10-02T10:56",), ("2017-02-30",)]) == [
+        dt.datetime(2017, 10, 2, 10, 56, 7), dt.datetime(2017, 1, 2),
+        dt.datetime(2017, 10, 2, 10, 56), None]
+    assert one(spark, try_parse_day_first_date("s"), [("2/1/2017",), ("02.10.2017 09:00",)]) == [
+        dt.date(2017, 1, 2), dt.date(2017, 10, 2)]
+
+
 def test_iso_parse(spark):
     assert one(spark, try_parse_timestamp("s"), [("2018-05-23 10:01:02",), ("23-05-2018",)]) == \
         [dt.datetime(2018, 5, 23, 10, 1, 2), None]
@@ -72,5 +86,7 @@ def test_day_diff_counts_midnights(spark):
 
 
 def test_prefixed_key_null_and_width(spark):
-    got = one(spark, prefixed_key("PRD", F.col("s")), [("a" * 32,), (None,)])
-    assert got == ["PRD" + "a" * 30, None]
+    ids = [("a" * 30 + "bc",), ("a" * 30 + "de",), (None,)]
+    assert one(spark, prefixed_key("PRD", F.col("s")), ids) == [
+        "PRD" + "a" * 30 + "bc", "PRD" + "a" * 30 + "de", None]
+    assert one(spark, prefixed_key("PRD", F.col("s"), width=30), ids)[0] == "PRD" + "a" * 30

@@ -10,7 +10,6 @@ Layout
                 analytics and the declarative quality suite; layer jobs and catalog
                 registration (``plans.warehouse``); named queries with their SQL
                 oracles (``plans.registry``)
-- ``streaming`` (intentionally thin, see its docstring)
 - ``run``       ``python -m tidewater.run --sf-dir DIR --out SHARED_DIR``: the whole pipeline
 """
 

@@ -1,8 +1,8 @@
 """Date and timestamp parsing / arithmetic as Column functions.
 
 All parsed timestamps are zone-less (``timestamp_ntz``), like the source's
-DATETIME. Parsing goes through ``try_to_timestamp`` (null on bad input, H14/H16)
-or ``to_timestamp`` (error on bad input under ANSI mode, H12).
+DATETIME. Parsing goes through ``try_cast`` (null on bad input, H14/H16) or
+``cast`` (error on bad input under ANSI mode, H12).
 """
 
 from __future__ import annotations
@@ -12,48 +12,39 @@ from pyspark.sql import functions as F
 
 from tidewater.functions._col import as_col
 
-# The day-first layouts accepted for "style 105" text
-# (dd-mm-yyyy with optional time), each with the shape of text it applies to.
-DAY_FIRST_PATTERNS = (
-    ("dd-MM-yyyy HH:mm:ss", r"^\d{2}-\d{2}-\d{4} \d{2}:\d{2}:\d{2}$"),
-    ("dd-MM-yyyy HH:mm", r"^\d{2}-\d{2}-\d{4} \d{2}:\d{2}$"),
-    ("dd-MM-yyyy", r"^\d{2}-\d{2}-\d{4}$"),
-)
-
-# The default (ISO-like) layouts accepted by a plain CAST.
-ISO_PATTERNS = (
-    ("yyyy-MM-dd HH:mm:ss", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"),
-    ("yyyy-MM-dd HH:mm", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$"),
-    ("yyyy-MM-dd", r"^\d{4}-\d{2}-\d{2}$"),
-)
-
-
-def _try_parse(c: Column, patterns) -> Column:
-    """Parse with the one layout whose shape the text has. Choosing by shape
-    first matters for speed: a parse attempt that fails costs an exception
-    inside the JVM, so trying every layout in turn is several times slower.
-    Text of no known shape, or an impossible date (31-02), gives null."""
-    out = None
-    for pattern, shape in patterns:
-        parsed = F.try_to_timestamp(c, F.lit(pattern))
-        out = F.when(c.rlike(shape), parsed) if out is None else out.when(c.rlike(shape), parsed)
-    return out.cast("timestamp_ntz")
+# A time of day as the source's conversions accept it (fractions
+# of a second optional), and dates with one- or two-digit parts and any of the
+# usual separators, day first ("style 105") or year first (the default).
+_TIME = r"(?:[ T]+(\d{1,2}:\d{1,2})(?::(\d{1,2}(?:\.\d{1,6})?)\d*)?)?"
+DAY_FIRST = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})" + _TIME + "$"
+YEAR_FIRST = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})" + _TIME + "$"
+
+
+def _try_parse(c: Column, shape: str, date: str) -> Column:
+    """Rearrange text of the given shape to year-month-day and cast it. The
+    cast gives null for an impossible date (31-02) without raising an exception
+    per row, as a failing format parse would; text of another shape is null."""
+    iso = F.regexp_replace(c, shape, f"{date} $4:00.$5")
+    # 'h:mm:00.' or 'h:mm:00.ss.fff' -> the seconds where they are given
+    iso = F.regexp_replace(iso, r":00\.(\d.*)$", ":$1")
+    iso = F.regexp_replace(iso, r"( :00\.|\.)$", "")
+    return F.when(c.rlike(shape), iso.try_cast("timestamp_ntz"))
 
 
 def try_parse_day_first(c) -> Column:
     """``TRY_CONVERT(DATETIME, s, 105)``: day-first text to timestamp, null when
     the text is not a valid date (H14)."""
-    return _try_parse(F.trim(as_col(c)), DAY_FIRST_PATTERNS)
+    return _try_parse(F.trim(as_col(c)), DAY_FIRST, "$3-$2-$1")
 
 
 def try_parse_day_first_date(c) -> Column:
     """``TRY_CONVERT(DATE, LEFT(s, 10), 105)``."""
-    return _try_parse(F.left(as_col(c), F.lit(10)), DAY_FIRST_PATTERNS[2:]).cast("date")
+    return _try_parse(F.trim(F.left(as_col(c), F.lit(10))), DAY_FIRST, "$3-$2-$1").cast("date")
 
 
 def try_parse_timestamp(c) -> Column:
     """``TRY_CONVERT(DATETIME, s)`` with the default layout."""
-    return _try_parse(F.trim(as_col(c)), ISO_PATTERNS)
+    return _try_parse(F.trim(as_col(c)), YEAR_FIRST, "$1-$2-$3")
 
 
 def try_parse_date(c) -> Column:

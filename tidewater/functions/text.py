@@ -47,7 +47,10 @@ def has_quote(c) -> Column:
     return as_col(c).contains('"')
 
 
-def prefixed_key(prefix: str, c, width: int = 30) -> Column:
-    """``prefix + CAST(c AS VARCHAR)``: text key that keeps at most ``width``
-    characters of the value and is null when the value is null (H9, H13, L7)."""
-    return F.concat(F.lit(prefix), F.substring(as_col(c).cast("string"), 1, width))
+def prefixed_key(prefix: str, c, width: int | None = None) -> Column:
+    """``prefix + CAST(c AS VARCHAR)``: text key of the whole value, null when
+    the value is null (H9, H13, L7). ``width`` cuts the value to that many
+    characters, as a cast of the source's default length (30) does; two long
+    values can then share a key, so it is an option for parity only."""
+    value = as_col(c).cast("string")
+    return F.concat(F.lit(prefix), value if width is None else F.substring(value, 1, width))

@@ -12,9 +12,8 @@ from tidewater.operators import global_ntile, percent_of_total
 from tidewater.plans import gold
 from tidewater.plans.eda import orders_per_customer
 
-# The source starts the growth series at 2017-01-01; the test data spans
-# 1995-2001, so the cut-off is a parameter.
-DEFAULT_GROWTH_START = _dt.datetime(1997, 1, 1)
+# The source starts the growth series here; the cut-off is a parameter.
+DEFAULT_GROWTH_START = _dt.datetime(2017, 1, 1)
 
 
 def _dbl(c, name):
@@ -34,7 +33,7 @@ def retention(wh) -> DataFrame:
     out = percent_of_total(by_type, "total_customers", "customer_percentage")
     return out.select("customer_type", "total_customers",
                       _dbl(F.col("customer_percentage"), "customer_percentage")) \
-        .orderBy(F.desc("total_customers"))
+        .orderBy(F.desc("total_customers"), "customer_type")
 
 
 def high_value_customers(wh, n: int = 10) -> DataFrame:
@@ -104,7 +103,7 @@ def delivery_status(wh) -> DataFrame:
     out = percent_of_total(by, "total_orders", "order_percentage")
     return out.select("delivery_status", "total_orders",
                       _dbl(F.col("order_percentage"), "order_percentage")) \
-        .orderBy(F.desc("total_orders"))
+        .orderBy(F.desc("total_orders"), "delivery_status")
 
 
 def delay_vs_review(wh) -> DataFrame:
@@ -119,7 +118,7 @@ def delay_vs_review(wh) -> DataFrame:
             .otherwise("More Than 7 Days Late"))
     return f.groupBy(cat.alias("delivery_category")).agg(
         F.count(F.lit(1)).alias("total_orders"), int_avg("review_score").alias("avg_review_score")) \
-        .orderBy(F.desc("avg_review_score"))
+        .orderBy(F.desc("avg_review_score"), "delivery_category")
 
 
 def delivery_by_state(wh) -> DataFrame:
@@ -146,7 +145,8 @@ def delivery_by_state(wh) -> DataFrame:
     return per_state.select(
         "customer_state", "delivered_orders", "late_orders",
         _dbl(pct(F.col("late_orders"), F.col("delivered_orders")), "late_delivery_percentage"),
-        _dbl(avg_days, "avg_delivery_days")).orderBy(F.desc("late_delivery_percentage"))
+        _dbl(avg_days, "avg_delivery_days")) \
+        .orderBy(F.desc("late_delivery_percentage"), "customer_state")
 
 
 def installment_analysis(wh) -> DataFrame:
@@ -158,4 +158,4 @@ def installment_analysis(wh) -> DataFrame:
         F.count(F.lit(1)).alias("total_orders"),
         _dbl(round_avg("total_price"), "average_order_value"),
         _dbl(round_avg("total_payment_value"), "average_payment_value")) \
-        .orderBy(F.desc("average_order_value"))
+        .orderBy(F.desc("average_order_value"), "payment_category")

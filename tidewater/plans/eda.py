@@ -92,7 +92,7 @@ def average_order_value(wh) -> DataFrame:
 def orders_by_status(wh) -> DataFrame:
     """K11"""
     return gold.fact_sales(wh, keyed=False).groupBy("order_status") \
-        .agg(_count("total_orders")).orderBy(F.desc("total_orders"))
+        .agg(_count("total_orders")).orderBy(F.desc("total_orders"), "order_status")
 
 
 def avg_delivery_days(wh) -> DataFrame:
@@ -110,9 +110,10 @@ def avg_freight_and_order_value(wh) -> DataFrame:
 
 
 def items_per_product(wh) -> DataFrame:
-    """K14"""
+    """K14. As in the other reports, a second sort key makes the order total,
+    so a range sort can split rows that tie on the first."""
     return wh.silver("sales_ord_items").groupBy("product_id").agg(_count("items_sold")) \
-        .orderBy(F.desc("items_sold"))
+        .orderBy(F.desc("items_sold"), "product_id")
 
 
 def _per_product_with_category(wh, measure) -> DataFrame:
@@ -126,14 +127,15 @@ def _per_product_with_category(wh, measure) -> DataFrame:
 def popular_products(wh) -> DataFrame:
     """K15"""
     return _per_product_with_category(wh, _count("total_items")) \
-        .select("product_category_name", "total_items").orderBy(F.desc("total_items"))
+        .orderBy(F.desc("total_items"), "product_id") \
+        .select("product_category_name", "total_items")
 
 
 def revenue_per_product(wh) -> DataFrame:
     """K16"""
     return _per_product_with_category(wh, F.sum("price").alias("total_revenue")) \
-        .select("product_category_name", _money("total_revenue", "total_revenue")) \
-        .orderBy(F.desc("total_revenue"))
+        .orderBy(F.desc("total_revenue"), "product_id") \
+        .select("product_category_name", _money("total_revenue", "total_revenue"))
 
 
 def seller_performance(wh) -> DataFrame:
@@ -141,13 +143,13 @@ def seller_performance(wh) -> DataFrame:
     return wh.silver("sales_ord_items").groupBy("seller_id").agg(
         _count("items_sold"), F.sum("price").alias("total_revenue")) \
         .select("seller_id", "items_sold", _money("total_revenue", "total_revenue")) \
-        .orderBy(F.desc("items_sold"))
+        .orderBy(F.desc("items_sold"), "seller_id")
 
 
 def payment_methods(wh) -> DataFrame:
     """K18"""
     return wh.silver("finance_ord_payments").groupBy("payment_type") \
-        .agg(_count("payment_count")).orderBy(F.desc("payment_count"))
+        .agg(_count("payment_count")).orderBy(F.desc("payment_count"), "payment_type")
 
 
 def average_review_score(wh) -> DataFrame:

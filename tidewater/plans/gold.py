@@ -144,8 +144,8 @@ ITEM_ORDER = ("order_id", "order_item_id", "product_id", "seller_id", "shipping_
 
 def fact_sales_items(wh, keyed: bool = True) -> DataFrame:
     """One row per order item with text keys ``CUST<customer_key>``,
-    ``PRD<product_id>``, ``S<seller_id>`` (values cut to 30 characters, null when
-    the dimension has no match). Payments and reviews stay out of this grain."""
+    ``PRD<product_id>``, ``S<seller_id>`` (whole values, null when the dimension
+    has no match). Payments and reviews stay out of this grain."""
     built = _built(wh, "fact_sales_items", "sales_key", keyed)
     if built is not None:
         return built

@@ -179,12 +179,12 @@ def violations(check: Check, df: DataFrame) -> DataFrame:
             cond = cond | _any([F.col(c).isNull() for c in cols])
         return g.where(cond)
     if check.kind == "domain":
-        return df.select(*cols).distinct()
+        return df.select(*cols).distinct().orderBy(*cols)
     if check.kind == "cleaned":
         c = F.col(cols[0])
         if check.arg == "strip_quotes":
             return df.select(strip_quotes_trim(c).alias(f"cleaned_{cols[0]}"))
-        return df.select(c, F.left(c, F.lit(10)).alias("date_part"),
+        return df.where(c.isNotNull()).select(c, F.left(c, F.lit(10)).alias("date_part"),
                          _PARSERS[check.arg](c).alias("converted_date"))
     return df.where(row_condition(check))
 
@@ -206,24 +206,24 @@ def _group_condition(check: Check) -> Column:
     return cond
 
 
-def _group_pass(df: DataFrame, group: Check, riders: list[Check]) -> DataFrame:
-    """One grouped aggregate for a group-level check; the table's row-level
-    checks ride along as sums of per-row flags, so the table is evaluated once
-    for all of them (partial aggregation keeps the flags' cost map-side)."""
-    flags = [F.sum(F.when(row_condition(ch), 1).otherwise(0)).alias(ch.check_id) for ch in riders]
-    groups = df.groupBy(*group.columns).agg(F.count(F.lit(1)).alias("_tw_n"), *flags)
-    counts = groups.agg(F.count_if(_group_condition(group)).alias(group.check_id),
-                        *[F.coalesce(F.sum(ch.check_id), F.lit(0)).alias(ch.check_id)
-                          for ch in riders])
-    return _stack(counts, [group] + riders)
+def _group_pass(df: DataFrame, group: Check) -> DataFrame:
+    """One grouped aggregate for a group-level check, reading its columns only."""
+    groups = df.groupBy(*group.columns).agg(F.count(F.lit(1)).alias("_tw_n"))
+    return _stack(groups.agg(F.count_if(_group_condition(group)).alias(group.check_id)), [group])
+
+
+def _row_pass(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All row-level checks of a table in one plain aggregate: one row per task
+    is shuffled, however many distinct keys the table has."""
+    return _stack(df.agg(*[F.count_if(row_condition(ch)).alias(ch.check_id) for ch in checks]),
+                  checks)
 
 
 def run_suite(wh, checks=CHECKS, layers=("bronze", "silver")) -> DataFrame:
     """One row per check: check_id, layer, table_name, kind, columns,
     violations, expect_zero, passed. Per table: one grouped aggregate per
-    group-level check (duplicates, profiles, domains), the row-level checks
-    (nulls, blanks, quotes, dates, ranges, lookups) counted inside the first of
-    them, or in one plain aggregate when the table has no group-level check."""
+    group-level check (duplicates, profiles, domains) and one plain aggregate
+    for all row-level checks (nulls, blanks, quotes, dates, ranges, lookups)."""
     parts: list[DataFrame] = []
     by_table: dict[tuple, tuple[list, list]] = {}
     for ch in checks:
@@ -232,12 +232,9 @@ def run_suite(wh, checks=CHECKS, layers=("bronze", "silver")) -> DataFrame:
             (rows if ch.kind in ROW_KINDS else groups).append(ch)
     for (layer, table), (row_chs, group_chs) in by_table.items():
         df = getattr(wh, layer)(table)
-        if group_chs:
-            parts.append(_group_pass(df, group_chs[0], row_chs))
-            parts += [_group_pass(df, g, []) for g in group_chs[1:]]
-        else:
-            counts = df.agg(*[F.count_if(row_condition(ch)).alias(ch.check_id) for ch in row_chs])
-            parts.append(_stack(counts, row_chs))
+        parts += [_group_pass(df, g) for g in group_chs]
+        if row_chs:
+            parts.append(_row_pass(df, row_chs))
     counts = reduce(DataFrame.unionByName, parts)
     meta = wh.spark.createDataFrame(
         [(c.check_id, c.layer, c.table, c.kind, ",".join(c.columns), c.expect_zero)
@@ -328,13 +325,13 @@ def violations_sql(ch: Check) -> str:
         return (f"SELECT {cols}, count(*) AS occurrence_count FROM {t} GROUP BY {cols} "
                 f"HAVING {having}")
     if ch.kind == "domain":
-        return f"SELECT DISTINCT {cols} FROM {t}"
+        return f"SELECT DISTINCT {cols} FROM {t} ORDER BY {cols}"
     if ch.kind == "cleaned":
         c = ch.columns[0]
         if ch.arg == "strip_quotes":
             return f"SELECT trim(replace({c}, '\"', '')) AS cleaned_{c} FROM {t}"
         return (f"SELECT {c}, left({c}, 10) AS date_part, "
-                f"cast({_sql_parse(ch.arg, c)} AS DATE) AS converted_date FROM {t}")
+                f"cast({_sql_parse(ch.arg, c)} AS DATE) AS converted_date FROM {t} WHERE {c} IS NOT NULL")
     return f"SELECT * FROM {t} WHERE {_sql_row_condition(ch)}"
 
 

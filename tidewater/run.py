@@ -15,7 +15,7 @@ import argparse
 from tidewater.plans import advanced, eda, quality
 from tidewater.plans.warehouse import (LoadAudit, MaterializedLayer, Warehouse, build_gold,
                                        export_sources, load_bronze, load_silver, register_catalog)
-from tidewater.session import build_session
+from tidewater.session import build_session, clear_staging
 
 REPORTS = {
     **{f"eda_{n}": getattr(eda, n) for n in (
@@ -68,6 +68,7 @@ def main(argv=None) -> None:
     audit.run("report", "quality_suite",
               lambda: _write(quality.run_suite(layers), f"{out}/reports/quality_suite"))
     audit.to_df(spark).show(100, truncate=False)
+    clear_staging(spark)
     spark.stop()
 
 

@@ -9,7 +9,6 @@ error rather than a silent machine-local folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -19,12 +18,12 @@ _STAGE_SUBDIR = "tidewater-stage"
 
 
 def build_session(master: str | None = None, app: str = "tidewater",
-                  shuffle_partitions: int | None = None) -> SparkSession:
-    """A session configured for this library: AQE on, UTC, no UI."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
+                  shuffle_partitions: int | None = None,
+                  driver_memory: str | None = None) -> SparkSession:
+    """A session for this library: AQE on, UTC, no UI. Master, shuffle
+    partitions and memory are the cluster's unless given here."""
     builder = (
         SparkSession.builder
-        .master(master or f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -32,9 +31,13 @@ def build_session(master: str | None = None, app: str = "tidewater",
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus) * 2))
-        .config("spark.driver.memory", "16g")
     )
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -58,6 +61,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def _stage_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/{_STAGE_SUBDIR}/{spark.sparkContext.applicationId}"
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/{_STAGE_SUBDIR}/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique folder of this application under the shared checkpoint root."""
+    return f"{_stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_staging(spark: SparkSession) -> None:
+    """Remove what this application staged. Call it when the results are
+    written: frames that read staged tables don't work afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
