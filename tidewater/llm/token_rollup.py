@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import slices, text_bytes
+from tidewater.llm.common import slices, stage, text_bytes
 from tidewater.llm.token_blocks import word_encoder
 
 GROUP = ["source", "lang", "tokenizer"]
@@ -66,8 +66,10 @@ class TokenLedger:
         lang, tokenizer, tokens. Batches are committed in order of their ids;
         committing one again gives the same."""
         changes = changes.where("doc_id IS NOT NULL")
-        last = changes.groupBy("doc_id").agg(F.max(F.struct(
-            "seq", (F.col("op") == "delete").alias("gone"), "tokens", *GROUP)).alias("c"))
+        # staged: the counts behind it are needed twice and are dear
+        last = stage(changes.groupBy("doc_id").agg(F.max(F.struct(
+            "seq", (F.col("op") == "delete").alias("gone"), "tokens", *GROUP)).alias("c")),
+            "changes")
         new = last.where("NOT c.gone").select("doc_id", "c.source", "c.lang", "c.tokenizer",
                                               F.lit(1).cast("long").alias("docs"), "c.tokens")
         # what the ledger holds of these documents; its sums per document are
