@@ -61,3 +61,18 @@ def test_row_number_gathers_only_partition_counts(spark):
     assert p.count("Exchange SinglePartition") == 1
     single = p[p.index("Exchange SinglePartition"):]
     assert "functions=[partial_count(1)]" in single and "BroadcastHashJoin" in p
+
+
+def test_counts_of_dimensions_start_no_job_before_the_action(spark, wh):
+    sc = spark.sparkContext
+    sc.setJobGroup("lazy-dimensions", "")
+    try:
+        eda.total_products(wh), eda.total_sellers(wh)
+        assert not list(sc.statusTracker().getJobIdsForGroup("lazy-dimensions"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_item_fact_derives_the_items_once(wh):
+    p = plan(gold.fact_sales_items(wh, keyed=False))
+    assert "lineitem.parquet" not in p and "items-" in p

@@ -1,8 +1,8 @@
 """Join helpers.
 
-Broadcasting is only forced behind a checked size bound; beyond the bound the
-plain join is left to Catalyst/AQE (sort-merge, or broadcast when AQE sees a
-small side at run time).
+No lookup is broadcast by force: AQE measures the shuffled lookup at run time
+and broadcasts it below ``spark.sql.autoBroadcastJoinThreshold``; beyond that a
+hot lookup key is split by AQE's skew join.
 """
 
 from __future__ import annotations
@@ -12,22 +12,6 @@ from pyspark.sql import functions as F
 
 from tidewater.session import staging_path
 
-DEFAULT_LOOKUP_ROWS = 1_000_000
-
-
-def fits_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Stops reading after
-    ``max_rows + 1`` rows, so the check costs at most that much."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_lookup(left: DataFrame, lookup: DataFrame, on, how: str = "left",
-                max_rows: int = DEFAULT_LOOKUP_ROWS) -> DataFrame:
-    """Join a lookup/dimension table; broadcast it only if it has at most
-    ``max_rows`` rows (checked), otherwise a shuffled join."""
-    side = F.broadcast(lookup) if fits_rows(lookup, max_rows) else lookup
-    return left.join(side, on, how)
-
 
 def left_join_spread_null_keys(left: DataFrame, right: DataFrame, key: str,
                                buckets: int | None = None, salt_from: str | None = None) -> DataFrame:

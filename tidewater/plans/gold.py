@@ -17,12 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import prefixed_key
-from tidewater.operators import (global_row_number, hot_keys, join_lookup, keep_first,
-                                 left_join_salted, left_join_spread_null_keys)
-
-# Bounds for broadcasting lookups (checked at run time, shuffled join beyond).
-TRANSLATION_BROADCAST_ROWS = 100_000
-GEOLOCATION_BROADCAST_ROWS = 1_000_000
+from tidewater.operators import (global_row_number, hot_keys, keep_first, left_join_salted,
+                                 left_join_spread_null_keys)
+from tidewater.session import staging_path
 
 
 def _keyed(df: DataFrame, key: str, order, keyed: bool) -> DataFrame:
@@ -66,26 +63,26 @@ def dim_seller(wh, keyed: bool = True) -> DataFrame:
     if built is not None:
         return built
     s = wh.silver("prd_seller_details")
-    g = first_geolocation(wh)
-    # one row per zip prefix: broadcast when the zip domain is small (checked),
-    # which also keeps a zip shared by many sellers off a single reducer
-    d = join_lookup(s, g, s.seller_zip_code_prefix == g.geolocation_zip_code_prefix, "left",
-                    max_rows=GEOLOCATION_BROADCAST_ROWS) \
+    g = first_geolocation(wh)      # one row per zip prefix
+    d = s.join(g, s.seller_zip_code_prefix == g.geolocation_zip_code_prefix, "left") \
          .select("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state",
                  "geolocation_lat", "geolocation_lng")
     return _keyed(d, "seller_key", ["seller_id"], keyed)
 
 
 def dim_products(wh, keyed: bool = True) -> DataFrame:
-    """Products with the English category name, 'n/a' when untranslated."""
+    """Products with the English category name, 'n/a' when untranslated.
+    A category translated twice gets the first translation in text order, so
+    the dimension keeps one row per product."""
     built = _built(wh, "dim_products", "product_key", keyed)
     if built is not None:
         return built
     p = wh.silver("prd_item_details")
-    t = wh.silver("prd_translations").withColumnRenamed("product_category_name", "_tw_cat")
-    j = join_lookup(p, t, p.product_category_name == t._tw_cat, "left",
-                    max_rows=TRANSLATION_BROADCAST_ROWS)
-    d = j.select("product_id",
+    t = wh.silver("prd_translations") \
+        .groupBy(F.col("product_category_name").alias("_tw_cat")) \
+        .agg(F.min("product_category_name_english").alias("product_category_name_english"))
+    d = p.join(t, p.product_category_name == t._tw_cat, "left").select(
+                 "product_id",
                  F.coalesce("product_category_name_english", F.lit("n/a")).alias("product_category_name"),
                  "product_photos_qty", "product_weight_g", "product_length_cm",
                  "product_height_cm", "product_width_cm")
@@ -142,6 +139,17 @@ ITEM_ORDER = ("order_id", "order_item_id", "product_id", "seller_id", "shipping_
               "price", "freight_value")
 
 
+def _items_once(wh) -> DataFrame:
+    """Silver items as a written table. They are read twice (hot keys, joins):
+    a layer that derives them would deduplicate all items each time."""
+    oi = wh.silver("sales_ord_items")
+    if getattr(wh, "materialized", False):
+        return oi
+    path = staging_path(oi.sparkSession, "items")
+    oi.write.parquet(path)
+    return oi.sparkSession.read.parquet(path)
+
+
 def fact_sales_items(wh, keyed: bool = True) -> DataFrame:
     """One row per order item with text keys ``CUST<customer_key>``,
     ``PRD<product_id>``, ``S<seller_id>`` (whole values, null when the dimension
@@ -149,22 +157,24 @@ def fact_sales_items(wh, keyed: bool = True) -> DataFrame:
     built = _built(wh, "fact_sales_items", "sales_key", keyed)
     if built is not None:
         return built
-    oi = wh.silver("sales_ord_items")
+    oi = _items_once(wh)
     od = wh.silver("sales_ord_details").select(
         "order_id", "customer_id", "order_status", "order_purchase_timestamp",
         "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date",
         "order_estimated_delivery_date")
     ci = wh.silver("crm_cust_info").select("customer_id", "customer_unique_id")
     dc = dim_customer(wh, keyed=True).select("customer_unique_id", "customer_key")
-    dp = wh.silver("prd_item_details").select("product_id", F.col("product_id").alias("_tw_pid"))
-    ds = wh.silver("prd_seller_details").select("seller_id", F.col("seller_id").alias("_tw_sid"))
+    dp = dim_products(wh, keyed=False).select("product_id", F.col("product_id").alias("_tw_pid"))
+    ds = dim_seller(wh, keyed=False).select("seller_id", F.col("seller_id").alias("_tw_sid"))
     # The customer mapping is done at order grain, then joined to the items
     # once. Same result as chaining every join at item grain (each join's
     # condition uses only the table before it, so the left joins associate),
     # but the customer joins see one row per order, and a customer with a
-    # huge share of the items is no longer a hot key at item grain.
+    # huge share of the items is no longer a hot key at item grain; one with a
+    # huge share of the orders is salted like the item keys below.
     orders = left_join_spread_null_keys(od, ci, "customer_id", salt_from="order_id")
-    orders = left_join_spread_null_keys(orders, dc, "customer_unique_id", salt_from="order_id") \
+    frequent = hot_keys(ci, ["customer_unique_id"])["customer_unique_id"]
+    orders = left_join_salted(orders, dc, "customer_unique_id", frequent, salt_from="order_id") \
         .drop("customer_id", "customer_unique_id")
     # An order, product or seller holding a large share of all items is
     # spread over many reducers; the hot values of all three keys are found

@@ -71,6 +71,8 @@ class Warehouse:
 class MaterializedLayer:
     """A layer read back from parquet tables written by the jobs below."""
 
+    materialized = True
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
@@ -112,33 +114,35 @@ def read_source(spark: SparkSession, src_root: str, name: str) -> tuple[DataFram
     return read_delimited(spark, path, BRONZE[name])
 
 
-def source_records(spark: SparkSession, src_root: str, name: str) -> int:
-    """Records delivered in one source folder (header excluded). Counting needs
-    no column, so malformed records are counted without being parsed."""
-    path = f"{src_root}/{name}"
-    if name in LINE_SOURCES:
-        return read_raw_lines(spark, path, header=LINE_SOURCES[name]).count()
-    reader = spark.read.schema(BRONZE[name]).option("header", True)
-    if name in QUOTED_SOURCES:
-        reader = reader.option("quote", '"').option("escape", '"').option("multiLine", True)
-    else:
-        reader = reader.option("quote", "")
-    return reader.csv(path).count()
+def rejects_path(bronze_root: str, name: str) -> str:
+    """Where the rejected records of a bronze table land."""
+    return f"{bronze_root.rstrip('/')}_rejects/{name}"
+
+
+def load_bronze_table(spark: SparkSession, src_root: str, bronze_root: str, name: str,
+                      audit: LoadAudit, max_rejects: int | None = None) -> None:
+    """One source folder -> its bronze table, and its malformed records (the
+    raw line in ``value``) beside it, both full refresh."""
+    rows, rejects = read_source(spark, src_root, name)
+
+    def land() -> DataFrame:
+        landed = overwrite_table(rows, f"{bronze_root}/{name}", BRONZE[name].fieldNames())
+        overwrite_table(rejects, rejects_path(bronze_root, name))
+        return landed
+
+    audit.run("bronze", name, land,
+              rejects=lambda _n: spark.read.parquet(rejects_path(bronze_root, name)).count(),
+              max_rejects=max_rejects)
 
 
 def load_bronze(spark: SparkSession, src_root: str, bronze_root: str,
                 audit: LoadAudit | None = None, max_rejects: int | None = None) -> LoadAudit:
     """A11 ``load_bronze``: every source file -> bronze parquet, full refresh.
-    Malformed records are counted as rejects; more than ``max_rejects`` in one
-    table fails the batch after recording it (no limit by default)."""
+    Malformed records land under ``rejects_path``; more than ``max_rejects`` in
+    one table fails the batch after recording it (no limit by default)."""
     audit = audit or LoadAudit()
     for name in BRONZE:
-        rows, _rejects = read_source(spark, src_root, name)
-        audit.run("bronze", name,
-                  lambda rows=rows, name=name: overwrite_table(rows, f"{bronze_root}/{name}",
-                                                               BRONZE[name].fieldNames()),
-                  rejects=lambda n, name=name: source_records(spark, src_root, name) - n,
-                  max_rejects=max_rejects)
+        load_bronze_table(spark, src_root, bronze_root, name, audit, max_rejects)
     return audit
 
 

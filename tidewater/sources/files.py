@@ -112,9 +112,3 @@ def overwrite_table(df: DataFrame, path: str, columns=None) -> DataFrame:
     out = df.select(*columns) if columns else df
     out.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def publish_view(df: DataFrame, name: str) -> DataFrame:
-    """Published view over a layer."""
-    df.createOrReplaceTempView(name)
-    return df

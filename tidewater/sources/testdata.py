@@ -86,15 +86,15 @@ def _nation_region(spark, sf_dir) -> DataFrame:
 
 
 def bronze_customers(spark, sf_dir) -> DataFrame:
-    """One customer_id per order, many per unique customer; every 97th order
-    has no customer row."""
-    o = read_test_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey") \
-        .where(F.col("o_orderkey") % 97 != 0)
+    """One customer_id per order, many per unique customer; every 97th row has
+    an id that no order carries, so its order has no customer."""
+    o = read_test_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    prefix = F.when(F.col("o_orderkey") % 97 == 0, "gone").otherwise("cid")
     c = read_test_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nr = _nation_region(spark, sf_dir)
     j = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(nr), F.col("c_nationkey") == nr.n_nationkey)
     return j.select(
-        F.concat(F.lit("cid"), _pad(F.col("o_orderkey"), 8)).alias("customer_id"),
+        F.concat(prefix, _pad(F.col("o_orderkey"), 8)).alias("customer_id"),
         F.concat(F.lit("u"), _pad(F.col("c_custkey"), 8)).alias("customer_unique_id"),
         _pad((F.col("o_orderkey") % 3 + F.col("c_custkey")) % 200, 5).alias("customer_zip_code"),
         F.col("n_name").alias("customer_city"),
@@ -142,14 +142,15 @@ def bronze_order_items(spark, sf_dir) -> DataFrame:
 
 
 def bronze_payments(spark, sf_dir) -> DataFrame:
-    """Every 10th order pays in three parts, every 101st has no payment."""
-    o = read_test_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice") \
-        .where(F.col("o_orderkey") % 101 != 0)
+    """Every 10th order pays in three parts; the payment of every 101st names
+    an order that doesn't exist."""
+    o = read_test_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     k = F.col("o_orderkey")
     o = o.withColumn("seq", F.explode(F.sequence(F.lit(1), F.when(k % 10 == 0, 3).otherwise(1))))
     kind = (k + F.col("seq")) % 4
     return o.select(
-        F.concat(F.when(k % 3 == 0, '"').otherwise(""), k.cast("string")).alias("order_id"),
+        F.concat(F.when(k % 3 == 0, '"').otherwise(""), F.when(k % 101 == 0, "x").otherwise(""),
+                 k.cast("string")).alias("order_id"),
         F.col("seq").cast("int").alias("payment_sequential"),
         F.when(kind == 0, "credit_card").when(kind == 1, "boleto").when(kind == 2, "voucher")
          .otherwise("debit_card").alias("payment_type"),
@@ -159,16 +160,16 @@ def bronze_payments(spark, sf_dir) -> DataFrame:
 
 
 def bronze_reviews(spark, sf_dir) -> DataFrame:
-    """Every 7th order has two reviews (the later one wins), every 11th none;
-    padded titles; messages with commas and quotes."""
-    o = read_test_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority") \
-        .where(F.col("o_orderkey") % 11 != 0)
+    """Every 7th order has two reviews (the later one wins); those of every 11th
+    name an order that doesn't exist; padded titles; messages with commas and
+    quotes."""
+    o = read_test_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     k, d, prio = F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_orderpriority")
     o = o.withColumn("n", F.explode(F.sequence(F.lit(1), F.when(k % 7 == 0, 2).otherwise(1))))
     n = F.col("n")
     return o.select(
         F.concat(F.lit("r"), k.cast("string"), F.lit("-"), n.cast("string")).alias("review_id"),
-        k.cast("string").alias("order_id"),
+        F.concat(F.when(k % 11 == 0, "x").otherwise(""), k.cast("string")).alias("order_id"),
         (F.lit(1) + (k * 3 + n) % 5).cast("int").alias("review_score"),
         F.when(k % 2 == 0, F.concat(F.lit(" "), prio, F.lit(" "))).alias("review_title"),
         F.when(k % 3 != 0, F.concat(F.lit("Order "), k.cast("string"), F.lit(', priority "'),
@@ -183,7 +184,8 @@ def _category(p_type: Column, p_brand: Column) -> Column:
 
 
 def bronze_products(spark, sf_dir) -> DataFrame:
-    """Products; snake_case categories (null for every 50th) and null attributes."""
+    """Products; snake_case categories (null for every 50th) and null attributes;
+    a negative weight for every 31st."""
     p = read_test_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type",
                                                         "p_size", "p_retailprice")
     k, size = F.col("p_partkey"), F.col("p_size")
@@ -193,19 +195,23 @@ def bronze_products(spark, sf_dir) -> DataFrame:
         F.length("p_name").cast("int").alias("product_name_length"),
         F.when(k % 23 != 0, size * 10).cast("int").alias("product_description_length"),
         F.when(k % 17 != 0, size).cast("int").alias("product_photos_qty"),
-        F.floor("p_retailprice").cast("int").alias("product_weight_g"),
+        (F.floor("p_retailprice") * F.when(k % 31 == 0, -1).otherwise(1)).cast("int")
+         .alias("product_weight_g"),
         (size + 1).cast("int").alias("product_length_cm"),
         F.when(k % 19 != 0, size + 2).cast("int").alias("product_height_cm"),
         (size + 3).cast("int").alias("product_width_cm"))
 
 
 def bronze_translations(spark, sf_dir) -> DataFrame:
-    """Category -> English; PROMO categories have none."""
-    p = read_test_table(spark, sf_dir, "part").select("p_type", "p_brand") \
-        .where(F.col("p_type") != "PROMO")
-    return p.select(
-        _category(F.col("p_type"), F.col("p_brand")).alias("product_category_name"),
-        F.concat(F.lit("en_"), F.lower("p_type"), F.lit("_"), F.lower("p_brand"))
+    """Category -> English; those of PROMO are filed under a name no product
+    has; ECONOMY categories have two translations."""
+    p = read_test_table(spark, sf_dir, "part").select("p_type", "p_brand")
+    lang = F.explode(F.when(F.col("p_type") == "ECONOMY", F.array(F.lit("en_"), F.lit("uk_")))
+                     .otherwise(F.array(F.lit("en_"))))
+    return p.select("p_type", "p_brand", lang.alias("lang")).select(
+        F.concat(F.when(F.col("p_type") == "PROMO", "old_").otherwise(""),
+                 _category(F.col("p_type"), F.col("p_brand"))).alias("product_category_name"),
+        F.concat("lang", F.lower("p_type"), F.lit("_"), F.lower("p_brand"))
          .alias("product_category_name_english")).distinct()
 
 
