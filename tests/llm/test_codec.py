@@ -31,6 +31,21 @@ def test_words_as_the_library_encodes_whole_texts():
         tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_letters_beyond_ascii_and_a_turned_over_memory(monkeypatch):
+    from tidewater.llm import token_blocks
+    from tokenizers import Tokenizer
+    tokenizer, coder = Tokenizer.from_file(PATH), token_blocks.WordEncoder(PATH)
+    monkeypatch.setattr(token_blocks, "CACHE_WORDS", 200)
+    letters = sorted(coder.letters)
+    texts = [f"{c} {c}a B{c}. {c}{d}, {d}\u0301{c} {c}'s the" for c, d in
+             zip(letters, reversed(letters), strict=True)]
+    for at in range(0, len(texts), 40):
+        some = texts[at:at + 40]
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+        assert coder.encode([t.encode() for t in some]) == want
+        assert coder.count([t.encode() for t in some]) == [len(w) for w in want]
+
+
 def test_file_index(odd):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(PATH)

@@ -17,6 +17,8 @@ first), rows that repeat an id by a hash of the text.
 
 from __future__ import annotations
 
+import struct
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -37,7 +39,7 @@ LAYOUT = ((0, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6)
           (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 _COUNT = np.array([c for c, _ in LAYOUT])
 _BITS = np.array([b for _, b in LAYOUT])
-#: Words whose ids a worker remembers.
+#: Words whose ids a worker remembers before it lets go of those long unseen.
 CACHE_WORDS = 250_000
 #: Marks that may end a word; those that special tokens or contractions use
 #: aren't among them.
@@ -136,70 +138,90 @@ def decode_ids(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
     return value[place < size[block[word]]]
 
 
+def letter_table() -> dict[int, str]:
+    """Latin, Greek and Cyrillic letters, by code point, as the byte-level
+    model sees them lowered. Each is its own composed form, no two of them
+    compose with each other, and each lowers to a single letter."""
+    from tokenizers.pre_tokenizers import ByteLevel
+    level = ByteLevel(add_prefix_space=False, use_regex=False)
+    table = {}
+    for code in range(0x41, 0x530):
+        char = chr(code)
+        low = char.lower()
+        if (unicodedata.category(char) in ("Ll", "Lu") and len(low) == 1
+                and unicodedata.is_normalized("NFC", char)):
+            table[code] = level.pre_tokenize_str(low)[0][0]
+    return table
+
+
 class WordEncoder:
     """Encodes with a tokenizer of the ``tokenizers`` library that lowers and
     composes text, splits it into runs of letters, single digits and runs of
     other marks, and drops white space. So its pieces never cross ASCII white
     space, nor the place between a letter and the marks that end a word, and
-    each distinct part is given to the library once and remembered. The memory
-    is emptied when it holds ``CACHE_WORDS`` words."""
+    each distinct part is given to the library once and remembered, as the
+    little-endian bytes of its 32-bit ids. A memory of ``CACHE_WORDS`` words
+    is set aside and a new one begun, which takes over what is met again."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, tuple[int, ...]] = {}
-
-    def _learn(self, parts: list[bytes]) -> None:
-        """Remember parts that the library has to encode. A run of the letters
-        a-z is a single unit of its model, which can be asked without the
-        normaliser and the splitter."""
+        self.known: dict[bytes, bytes] = {}
+        self.past: dict[bytes, bytes] = {}
+        self.table = letter_table()
+        self.letters = frozenset(map(chr, self.table))
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Remember words that the library has to encode. A run of letters of
+        the table is a single unit of its model, which can be asked without
+        the normaliser and the splitter."""
         known, model = self.known, self.tokenizer.model.tokenize
-        rest = []
-        for part in parts:
-            if part.isalpha() and part.islower() and part.isascii():
-                known[part] = tuple([t.id for t in model(part.decode())])
-            else:
-                rest.append(part)
+        letters, table, pack = self.letters.issuperset, self.table, struct.pack
+        rest: list[bytes] = []
+        marked: list[tuple[bytes, bytes, bytes]] = []
+        for word in words:
+            core = word.rstrip(_MARKS)
+            text = core.decode("utf-8", "replace")
+            if not (core and letters(text)):
+                rest.append(word)          # its marks may go on with what is before them
+                continue
+            if core != word:
+                marked.append((word, core, word[len(core):]))
+                if core in known:
+                    continue
+            ids = [t.id for t in model(text.translate(table))]
+            known[core] = pack(f"<{len(ids)}I", *ids)
+        rest += {marks for _, _, marks in marked}.difference(known, rest)
         for at in range(0, len(rest), 4096):
             some = rest[at:at + 4096]
             coded = self.tokenizer.encode_batch_fast(
                 [p.decode("utf-8", "replace") for p in some], add_special_tokens=False)
-            known.update(zip(some, (tuple(c.ids) for c in coded), strict=True))
+            known.update((p, pack(f"<{len(c.ids)}I", *c.ids))
+                         for p, c in zip(some, coded, strict=True))
+        for word, core, marks in marked:
+            known[word] = known[core] + known[marks]
 
     def words(self, texts: list[bytes]) -> list[list[bytes]]:
         split = [t.split() for t in texts]
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = set(chain.from_iterable(split)).difference(known)
-        made: dict[bytes, tuple[bytes, bytes]] = {}
-        parts = set()
-        for word in new:
-            core = word.rstrip(_MARKS)
-            marks = word[len(core):]
-            if core.isascii() and b"<" not in core:     # '<' may begin a special token
-                low = core.lower()
-            else:
-                low = core
-            if marks and not (core and core.decode("utf-8", "replace")[-1].lower()[-1].isalpha()):
-                low, marks = word, b""      # the marks may go on with what is before them
-            if low != word:
-                made[word] = (low, marks)
-                if marks:
-                    parts.add(marks)
-            parts.add(low)
-        self._learn([p for p in parts if p not in known])
-        for word, (low, marks) in made.items():
-            known[word] = known[low] + known[marks] if marks else known[low]
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.past = {}, self.known
+        new = set(chain.from_iterable(split)).difference(self.known)
+        for word in new.intersection(self.past):
+            self.known[word] = self.past[word]
+        self._learn(new.difference(self.known))
         return split
 
-    def encode(self, texts: list[bytes]) -> list[list[int]]:
+    def arrays(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text."""
         split, get = self.words(texts), self.known.__getitem__
-        return [list(chain.from_iterable(map(get, s))) for s in split]
+        return [np.frombuffer(b"".join(map(get, s)), "<u4") for s in split]
+
+    def encode(self, texts: list[bytes]) -> list[list[int]]:
+        return [ids.tolist() for ids in self.arrays(texts)]
 
     def count(self, texts: list[bytes]) -> list[int]:
-        split, known = self.words(texts), self.known
-        return [sum([len(known[w]) for w in s]) for s in split]
+        split, get = self.words(texts), self.known.__getitem__
+        return [sum(map(len, map(get, s))) // 4 for s in split]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -219,6 +241,7 @@ def _packer(path: str, end_id: int) -> Callable:
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
         encoder = word_encoder(path)
+        end = np.array([end_id], np.uint32)
         doc_ids: list = []
         lengths: list[int] = []
         ids: list[np.ndarray] = []
@@ -236,13 +259,12 @@ def _packer(path: str, end_id: int) -> Callable:
 
         for whole in batches:
             for batch in slices(whole, 64):
-                coded = encoder.encode(batch.column(1).to_pylist())
+                coded = encoder.arrays(batch.column(1).to_pylist())
                 for doc, found in zip(batch.column(0).to_pylist(), coded, strict=True):
-                    found.append(end_id)
                     doc_ids.append(doc)
-                    lengths.append(len(found))
-                    ids.append(np.array(found, np.uint32))
-                    held += len(found)
+                    lengths.append(len(found) + 1)
+                    ids += (found, end)
+                    held += len(found) + 1
                     if held >= SEGMENT_IDS:
                         yield segment()
                         first, held = first + held, 0
