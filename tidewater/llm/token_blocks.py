@@ -21,7 +21,6 @@ import struct
 import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -154,74 +153,73 @@ def letter_table() -> dict[int, str]:
     return table
 
 
+class WordMemory(dict):
+    """The ids of words, as the little-endian bytes of 32-bit numbers. A word
+    that isn't held is encoded when it is asked for."""
+
+    def __init__(self, tokenizer, past: dict[bytes, bytes]):
+        self.tokenizer, self.past = tokenizer, past
+        self.model = tokenizer.model.tokenize
+        self.table = letter_table()
+        self.letters = frozenset(map(chr, self.table)).issuperset
+
+    def turn(self) -> None:
+        """Set aside what is held; what is met again is taken over."""
+        self.past = dict(self)
+        self.clear()
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.past.get(word)
+        if ids is None:
+            core = word.rstrip(_MARKS)
+            if core.isalpha():                 # A-Z and a-z alone
+                ids = self._unit(word, core, core.lower().decode())
+            else:
+                text = core.decode("utf-8", "replace")
+                if core and self.letters(text):
+                    ids = self._unit(word, core, text.translate(self.table))
+                else:                          # its marks may go on with what is before them
+                    ids = _id_bytes(self.tokenizer.encode(
+                        word.decode("utf-8", "replace"), add_special_tokens=False).ids)
+        self[word] = ids
+        return ids
+
+    def _unit(self, word: bytes, core: bytes, text: str) -> bytes:
+        """A run of letters of the table is a single unit of the library's
+        model, which is asked without the normaliser and the splitter."""
+        if core != word:
+            return self[core] + self[word[len(core):]]
+        return _id_bytes([t.id for t in self.model(text)])
+
+
+def _id_bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
     """Encodes with a tokenizer of the ``tokenizers`` library that lowers and
     composes text, splits it into runs of letters, single digits and runs of
     other marks, and drops white space. So its pieces never cross ASCII white
     space, nor the place between a letter and the marks that end a word, and
-    each distinct part is given to the library once and remembered, as the
-    little-endian bytes of its 32-bit ids. A memory of ``CACHE_WORDS`` words
-    is set aside and a new one begun, which takes over what is met again."""
+    each distinct part is given to the library once and remembered. A memory
+    of ``CACHE_WORDS`` words is set aside and a new one begun."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.past: dict[bytes, bytes] = {}
-        self.table = letter_table()
-        self.letters = frozenset(map(chr, self.table))
-
-    def _learn(self, words: set[bytes]) -> None:
-        """Remember words that the library has to encode. A run of letters of
-        the table is a single unit of its model, which can be asked without
-        the normaliser and the splitter."""
-        known, model = self.known, self.tokenizer.model.tokenize
-        letters, table, pack = self.letters.issuperset, self.table, struct.pack
-        rest: list[bytes] = []
-        marked: list[tuple[bytes, bytes, bytes]] = []
-        for word in words:
-            core = word.rstrip(_MARKS)
-            text = core.decode("utf-8", "replace")
-            if not (core and letters(text)):
-                rest.append(word)          # its marks may go on with what is before them
-                continue
-            if core != word:
-                marked.append((word, core, word[len(core):]))
-                if core in known:
-                    continue
-            ids = [t.id for t in model(text.translate(table))]
-            known[core] = pack(f"<{len(ids)}I", *ids)
-        rest += {marks for _, _, marks in marked}.difference(known, rest)
-        for at in range(0, len(rest), 4096):
-            some = rest[at:at + 4096]
-            coded = self.tokenizer.encode_batch_fast(
-                [p.decode("utf-8", "replace") for p in some], add_special_tokens=False)
-            known.update((p, pack(f"<{len(c.ids)}I", *c.ids))
-                         for p, c in zip(some, coded, strict=True))
-        for word, core, marks in marked:
-            known[word] = known[core] + known[marks]
-
-    def words(self, texts: list[bytes]) -> list[list[bytes]]:
-        split = [t.split() for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known, self.past = {}, self.known
-        new = set(chain.from_iterable(split)).difference(self.known)
-        for word in new.intersection(self.past):
-            self.known[word] = self.past[word]
-        self._learn(new.difference(self.known))
-        return split
+        self.memory = WordMemory(Tokenizer.from_file(path), {})
 
     def arrays(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text."""
-        split, get = self.words(texts), self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, s)), "<u4") for s in split]
+        if len(self.memory) > CACHE_WORDS:
+            self.memory.turn()
+        get = self.memory.__getitem__
+        return [np.frombuffer(b"".join(map(get, t.split())), "<u4") for t in texts]
 
     def encode(self, texts: list[bytes]) -> list[list[int]]:
         return [ids.tolist() for ids in self.arrays(texts)]
 
     def count(self, texts: list[bytes]) -> list[int]:
-        split, get = self.words(texts), self.known.__getitem__
-        return [sum(map(len, map(get, s))) // 4 for s in split]
+        return [len(ids) for ids in self.arrays(texts)]
 
 
 _encoders: dict[str, WordEncoder] = {}
