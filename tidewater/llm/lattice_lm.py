@@ -93,19 +93,20 @@ class Lattice:
     def _bytes(self, char: str) -> float:
         return sum(self.byte[b] for b in char.encode())
 
-    def forward(self, text: str) -> list[float]:
-        """Log of the summed weight of all segmentations of each beginning."""
-        tree, n = self.tree, len(text)
+    def forward(self, text: str, arcs: list | None = None) -> list[float]:
+        """Log of the summed weight of all segmentations of each beginning. The
+        pieces used are added to ``arcs`` as (start, end, log weight, place),
+        without a place where a character goes through its bytes."""
+        find, n = self.tree.get, len(text)
         exp, log1p, none = math.exp, math.log1p, -math.inf
         alpha = [none] * (n + 1)
         alpha[0] = 0.0
         for i in range(n):
-            a = alpha[i]
+            a, alone = alpha[i], True
             for j in range(i + 1, n + 1):
-                piece = text[i:j]
-                if piece not in tree:
+                found = find(text[i:j], False)
+                if found is False:
                     break
-                found = tree[piece]
                 if found is not None:
                     x, y = a + found[0], alpha[j]
                     if y == none:
@@ -114,35 +115,38 @@ class Lattice:
                         alpha[j] = x + log1p(exp(y - x))
                     else:
                         alpha[j] = y + log1p(exp(x - y))
-            if tree.get(text[i]) is None:            # no piece of this one character
-                x, y = a + self._bytes(text[i]), alpha[i + 1]
+                    if j == i + 1:
+                        alone = False
+                    if arcs is not None:
+                        arcs.append((i, j, *found))
+            if alone:                                # no piece of this one character
+                weight = self._bytes(text[i])
+                x, y = a + weight, alpha[i + 1]
                 alpha[i + 1] = x if y == none else max(x, y) + log1p(exp(-abs(x - y)))
+                if arcs is not None:
+                    arcs.append((i, i + 1, weight, None))
         return alpha
 
-    def expect(self, text: str, count: float, total: np.ndarray) -> None:
+    def expect(self, text: str, count: float, total: list[float]) -> None:
         """Add ``count`` times the expected number of each piece to ``total``."""
-        alpha, tree, n = self.forward(text), self.tree, len(text)
-        whole, exp = alpha[n], math.exp
-        beta = [-math.inf] * n + [0.0]
-        for i in range(n - 1, -1, -1):
-            found = []
-            for j in range(i + 1, n + 1):
-                piece = text[i:j]
-                if piece not in tree:
-                    break
-                if (hit := tree[piece]) is not None:
-                    found.append((hit[0] + beta[j], hit[1]))
-            if tree.get(text[i]) is None:
-                found.append((self._bytes(text[i]) + beta[i + 1], None))
-            top = max(f[0] for f in found)
-            beta[i] = top + math.log(sum([exp(f[0] - top) for f in found]))
-            for value, place in found:
-                weight = count * exp(alpha[i] + value - whole)
-                if place is not None:
-                    total[place] += weight
-                else:
-                    for b in text[i].encode():
-                        total[self.byte_place[b]] += weight
+        arcs: list[tuple] = []
+        alpha, n = self.forward(text, arcs), len(text)
+        whole, exp, log1p, none = alpha[n], math.exp, math.log1p, -math.inf
+        beta = [none] * n + [0.0]
+        for i, j, log, place in reversed(arcs):      # by falling start
+            x, y = log + beta[j], beta[i]
+            if y == none:
+                beta[i] = x
+            elif x > y:
+                beta[i] = x + log1p(exp(y - x))
+            else:
+                beta[i] = y + log1p(exp(x - y))
+            weight = count * exp(alpha[i] + x - whole)
+            if place is not None:
+                total[place] += weight
+            else:
+                for b in text[i].encode():
+                    total[self.byte_place[b]] += weight
 
     def word(self, word: bytes) -> float:
         """Log probability of a word, all segmentations together."""
@@ -178,11 +182,12 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _expected(pieces: list[str], weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, total = Lattice(pieces, weights), np.zeros(len(pieces))
+        lattice, sums = Lattice(pieces, weights), [0.0] * len(pieces)
         for batch in batches:
             for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                strict=True):
-                lattice.expect(MARK + word.decode("utf-8", "replace"), c, total)
+                lattice.expect(MARK + word.decode("utf-8", "replace"), c, sums)
+        total = np.array(sums)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])],
                                          names=["place", "expected"])
