@@ -90,6 +90,26 @@ def test_decontamination_finds_copies_and_paraphrases(spark, make):
     assert contaminated_documents(make([]), bench).count() == 0
 
 
+def test_decontamination_finds_short_items_among_foreign_words(spark, make):
+    r = random.Random(5)
+    items = [[f"i{k}w{j}" for j in range(16)] for k in range(12)]
+    rows, leaked = [], {}
+    for i in range(300):                 # all words of an item in every third document: a low idf
+        body = [w for k, item in enumerate(items) if (i + k) % 3 for w in r.sample(item, 5)]
+        rows.append((i, " ".join(body)))
+    for i, item in enumerate(items):
+        foreign = [f"x{i}y{j}" for j in range(60)]
+        split = [w for j, v in enumerate(item) for w in ((v, "zz") if j % 4 == 3 else (v,))]
+        changed = ["qq" if j in (3, 9) else w for j, w in enumerate(item)]
+        for kind, text in enumerate((item, split, changed)):
+            rows.append((1000 + 100 * kind + i, " ".join(foreign[:33] + text + foreign[33:])))
+            leaked[rows[-1][0]] = [i]
+    bench = spark.createDataFrame([(k, " ".join(t) + ".") for k, t in enumerate(items)],
+                                  "item_id long, text string")
+    got = contaminated_documents(make(rows), bench).collect()
+    assert {g["doc_id"]: g["item_ids"] for g in got if g["contaminated"]} == leaked
+
+
 def test_lcs_and_passages():
     r = random.Random(0)
     for _ in range(50):
