@@ -47,6 +47,35 @@ def test_pseudonyms_keep_formats_and_links(make):
     assert [by[1][f"pii_{k}"] for k in ("email", "ip", "phone", "ssn", "date", "card")] == [1, 1, 1, 1, 2, 1]
 
 
+def test_phones_of_any_digits_and_country(make):
+    forms = ["+1 (017) 555-7713", "+1 (988) 155-2485", "(017) 555-7713", "+1 017.555.7713", "+10175557713",
+             "017-555-7713", "988.555.2485", "1-800-555-0199", "1.800.555.0199", "800 555 0199",
+             "1 (800) 555-0199", "+44 20 7946 0958", "+49 (0)30 1234567", "+351 912 345 678",
+             "+7 495 123-45-67", "+1 555 1234"]
+    rows = [(i, f"call {p}, 4111 1111 1111 1111") for i, p in enumerate(forms)]
+    rows += [(100, "+44 20 7946 0958 2017-02-28 +44 20 7946 0959 4111 1111 1111 1111"),
+             (101, "12.345.678.9012 and 5557713 and 0175557713"), (102, "+44 20 7946 0958 10.0.0.255")]
+    by = {r["doc_id"]: r for r in pseudonymise(make(rows), "key").collect()}
+    made = []
+    for i, p in enumerate(forms):
+        new = by[i]["text"][5:].split(",")[0]
+        made.append(new)
+        country = re.match(r"(\+(1|44|49|351|7)(?!\d\d\d\d\d\d\d\d\d\d\d)|1(?=\D)|)", p)[0]
+        assert by[i]["pii_phone"] == 1 and new != p and new.startswith(country), (p, new)
+        assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", p)
+    assert made[0].endswith(made[2])
+    assert re.sub(r"\D", "", made[0]) == re.sub(r"\D", "", made[3]) == re.sub(r"\D", "", made[4])
+    assert [by[100][f"pii_{k}"] for k in ("phone", "date", "card")] == [2, 1, 1]
+    assert [by[102][f"pii_{k}"] for k in ("phone", "ip")] == [1, 1]
+    assert by[101]["text"] == rows[-2][1]
+
+
+def test_phone_pseudonyms_are_distinct(spark, make):
+    rows = [(a, f"+1 ({a:03d}) {e:03d}-0000") for a in range(0, 1000, 9) for e in (0, 155, 199, 200, 999)]
+    got = {r["text"] for r in pseudonymise(make(rows), "key").collect()}
+    assert len(got) == len(rows) and not got & {t for _, t in rows}
+
+
 def test_feistel_is_a_permutation(spark):
     from pyspark.sql import functions as F
     out = spark.range(17 * 13).select(feistel(F.col("id") % 17, F.floor(F.col("id") / 17), 17, 13,

@@ -9,7 +9,13 @@ size of the format, with rounds keyed by SHA-256; so equal values get equal
 pseudonyms in every document, different ones different, and no table of them
 is kept anywhere.
 
-What looks like one of the formats but isn't valid (a number that fails the
+Phone numbers are: +1 with ten digits, ten digits in three groups of which the
+first may be in brackets and a 1 may come before, and + with any other country
+code, 7 to 15 digits in all. Any digits are accepted; the country code, the
+separators and whether area code and exchange begin with 0 or 1 stay. Seven or
+ten digits without a mark of the format aren't taken for a phone number.
+
+What looks like one of the other formats but isn't valid (a number that fails the
 Luhn check, 31 February) stays as it is. Null texts stay null, empty ones
 empty; every row is rewritten by itself.
 """
@@ -24,10 +30,17 @@ ROUNDS = 8
 # The formats.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 IP = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d)"
-PHONE = r"(?<![\d+])\+1 ?\(?[2-9]\d\d\)?[ .-]?[2-9]\d\d[ .-]?\d{4}(?!\d)|(?<!\d)\([2-9]\d\d\) ?[2-9]\d\d-\d{4}(?!\d)"
 SSN = r"(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-])"
 DATE = r"(?<![\d-])(?:19|20)\d\d-\d\d-\d\d(?![\d-])|(?<![\d/])\d\d/\d\d/(?:19|20)\d\d(?![\d/])"
 CARD = r"(?<!\d)(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\d)"
+COUNTRY = r"(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+GROUPS = r"(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}"
+#: A number with a country code ends where another format begins.
+PHONE = (r"(?<![\d+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+         r"|(?<!\d)(?:(?<![\d.,+-])1[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+         rf"|(?<![\d.,+-]){GROUPS}(?!\d|[.,-]\d)"
+         rf"|(?<![\d+])\+[1-9](?:(?! (?:{IP}|{SSN}|{DATE}|\+|\d{{4}}(?:[ -]\d{{4}}){{3}}(?![ -]?\d)|"
+         rf"\d{{4}}[ -]\d{{6}}[ -]\d{{5}}(?![ -]?\d)))[ .()-]{{0,2}}\d){{6,14}}(?!\d)")
 ANY = "|".join((EMAIL, IP, PHONE, SSN, DATE, CARD))
 KINDS = ("email", "ip", "phone", "ssn", "date", "card")
 #: Days from 1900-01-01 to 2099-12-31: 73,049 = 229 * 319.
@@ -121,14 +134,31 @@ def card_pseudonym(value: Column, key: str) -> Column:
 
 
 def phone_pseudonym(value: Column, key: str) -> Column:
+    """Ten digits are permuted by area code, exchange and line, the first two
+    among those that begin with 0 or 1 or among the others; the digits after
+    another country code among all of their number."""
     digits = _digits(value)
-    ten = F.substring(digits, -10, 10)
-    pair = feistel((_part(ten, 1, 3).cast("long") - 200) * 800 + _part(ten, 4, 3).cast("long") - 200,
-                   _part(ten, 7, 4).cast("long"), 640_000, 10_000, key, "phone")
-    country = F.when(F.length(digits) > 10, _part(digits, 1, F.length(digits) - 10)).otherwise("")
-    return _refill(value, let(pair, lambda out: F.concat(
-        country, F.floor(out["x"] / 800).cast("long") + 200, out["x"] % 800 + 200,
-        _padded(out["y"], 4))))
+
+    def ten_digits(ten: Column) -> Column:
+        area, exchange = (_part(ten, k, 3).cast("long") for k in (1, 4))
+        size_a, size_e = (F.when(v < 200, 200).otherwise(800) for v in (area, exchange))
+        low_a, low_e = (F.when(v < 200, 0).otherwise(200) for v in (area, exchange))
+        tweak = F.concat(F.lit("phone"), F.when(area < 200, "a").otherwise(""),
+                         F.when(exchange < 200, "e").otherwise(""))
+        pair = feistel((area - low_a) * size_e + exchange - low_e, _part(ten, 7, 4).cast("long"),
+                       size_a * size_e, 10_000, key, tweak)
+        return let(pair, lambda out: F.concat(
+            _padded(F.floor(out["x"] / size_e).cast("long") + low_a, 3),
+            _padded(out["x"] % size_e + low_e, 3), _padded(out["y"], 4)))
+
+    def new(d: Column) -> Column:
+        country = F.regexp_extract(d, f"^{COUNTRY}", 0)
+        start = F.length(country) + 1
+        american = ~value.startswith("+") | ((country == "1") & (F.length(d) == 11))
+        return F.when(american, F.concat(
+            _part(d, 1, F.length(d) - 10), let(F.substring(d, -10, 10), ten_digits))).otherwise(
+            F.concat(country, _permute_digits(_part(d, start, F.length(d)), key, "abroad")))
+    return _refill(value, let(digits, new))
 
 
 def ip_pseudonym(value: Column, key: str) -> Column:
@@ -226,8 +256,8 @@ def email_pseudonym(value: Column, key: str) -> Column:
 
 def _kind(value: Column) -> Column:
     return (F.when(value.contains("@"), "email")
+            .when(value.rlike(rf"^(?:[+(]|1[ .-]?\(|{GROUPS}$)"), "phone")
             .when(value.rlike(r"^\d+\.\d+\.\d+\.\d+$"), "ip")
-            .when(value.rlike(r"^[+(]"), "phone")
             .when(value.rlike(r"^\d{3}-\d\d-\d{4}$"), "ssn")
             .when(value.rlike(r"^(\d{4}-\d\d-\d\d|\d\d/\d\d/\d{4})$"), "date")
             .otherwise("card"))
