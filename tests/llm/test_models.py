@@ -10,7 +10,7 @@ import public_tokenizers
 import pyarrow as pa
 
 from tidewater.llm.lattice_lm import MARK, Lattice, first_weights, lattice_scores, load_pieces
-from tidewater.llm.secret_grammar import find_secrets
+from tidewater.llm.secret_grammar import find_secrets, learn_automata
 from tidewater.llm.toxicity import drop_toxic, fit_nnpu, score_toxicity, train_toxicity
 
 from .conftest import ODD
@@ -47,6 +47,43 @@ def test_base_spans_and_grammar(make):
     assert by[1001] == ""
 
 
+def test_credentials_are_read_whole_whatever_their_number(spark):
+    from pyspark.sql import functions as F
+
+    def automata(n):
+        hexes = F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 40)
+        digits = F.substring(F.regexp_replace(F.sha2(F.concat(F.lit("x"), "id"), 512), "[^0-9]", "0"), 1, 10)
+        tail = F.concat(F.lit("ghijklmnopqrstuvwxyzghij"), digits)             # digits from the 25th on
+        words = F.lit("verylongordinarywordsinhere")
+        df = spark.range(n)
+        return learn_automata(df.select(F.lit("hex").alias("kind"), hexes.alias("value"))
+                              .union(df.select(F.lit("assign"), tail))
+                              .union(df.select(F.lit("other"), words)))
+    r = random.Random(8)
+    runs = ["".join(r.choice("0123456789abcdef") for _ in range(k)) for k in (17, 18, 20, 22, 23)]
+    scores = []
+    for n in (100, 100_000):
+        made = automata(n)
+        scores.append([made["hex"].log_likelihood(v) - made["other"].log_likelihood(v) for v in runs])
+        whole = "ghijklmnopqrstuvwxyzghij" + "0123456789"
+        wrong = "ghijklmnopqrstuvwxyzghij" + "ghijklmnop"
+        assert made["assign"].log_likelihood(whole) > made["assign"].log_likelihood(wrong)
+        hex40 = made["hex"].log_likelihood("0123456789" * 4)
+        assert math.exp(hex40 - made["hex"].log_likelihood("0123456789" * 4 + "+")) > 50
+    for few, many in zip(*scores, strict=True):
+        assert (few >= 12) == (many >= 12) and abs(few - many) < 2
+
+
+def test_rare_formats_count_when_they_can_be_told(spark):
+    from pyspark.sql import functions as F
+    rare = F.concat(F.lit("XY"), F.lpad((F.col("id") * 7919 % 10**8).cast("string"), 14, "7"))
+    many = F.substring(F.md5(F.col("id").cast("string")), 1, 24)
+    value = F.when(F.col("id") % 1000 == 0, rare).otherwise(many)
+    made = learn_automata(spark.range(200_000).select(F.lit("hex").alias("kind"), value.alias("value")))["hex"]
+    q = made.step[made.step[0]["U"][1]]["U"][1]
+    assert q not in made.suffix.values() or math.exp(made.step[q]["d"][0]) > 0.9
+
+
 def test_secrets_odd(odd, make):
     assert all(r["spans"] == "" for r in find_secrets(odd).collect())
     assert find_secrets(make([])).count() == 0

@@ -2,12 +2,17 @@
 
 The base rules (an assignment with a telling name, an access key id, a run of
 hex digits) find the labelled credentials. Their values, as strings of
-character classes, form one prefix tree per kind, counted in Spark; states
-reached by less than ``RARE`` of a kind's credentials are cut, so the tree has
-at most depth / RARE states however large the corpus is. Merging states whose
-outgoing and final frequencies don't differ by the Hoeffding bound turns a
-tree into a probabilistic automaton. The same is done with all other long
-runs of credential characters, as the background.
+character classes, are counted whole in Spark: as one prefix tree per kind of
+``DEPTH`` symbols, and as steps and ends after each symbol, the suffix states.
+A prefix becomes a state of the tree, with all before it, if what follows it
+differs from its suffix state by more than ``EFFECT`` beyond chance; a passage
+that leaves the tree goes on in the suffix states. So a rare format counts as
+soon as it is frequent enough to tell, and the states are those of the formats,
+however large the corpus is. Merging states whose outgoing and final
+frequencies don't differ by the Hoeffding bound turns a tree into a
+probabilistic automaton. The same is done with all other long runs of
+credential characters, as the background. An unseen step has a fixed share of
+the probability, so a verdict doesn't depend on the number of credentials.
 
 Every candidate, i.e. every such run outside the base spans, is then scored:
 the log-likelihood of its format under the best kind against the background's.
@@ -27,7 +32,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import slices, stage, whole_text
@@ -43,7 +48,9 @@ KINDS = ("assign", "access", "hex")
 
 #: Runs of at least this many credential characters are candidates.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
-DEPTH, RARE = 20, 0.002
+DEPTH, EFFECT = 20, 0.1
+#: Share of a state's probability that is dealt evenly over all steps.
+UNSEEN = 0.01
 ALPHA = 0.05
 THRESHOLD = 12.0
 #: Distinct prefixes that a task holds before it hands them on.
@@ -55,6 +62,8 @@ _TO_CLASS = str.maketrans({c: code for chars, code in zip(_CLASSES, _CODES, stri
                            for c in chars})
 _SPREAD = {code: math.log(len(chars)) for chars, code in zip(_CLASSES, _CODES, strict=True)}
 _SYMBOLS = [*_CODES, *"+/_.=-"]
+#: Marks the counts of suffix states among the prefixes.
+_AFTER = "\0"
 _SPANS = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
@@ -119,35 +128,52 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for kind, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                strict=True):
-            form = value[:DEPTH].translate(_TO_CLASS)
-            seen.update([(kind, form[:k]) for k in range(len(form) + 1)])
-            if len(value) < DEPTH:
+            form = value.translate(_TO_CLASS)
+            seen.update([(kind, form[:k]) for k in range(min(len(form), DEPTH) + 1)])
+            if len(form) <= DEPTH:
                 ends[kind, form] += 1
+            for c, n in Counter(form).items():
+                seen[kind, _AFTER + c] += n
+            for (c, d), n in Counter(zip(form, form[1:], strict=False)).items():
+                seen[kind, _AFTER + c + d] += n
+            if form:
+                ends[kind, _AFTER + form[-1]] += 1
             if len(seen) >= FLUSH:
                 yield emit()
     yield emit()
 
 
 class Automaton:
-    """A probabilistic automaton learned from prefix counts by state merging."""
+    """A probabilistic automaton learned by state merging from the counts of
+    prefixes (tree states, and the open edges that leave them) and of what
+    follows each symbol (the suffix states)."""
 
-    def __init__(self, counts: dict[str, tuple[int, int]], alpha: float = ALPHA):
+    def __init__(self, counts: dict[str, tuple[int, int]], states: set[str],
+                 after: dict[str, tuple[int, int]], alpha: float = ALPHA):
         self.n: list[int] = []
         self.ended: list[int] = []
         self.out: list[dict[str, list]] = []      # symbol -> [count, state or None]
         ids: dict[str, int] = {}
         for prefix in sorted(counts, key=lambda p: (len(p), p)):
-            ids[prefix] = len(self.n)
             n, ended = counts[prefix]
-            self.n.append(n)
-            self.ended.append(ended)
-            self.out.append({})
+            if prefix in states:
+                ids[prefix] = self._new_state(n, ended)
             if prefix:
-                self.out[ids[prefix[:-1]]][prefix[-1]] = [n, ids[prefix]]
+                self.out[ids[prefix[:-1]]][prefix[-1]] = [n, ids.get(prefix)]
+        self.suffix = {c: self._new_state(*after[c]) for c in after if len(c) == 1}
+        for c, (n, _) in after.items():
+            if len(c) == 2:
+                self.out[self.suffix[c[0]]][c[1]] = [n, None]
         self.alpha = alpha
         self._merge_states()
         self._settle()
 
+    def _new_state(self, n: int, ended: int) -> int:
+        self.n.append(n)
+        self.ended.append(ended)
+        self.out.append({})
+        return len(self.n) - 1
+
     def _differ(self, k1: int, n1: int, k2: int, n2: int) -> bool:
         if not n1 or not n2:
             return False
@@ -155,8 +181,6 @@ class Automaton:
         return abs(k1 / n1 - k2 / n2) > bound
 
     def _leaving(self, q: int) -> int:
-        """Passages with a known continuation: a state at the depth limit has
-        none, and then nothing speaks against a merge."""
         return self.ended[q] + sum(c for c, _ in self.out[q].values())
 
     def _compatible(self, a: int, b: int) -> bool:
@@ -209,15 +233,16 @@ class Automaton:
         self.states = red
 
     def _settle(self) -> None:
-        """Log probabilities (add-one smoothed); an open edge stays in its state."""
+        """Log probabilities, ``UNSEEN`` of them dealt evenly; an open edge and
+        an unseen step lead to the symbol's suffix state."""
         self.step: dict[int, dict[str, tuple[float, int]]] = {}
         self.stop: dict[int, float] = {}
-        self.rest: dict[int, float] = {}
-        for q in self.states if self.n else []:
-            total = self._leaving(q) + len(_SYMBOLS) + 1
-            self.stop[q] = math.log((self.ended[q] + 1) / total)
-            self.rest[q] = math.log(1 / total)
-            self.step[q] = {s: (math.log((c + 1) / total), q if t is None else t)
+        even = UNSEEN / (len(_SYMBOLS) + 1)
+        self.rest = math.log(even)
+        for q in [*self.states, *self.suffix.values()] if self.n else []:
+            share = (1 - UNSEEN) / max(self._leaving(q), 1)
+            self.stop[q] = math.log(share * self.ended[q] + even)
+            self.step[q] = {s: (math.log(share * c + even), self.suffix[s] if t is None else t)
                             for s, (c, t) in self.out[q].items()}
 
     def log_likelihood(self, value: str) -> float:
@@ -226,25 +251,51 @@ class Automaton:
             return -math.inf
         q, total = 0, 0.0
         for s in value.translate(_TO_CLASS):
-            p, q = self.step[q].get(s, (self.rest[q], q))
+            p, q = self.step[q].get(s) or (self.rest, self.suffix.get(s, q))
             total += p - _SPREAD.get(s, 0.0)
         return total + self.stop[q]
 
 
 def learn_automata(values: DataFrame) -> dict[str, Automaton]:
     """Automata by kind from ``values`` (kind, value). What comes to the driver
-    is at most DEPTH / RARE states per kind."""
+    is the tree states, with their next steps, and the suffix states."""
     counts = stage(values.mapInArrow(_prefixes, "kind string, prefix string, n long, ended long")
                    .groupBy("kind", "prefix")
                    .agg(F.sum("n").alias("n"), F.sum("ended").alias("ended")), "prefixes")
-    totals = counts.where("prefix = ''").select("kind", F.col("n").alias("all"))
-    kept = counts.join(F.broadcast(totals), "kind").where(F.col("n") >= RARE * F.col("all"))
+    spark = values.sparkSession
+    after: dict[str, dict] = {}
+    for r in counts.where(F.col("prefix").startswith(_AFTER)).collect():
+        after.setdefault(r["kind"], {})[r["prefix"][1:]] = (r["n"], r["ended"])
+    # at most one row per pair of symbols
+    usual = [(kind, c[0], c[1:], (n if len(c) == 2 else ended) / seen[c[0]][0])
+             for kind, seen in after.items() for c, (n, ended) in seen.items()]
+    usual = F.broadcast(spark.createDataFrame(usual, "kind string, last string, symbol string, usual double"))
+    tree = counts.where(~F.col("prefix").startswith(_AFTER)).withColumn("size", F.length("prefix"))
+    upto = F.col("size") - 1
+    steps = tree.where("size > 1").select(
+        "kind", F.substring("prefix", F.lit(1), upto).alias("prefix"),
+        F.substring("prefix", F.col("size"), F.lit(1)).alias("symbol"), "n")
+    ends = tree.where(f"size > 0 AND size < {DEPTH}").select(
+        "kind", "prefix", F.lit("").alias("symbol"), F.col("ended").alias("n"))
+    followed = steps.union(ends).withColumn("last", F.substring("prefix", -1, 1))
+    total = F.sum("n").over(Window.partitionBy("kind", "prefix"))
+    followed = (followed.withColumn("total", total).join(usual, ["kind", "last", "symbol"])
+                .withColumn("over", F.greatest(F.col("n") / F.col("total") - F.col("usual"), F.lit(0.0)))
+                .groupBy("kind", "prefix").agg(F.first("total").alias("n"), F.sum("over").alias("far")))
+    # variation distance from the suffix state against its mean and spread by
+    # chance, the level shared by all prefixes
+    level = math.log(max(tree.count(), 1) / ALPHA) / 2
+    chance = (math.sqrt((len(_SYMBOLS) + 1) / 4) + math.sqrt(level)) / F.sqrt("n")
+    states: dict[str, set[str]] = {kind: {""} for kind in after}
+    for r in followed.where(F.col("far") > EFFECT + chance).select("kind", "prefix").collect():
+        states[r["kind"]].update(r["prefix"][:k] for k in range(1, len(r["prefix"]) + 1))
+    known = F.broadcast(spark.createDataFrame(
+        [(kind, p) for kind, ps in states.items() for p in ps], "kind string, parent string"))
+    nodes = tree.withColumn("parent", F.substring("prefix", F.lit(1), F.greatest(upto, F.lit(0))))
     trees: dict[str, dict] = {}
-    for r in kept.drop("all").collect():
+    for r in nodes.join(known, ["kind", "parent"]).collect():
         trees.setdefault(r["kind"], {})[r["prefix"]] = (r["n"], r["ended"])
-    # a cut child's passages still leave its parent by that symbol: they count
-    # there as passages without a known continuation
-    return {kind: Automaton(tree) for kind, tree in trees.items()}
+    return {kind: Automaton(tree, states[kind], after[kind]) for kind, tree in trees.items()}
 
 
 def _scorer(automata: dict[str, Automaton], threshold: float):
