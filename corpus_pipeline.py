@@ -50,9 +50,10 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Write the token file and return its index, read back from it."""
+    """Write the token file, in the training order in which the mix comes, and
+    return its index, read back from it."""
     on_workers(spark)
-    return token_index(docs, tokenizer_path(WORD_TOKENIZER))
+    return token_index(docs, tokenizer_path(WORD_TOKENIZER), keep_order=True)
 
 
 STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates),

@@ -256,3 +256,27 @@ def test_pipeline_stages(spark):
         docs = corpus_pipeline.stage(run(spark, docs, DATA), name)
         assert docs.columns == columns
     assert corpus_pipeline.STAGES[-1][1](spark, docs, DATA).count() == docs.count() > 0
+
+
+def test_token_file_follows_the_curriculum(spark, make):
+    import corpus_pipeline
+    r = random.Random(9)
+    rows = [(i, f"number {i} " + "w " * r.choice((1, 5, 60, 900)), r.choice("abc")) for i in range(300)]
+    docs = corpus_pipeline.stage(make(rows + [(5, "twice told", "a"), (5, "twice told", "a"),
+                                              (None, "no id", "b")]), "mix-input")
+    plan = [(p, g["doc_id"]) for g in mix_plan(docs).collect() for p in g["positions"]]
+    ordered = corpus_pipeline.mixing(spark, docs, DATA)
+    staged = corpus_pipeline.stage(ordered, "mix")
+    want = [d for _, d in sorted(plan, key=lambda x: (x[0], x[1] is not None, x[1] or 0))]
+    for given in (ordered, staged):
+        index = corpus_pipeline.token_ids(spark, given, DATA).orderBy("start").collect()
+        assert [g["doc_id"] for g in index] == want
+        starts = np.cumsum([0] + [g["n_tokens"] for g in index])
+        assert [g["start"] for g in index] == starts[:-1].tolist()
+    assert want != sorted(want, key=lambda d: (d is not None, d or 0))
+    # parts that a scan deals by size, not by name
+    uneven = make([(i, "x " * (2000 if i % 3 else 1)) for i in range(30)]).coalesce(1)
+    parts = corpus_pipeline.stage(uneven.repartitionByRange(9, "doc_id").sortWithinPartitions(
+        "doc_id"), "uneven")
+    index = corpus_pipeline.token_ids(spark, parts, DATA).orderBy("start").collect()
+    assert [g["doc_id"] for g in index] == list(range(30))

@@ -12,7 +12,8 @@ its ids begin among those of its part (a range of doc_id). Spark writes it, so
 a lost executor's part is written again and only committed parts count.
 
 A null or empty text has the end id alone. Rows are ordered by doc_id (null
-first), rows that repeat an id by a hash of the text.
+first), rows that repeat an id by a hash of the text; or they keep the order in
+which the input comes or was written.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import slices, text_bytes
@@ -272,14 +274,32 @@ def _packer(path: str, end_id: int) -> Callable:
     return pack
 
 
-def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> None:
+def input_order(docs: DataFrame) -> list[Column]:
+    """Sort keys of the order in which the rows of ``docs`` come: of files that
+    Spark wrote, part by part and row by row (a scan deals the files by size);
+    of anything else, by partition."""
+    try:
+        docs.select("_metadata.file_name", "_metadata.row_index")
+    except AnalysisException:
+        return [F.monotonically_increasing_id()]
+    name = F.col("_metadata.file_name")
+    return [F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long"), name,
+            F.col("_metadata.row_index")]
+
+
+def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1,
+                     keep_order: bool = False) -> None:
     """Encode the whole texts of ``docs`` (doc_id, text) and write them under
-    ``path`` in ascending doc_id order."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
+    ``path`` in ascending doc_id order, or in the order of the input."""
+    by = input_order(docs) if keep_order else []
+    keys = [f"_{k}" for k in range(len(by))] or ["doc_id", F.xxhash64("text")]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"),
+                       *[c.alias(f"_{k}") for k, c in enumerate(by)])
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # at least as many ranges as the scan has splits, so a range stays as small as a split
     n = max(n, docs.select("doc_id", "text").rdd.getNumPartitions())
-    (rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    (rows.repartitionByRange(n, *(keys if by else keys[:1])).sortWithinPartitions(*keys)
+     .select("doc_id", "text")
      .mapInArrow(_packer(tokenizer, end_id), SEGMENTS)
      .write.option("compression", "zstd").parquet(path))
 
@@ -316,9 +336,10 @@ def read_token_index(file: DataFrame) -> DataFrame:
                     "n_tokens", "ids_crc32"))
 
 
-def token_index(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
+def token_index(docs: DataFrame, tokenizer: str, end_id: int = 1,
+                keep_order: bool = False) -> DataFrame:
     """Write the token file of ``docs`` in the shared folder and index it."""
     spark = docs.sparkSession
     path = staging_path(spark, "tokens")
-    write_token_file(docs, path, tokenizer, end_id)
+    write_token_file(docs, path, tokenizer, end_id, keep_order)
     return read_token_index(spark.read.schema(SEGMENTS).parquet(path))
