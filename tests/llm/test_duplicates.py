@@ -6,7 +6,7 @@ import numpy as np
 
 from tidewater.llm.components import connected_components
 from tidewater.llm.digest_merge import exact_duplicates
-from tidewater.llm.superminhash import (band_keys, drop_near_duplicates, near_duplicates,
+from tidewater.llm.superminhash import (_across, band_keys, drop_near_duplicates, near_duplicates,
                                         shingle_sets, super_minhash)
 
 from .conftest import ODD
@@ -84,6 +84,20 @@ def test_near_equals_brute_force(make):
         assert got == brute_near(rows, percent)
 
 
+def test_one_shared_band_is_enough(spark):
+    mixed = spark.createDataFrame(
+        [(10, i, i, 20, 1, 1, 20, i, 3, 3) for i in (1, 2, 3)],
+        "band long, id long, k long, n long, la long, lk long, ln long, component long, major long, comps long")
+    tested = spark.createDataFrame([(1, 1, 2, 2, 0.3), (1, 1, 3, 3, 0.3)],
+                                   "a long, ka long, b long, kb long, dist double")
+    bands = spark.createDataFrame([(1, 1, [10]), (2, 2, [10, 11]), (3, 3, [10, 12])],
+                                  "id long, k long, bands array<long>")
+    sets = spark.createDataFrame([(1, 1, list(range(4, 24))), (2, 2, list(range(20))),
+                                  (3, 3, list(range(1, 21)))], "id long, k long, items array<long>")
+    pairs = _across(mixed, tested, bands, sets, 85).collect()
+    assert [(r["a"], r["b"]) for r in pairs] == [(2, 3)]
+
+
 def test_near_odd_rows(odd):
     got = near_duplicates(odd).collect()
     assert len(got) == len(ODD)

@@ -39,9 +39,6 @@ from tidewater.llm.components import connected_components
 
 SHINGLE = 5
 BANDS, ROWS = 25, 5
-#: Bands that a pair has to share before it is compared outside the leaders'
-#: stars. A pair at 85 per cent shares fewer with a probability of 9e-6.
-SHARED = 2
 #: Rounds of comparisons with changing members of a bucket's largest component.
 PIVOT_ROUNDS = 1
 #: Bytes hashed at a time; a longer word extends its block.
@@ -210,8 +207,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     ``docs`` needs doc_id and text; other columns are ignored. Documents are
     linked when 100 * intersection >= percent * union of their shingle sets.
-    A pair at exactly 85 per cent shares fewer than two of the 25 bands of
-    five entries with a probability of 9e-6, at 80 per cent of 7e-4."""
+    A pair at exactly 85 per cent shares none of the 25 bands of five entries
+    with a probability of 4e-7, at 80 per cent of 5e-5."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
     signed = stage(base.mapInArrow(
         _sign, "doc_id long, n long, k1 long, k2 long, bands array<long>"), "signed")
@@ -343,7 +340,7 @@ def _across(mixed: DataFrame, tested: DataFrame, bands: DataFrame, sets: DataFra
     shared = F.array_intersect("u_bands", "v_bands")
     v = v.withColumnRenamed("band", "v_band")
     return _pairs(u.join(v, (F.col("band") == F.col("v_band")) & may & near & reach
-                         & (F.size(shared) >= SHARED) & (F.array_min(shared) == F.col("band"))))
+                         & (F.array_min(shared) == F.col("band"))))
 
 
 def _spread(docs: DataFrame, classes: DataFrame, salts: int = 64) -> DataFrame:
