@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import read_table, stage
 from tidewater.llm.license_rules import oracle_sql as license_sql
+from tidewater.llm.vector_codes import oracle_sql as codes_sql
 from tidewater.session import staging_path
 
 #: Folder with the public tokenizer files; unset, that of the installed package.
@@ -124,6 +125,11 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.vector_codes import vector_codes
+    return vector_codes(read_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -141,7 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _query(f) for f in (
         op1_secret_scan, op2_token_blocks, op3_toxicity, op4_lattice_lm, op5_pii_pseudonyms,
         op6_exact_dedup, op7_decontamination, op8_token_rollup, op9_superminhash,
-        op10_curriculum, op12_license_scan, pipeline)}
+        op10_curriculum, op12_license_scan, op13_vector_codes, pipeline)}
 
 OP6_SQL = r"""
 WITH d AS (
@@ -156,4 +162,5 @@ r AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 """
 
-ORACLE: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op12_license_scan": license_sql()}
+ORACLE: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op12_license_scan": license_sql(),
+                          "op13_vector_codes": codes_sql()}
