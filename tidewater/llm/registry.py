@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import read_table, stage
 from tidewater.llm.license_rules import oracle_sql as license_sql
+from tidewater.llm.source_audit import ORACLE_SQL as AUDIT_SQL
 from tidewater.llm.vector_codes import oracle_sql as codes_sql
 from tidewater.session import staging_path
 
@@ -120,6 +121,11 @@ def op10_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
             .orderBy(F.col("position").asc_nulls_last(), "doc_id"))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.source_audit import divergence_audit
+    return divergence_audit(read_table(spark, sf_dir, "documents"))
+
+
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.llm.license_rules import scan_licenses
     return scan_licenses(read_table(spark, sf_dir, "documents")).drop("detections")
@@ -147,7 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _query(f) for f in (
         op1_secret_scan, op2_token_blocks, op3_toxicity, op4_lattice_lm, op5_pii_pseudonyms,
         op6_exact_dedup, op7_decontamination, op8_token_rollup, op9_superminhash,
-        op10_curriculum, op12_license_scan, op13_vector_codes, pipeline)}
+        op10_curriculum, op11_source_audit, op12_license_scan, op13_vector_codes, pipeline)}
 
 OP6_SQL = r"""
 WITH d AS (
@@ -162,5 +168,6 @@ r AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 """
 
-ORACLE: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op12_license_scan": license_sql(),
+ORACLE: dict[str, str] = {"op6_exact_dedup": OP6_SQL, "op11_source_audit": AUDIT_SQL,
+                          "op12_license_scan": license_sql(),
                           "op13_vector_codes": codes_sql()}
