@@ -8,6 +8,7 @@ from tidewater.plans import advanced, eda
 from tidewater.plans.registry import present
 from tidewater.plans.warehouse import (LoadAudit, MaterializedLayer, Warehouse, build_gold,
                                        export_sources, load_bronze, load_silver, register_catalog)
+from tidewater.sources import read_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,8 +43,8 @@ def test_pipeline_end_to_end(spark):
     assert rows(advanced.delivery_status(layers)) == rows(q["v6_delivery_status"](spark, SF))
     assert rows(eda.top_customers(layers)) == rows(q["k7_top_customers"](spark, SF))
     # keys fixed at build time and consistent between dimension and item fact
-    built = spark.read.parquet(f"{gold}/fact_sales_items").where("customer_key IS NOT NULL")
-    dims = spark.read.parquet(f"{gold}/dim_customer")
+    built = read_table(spark, f"{gold}/fact_sales_items").where("customer_key IS NOT NULL")
+    dims = read_table(spark, f"{gold}/dim_customer")
     assert built.count() > 0
     n_keys = dims.selectExpr("concat('CUST', cast(customer_key AS string)) AS customer_key") \
         .join(built.select("customer_key").distinct(), "customer_key").count()
@@ -54,5 +55,5 @@ def test_pipeline_end_to_end(spark):
     assert spark.sql("SELECT COUNT(*) AS total_orders FROM gold.fact_sales").first()[0] == \
         q["k1_total_orders"](spark, SF).first()[0]
     assert spark.sql("SELECT COUNT(*) FROM gold_v2.fact_sales").first()[0] == \
-        spark.read.parquet(f"{gold}/fact_sales_items").count()
+        read_table(spark, f"{gold}/fact_sales_items").count()
     assert spark.sql("SELECT COUNT(*) FROM silver.crm_cust_reviews").first()[0] > 0

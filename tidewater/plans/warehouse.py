@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewater.plans import silver as silver_tf
 from tidewater.sources import testdata as td
 from tidewater.sources.audit import LoadAudit
-from tidewater.sources.files import (overwrite_table, parse_geolocation_lines,
-                                     parse_seller_lines, read_delimited, read_quoted_csv,
-                                     read_raw_lines, write_delimited, write_lines)
+from tidewater.sources.files import (CORRUPT, GEOLOCATION_FIELDS, GEOLOCATION_LINE,
+                                     SELLER_FIELDS, SELLER_LINE, parse_geolocation_lines,
+                                     parse_seller_lines, read_raw_lines, scan_delimited,
+                                     scan_fields, scan_quoted, write_delimited, write_lines)
+from tidewater.sources.snapshots import SnapshotTable, read_table
 from tidewater.schemas import BRONZE
 
 _BRONZE_BUILDERS = {
@@ -69,15 +71,20 @@ class Warehouse:
 
 
 class MaterializedLayer:
-    """A layer read back from parquet tables written by the jobs below."""
+    """A layer read back from the tables written by the jobs below, in the version
+    that is current when a table is first asked for: a load that comes between
+    two queries on one layer object isn't seen."""
 
     materialized = True
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._held: dict[str, DataFrame] = {}
 
     def silver(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        if name not in self._held:
+            self._held[name] = read_table(self.spark, f"{self.root}/{name}")
+        return self._held[name]
 
     bronze = silver
 
@@ -102,59 +109,55 @@ def export_sources(wh: Warehouse, src_root: str) -> None:
             write_delimited(wh.bronze(name), path, quoted=name in QUOTED_SOURCES)
 
 
-def read_source(spark: SparkSession, src_root: str, name: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects) of one source folder, with the reader its format needs."""
+LINE_FIELDS = {"prd_seller_details": (SELLER_LINE, SELLER_FIELDS),
+               "reference_geolocation": (GEOLOCATION_LINE, GEOLOCATION_FIELDS)}
+
+
+def scan_source(spark: SparkSession, src_root: str, name: str) -> DataFrame:
+    """One source folder by the reader its format needs: the declared fields, and
+    malformed records in ``_corrupt_record``."""
     path = f"{src_root}/{name}"
     if name in LINE_SOURCES:
-        lines = read_raw_lines(spark, path, header=LINE_SOURCES[name])
-        parse = parse_seller_lines if name == "prd_seller_details" else parse_geolocation_lines
-        return parse(lines)
+        return scan_fields(read_raw_lines(spark, path, header=LINE_SOURCES[name]), *LINE_FIELDS[name])
     if name in QUOTED_SOURCES:
-        return read_quoted_csv(spark, path, BRONZE[name])
-    return read_delimited(spark, path, BRONZE[name])
-
-
-def rejects_path(bronze_root: str, name: str) -> str:
-    """Where the rejected records of a bronze table land."""
-    return f"{bronze_root.rstrip('/')}_rejects/{name}"
+        return scan_quoted(spark, path, BRONZE[name])
+    return scan_delimited(spark, path, BRONZE[name])
 
 
 def load_bronze_table(spark: SparkSession, src_root: str, bronze_root: str, name: str,
-                      audit: LoadAudit, max_rejects: int | None = None) -> None:
-    """One source folder -> its bronze table, and its malformed records (the
-    raw line in ``value``) beside it, both full refresh."""
-    rows, rejects = read_source(spark, src_root, name)
-
-    def land() -> DataFrame:
-        landed = overwrite_table(rows, f"{bronze_root}/{name}", BRONZE[name].fieldNames())
-        overwrite_table(rejects, rejects_path(bronze_root, name))
-        return landed
-
-    audit.run("bronze", name, land,
-              rejects=lambda _n: spark.read.parquet(rejects_path(bronze_root, name)).count(),
-              max_rejects=max_rejects)
+                      audit: LoadAudit, max_rejects: int | None = None) -> DataFrame:
+    """One source folder -> the next version of its bronze table, malformed
+    records (``SnapshotTable.rejects``) beside the rows, in one pass."""
+    return audit.load("bronze", name, SnapshotTable(spark, f"{bronze_root}/{name}"),
+                      lambda: scan_source(spark, src_root, name), BRONZE[name].fieldNames(),
+                      CORRUPT, max_rejects)
 
 
 def load_bronze(spark: SparkSession, src_root: str, bronze_root: str,
-                audit: LoadAudit | None = None, max_rejects: int | None = None) -> LoadAudit:
-    """A11 ``load_bronze``: every source file -> bronze parquet, full refresh.
-    Malformed records land under ``rejects_path``; more than ``max_rejects`` in
-    one table fails the batch after recording it (no limit by default)."""
+                audit: LoadAudit | None = None, max_rejects: int | None = None,
+                resume: bool = False) -> LoadAudit:
+    """A11 ``load_bronze``: every source file -> a new version of its bronze table.
+    More than ``max_rejects`` malformed records in one table fail the batch after
+    recording it (no limit by default); that table keeps its rows. ``resume`` goes
+    on after such a failure: tables that ``audit`` has as loaded are left alone."""
     audit = audit or LoadAudit()
+    done = audit.loaded() if resume else set()
     for name in BRONZE:
-        load_bronze_table(spark, src_root, bronze_root, name, audit, max_rejects)
+        if ("bronze", name) not in done:
+            load_bronze_table(spark, src_root, bronze_root, name, audit, max_rejects)
     return audit
 
 
 def load_silver(spark: SparkSession, bronze_root: str, silver_root: str,
-                audit: LoadAudit | None = None) -> LoadAudit:
-    """A11 ``load_silver``: every bronze table -> cleaned silver parquet."""
+                audit: LoadAudit | None = None, resume: bool = False) -> LoadAudit:
+    """A11 ``load_silver``: every bronze table -> the next version of its silver table."""
     audit = audit or LoadAudit()
     bronze = MaterializedLayer(spark, bronze_root)
+    done = audit.loaded() if resume else set()
     for name, transform in silver_tf.TRANSFORMS.items():
-        audit.run("silver", name,
-                  lambda name=name, transform=transform: overwrite_table(
-                      transform(bronze.bronze(name)), f"{silver_root}/{name}"))
+        if ("silver", name) not in done:
+            audit.load("silver", name, SnapshotTable(spark, f"{silver_root}/{name}"),
+                       lambda name=name, transform=transform: transform(bronze.bronze(name)))
     return audit
 
 
@@ -172,8 +175,8 @@ def build_gold(spark: SparkSession, silver_root: str, gold_root: str,
     audit = audit or LoadAudit()
     layer = GoldBuild(spark, silver_root, gold_root)
     for model in GOLD_MODELS:   # dimensions first: the item fact reuses dim_customer
-        out = audit.run("gold", model, lambda model=model: overwrite_table(
-            getattr(gold, model)(layer), f"{gold_root}/{model}"))
+        out = audit.load("gold", model, SnapshotTable(spark, f"{gold_root}/{model}"),
+                         lambda model=model: getattr(gold, model)(layer))
         layer.built.add(model)
         if views:
             out.createOrReplaceTempView(f"gold_{model}")
@@ -188,7 +191,7 @@ class GoldBuild(MaterializedLayer):
         self.gold_root, self.built = gold_root.rstrip("/"), set()
 
     def gold_table(self, name: str) -> DataFrame | None:
-        return self.spark.read.parquet(f"{self.gold_root}/{name}") if name in self.built else None
+        return read_table(self.spark, f"{self.gold_root}/{name}") if name in self.built else None
 
 
 # The gold_v2 names of the source and the models they map to
@@ -200,8 +203,8 @@ GOLD_V2_VIEWS = {"dim_customer": "dim_customer", "dim_seller": "dim_seller",
 def register_catalog(spark: SparkSession, bronze_root: str, silver_root: str,
                      gold_root: str) -> None:
     """Layer namespaces (A8) and published tables (A7): ``bronze``,
-    ``silver`` and ``gold`` databases with the written parquet folders as
-    external tables, and ``gold_v2`` views, so that SQL written against the
+    ``silver`` and ``gold`` databases with the current versions' folders as
+    external tables (register again after a load), and ``gold_v2`` views, so that SQL written against the
     source's schema names (``SELECT COUNT(*) FROM gold.fact_sales``) runs
     unchanged through ``spark.sql``. Nothing is copied."""
     from tidewater.schemas import BRONZE as tables
@@ -212,7 +215,11 @@ def register_catalog(spark: SparkSession, bronze_root: str, silver_root: str,
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root.rstrip('/')}'")
         for name in names:
             spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
-            spark.sql(f"CREATE TABLE {db}.{name} USING parquet LOCATION '{root.rstrip('/')}/{name}'")
+            table = SnapshotTable(spark, f"{root.rstrip('/')}/{name}")
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                                for f in table.version().schema.fields)
+            spark.sql(f"CREATE TABLE {db}.{name} ({columns}) USING parquet "
+                      f"LOCATION '{table.rows_folder()}'")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS gold_v2 LOCATION '{gold_root.rstrip('/')}/_v2'")
     for view, model in GOLD_V2_VIEWS.items():
         spark.sql(f"CREATE OR REPLACE VIEW gold_v2.{view} AS SELECT * FROM gold.{model}")

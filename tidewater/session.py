@@ -9,6 +9,7 @@ error rather than a silent machine-local folder.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -31,6 +32,8 @@ def build_session(master: str | None = None, app: str = "tidewater",
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # rows and rejects are dealt to two files a task without sorting them first
+        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
     )
     if master:
         builder = builder.master(master)
@@ -61,6 +64,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def package_on_workers(spark: SparkSession) -> None:
+    """Python workers import this package from where the driver did. On a
+    cluster where they can't, ship it with --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def _stage_root(spark: SparkSession) -> str:
     return f"{checkpoint_root(spark)}/{_STAGE_SUBDIR}/{spark.sparkContext.applicationId}"
 

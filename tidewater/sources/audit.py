@@ -14,6 +14,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewater.sources.snapshots import SnapshotTable
+
 AUDIT_SCHEMA = ("layer string, table_name string, row_count long, rejected long, "
                 "started timestamp_ntz, ended timestamp_ntz, seconds double, "
                 "status string, error string")
@@ -34,20 +36,51 @@ class LoadAudit:
         ``rejects`` maps the written row count to the number of rejected
         records; more than ``max_rejects`` of them fails the load (recorded,
         then raised), like a bulk load's error limit (ledger L27)."""
+        def counted():
+            out = load()
+            n = out.count()
+            return out, n, rejects(n) if rejects else 0
+        return self._recorded(layer, table, counted, max_rejects)
+
+    def load(self, layer: str, table: str, target: SnapshotTable, source: Callable[[], DataFrame],
+             columns=None, corrupt: str | None = None, max_rejects: int | None = None) -> DataFrame:
+        """Load ``source`` into ``target`` in one pass: rows and rejects (by the
+        column ``corrupt``) are written and counted by one job. Past ``max_rejects``,
+        or on any error, the target keeps its version; the failure is recorded,
+        then raised."""
+        def landed():
+            written = target.write(source(), columns, corrupt)
+            bad = written.rejected or 0
+            try:
+                self._within(layer, table, bad, max_rejects)
+            except RejectLimitExceeded:
+                target.discard(written)
+                raise
+            return target.read(target.publish(written).number), written.rows, bad
+        return self._recorded(layer, table, landed, max_rejects)
+
+    @staticmethod
+    def _within(layer, table, bad, max_rejects) -> None:
+        if max_rejects is not None and bad > max_rejects:
+            raise RejectLimitExceeded(f"{layer}.{table}: {bad} rejected records > {max_rejects}")
+
+    def _recorded(self, layer, table, load, max_rejects) -> DataFrame:
         started = datetime.now(timezone.utc).replace(tzinfo=None)
         t0 = time.perf_counter()
         try:
-            out = load()
-            n = out.count()
-            bad = rejects(n) if rejects else 0
-            if max_rejects is not None and bad > max_rejects:
-                raise RejectLimitExceeded(f"{layer}.{table}: {bad} rejected records > {max_rejects}")
+            out, n, bad = load()
+            self._within(layer, table, bad, max_rejects)
         except Exception as exc:
             self._add(layer, table, None, None, started, t0, "failed", f"{type(exc).__name__}: {exc}")
             raise
         self._add(layer, table, n, bad, started, t0, "ok", None)
         return out
 
+    def loaded(self) -> set[tuple[str, str]]:
+        """The tables (layer, table) whose last load went well."""
+        last = {(r[0], r[1]): r[-2] for r in self.rows}
+        return {k for k, status in last.items() if status == "ok"}
+
     def _add(self, layer, table, n, bad, started, t0, status, error):
         ended = datetime.now(timezone.utc).replace(tzinfo=None)
         self.rows.append((layer, table, n, bad, started, ended,

@@ -1,4 +1,4 @@
-"""File sources and sinks for the bronze layer (A1-A8), plus the two
+"""File sources for the bronze layer (A1-A4), delivery writers, and the two
 positional line parsers (I1, I2).
 
 Readers always take a declared schema. Bad input is routed to a rejects
@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-CORRUPT = "_corrupt_record"
+from tidewater.session import package_on_workers
+from tidewater.sources.quoted import CORRUPT, read_quoted
 
 # Positional layouts of the two broken sources. The first
 # fields and the last field never contain commas; everything between them
@@ -36,34 +37,38 @@ def _split_rejects(df: DataFrame, schema: StructType) -> tuple[DataFrame, DataFr
     return good, bad
 
 
+def scan_delimited(spark: SparkSession, path: str, schema: StructType,
+                   sep: str = ",") -> DataFrame:
+    """Header-skipping delimited load with quoting turned off (A1): the fields,
+    and in ``_corrupt_record`` a line whose fields do not fit the schema.
+    The default line separator drops a CR of CRLF files and a leading BOM."""
+    return (spark.read.schema(_with_corrupt(schema))
+            .option("header", True).option("sep", sep).option("quote", "")
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .csv(path))
+
+
+def scan_quoted(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """RFC-4180 CSV (A2): quoted fields, doubled quotes inside, line breaks inside
+    quotes; the fields, and in ``_corrupt_record`` a record that doesn't fit.
+    Files are read in as many tasks as they have splits."""
+    package_on_workers(spark)
+    return read_quoted(spark, path, schema)
+
+
 def read_delimited(spark: SparkSession, path: str, schema: StructType,
                    sep: str = ",") -> tuple[DataFrame, DataFrame]:
-    """Header-skipping delimited load with quoting turned off (A1). Returns
-    (rows, rejects); a line whose fields do not fit the schema is a reject.
+    """``scan_delimited`` as (rows, rejects).
     Spark refuses a query on the file whose only column is the corrupt-record
     column (``rows.count()``, ``rejects.count()``): land the rows first
-    (``overwrite_table``, as ``load_bronze`` does), cache them, or count
-    records and rows separately.
-    The default line separator drops a CR of CRLF files and a leading BOM."""
-    df = (spark.read.schema(_with_corrupt(schema))
-          .option("header", True).option("sep", sep).option("quote", "")
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-          .csv(path))
-    return _split_rejects(df, schema)
+    (as ``load_bronze`` does), cache them, or count records and rows
+    separately."""
+    return _split_rejects(scan_delimited(spark, path, schema, sep), schema)
 
 
 def read_quoted_csv(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """RFC-4180 CSV (A2): quoted fields, doubled quotes inside, line breaks
-    inside quotes. Multi-line files cannot be split, so the result is spread
-    over the cluster again before any wide work."""
-    df = (spark.read.schema(_with_corrupt(schema))
-          .option("header", True).option("quote", '"').option("escape", '"')
-          .option("multiLine", True).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT)
-          .csv(path))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    good, bad = _split_rejects(df, schema)
-    return good.repartition(n), bad
+    """``scan_quoted`` as (rows, rejects)."""
+    return _split_rejects(scan_quoted(spark, path, schema), schema)
 
 
 def read_raw_lines(spark: SparkSession, path: str, header: str | None = None) -> DataFrame:
@@ -73,6 +78,16 @@ def read_raw_lines(spark: SparkSession, path: str, header: str | None = None) ->
     return df if header is None else df.where(F.col("value") != F.lit(header))
 
 
+def scan_fields(lines: DataFrame, pattern: str, fields) -> DataFrame:
+    """The fields of lines (value) by position, and in ``_corrupt_record`` a line
+    that the pattern doesn't fit."""
+    v = F.col("value")
+    fits = F.coalesce(v.rlike(pattern), F.lit(False))
+    return lines.select(
+        *[F.when(fits, F.regexp_extract(v, pattern, i + 1)).alias(f) for i, f in enumerate(fields)],
+        F.when(~fits, F.coalesce(v, F.lit(""))).alias(CORRUPT))
+
+
 def _parse(lines: DataFrame, pattern: str, fields) -> tuple[DataFrame, DataFrame]:
     v = F.col("value")
     matched = lines.where(v.rlike(pattern))
@@ -104,11 +119,3 @@ def write_delimited(df: DataFrame, path: str, quoted: bool = False) -> None:
 
 def write_lines(df: DataFrame, path: str) -> None:
     df.select("value").write.mode("overwrite").text(path)
-
-
-def overwrite_table(df: DataFrame, path: str, columns=None) -> DataFrame:
-    """Full-refresh sink (A5) with an explicit column list (A6). Returns a frame
-    reading the written table."""
-    out = df.select(*columns) if columns else df
-    out.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
