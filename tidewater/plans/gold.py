@@ -8,7 +8,9 @@ order item and text keys built from natural ids.
 
 Surrogate keys (``*_key``) are dense 1..N in key order, computed with the
 distributed row number; pass ``keyed=False`` when a consumer does not need
-them (the analytics do not), which saves the staging write.
+them (the analytics do not), which saves the staging write. On a layer with key
+maps (``build_gold``) members keep the keys of the loads before and new ones
+get the next.
 """
 
 from __future__ import annotations
@@ -17,13 +19,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import prefixed_key
-from tidewater.operators import (global_row_number, hot_keys, keep_first, left_join_salted,
-                                 left_join_spread_null_keys)
+from tidewater.operators import (extend_key_map, global_row_number, hot_keys, keep_first,
+                                 left_join_salted, left_join_spread_null_keys, with_keys)
 from tidewater.session import staging_path
 
 
-def _keyed(df: DataFrame, key: str, order, keyed: bool) -> DataFrame:
-    return global_row_number(df, order, key) if keyed else df
+def _keyed(wh, df: DataFrame, model: str, key: str, natural, keyed: bool) -> DataFrame:
+    if not keyed:
+        return df
+    maps = getattr(wh, "key_map", None)
+    if maps is None:
+        return global_row_number(df, list(natural), key)
+    # once for the members and once for the rows: written, not derived twice
+    path = staging_path(df.sparkSession, model)
+    df.write.parquet(path)
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
+    return with_keys(df, extend_key_map(maps(model), df, natural, key), natural, key)
 
 
 def _built(wh, model: str, key: str, keyed: bool) -> DataFrame | None:
@@ -45,7 +56,7 @@ def dim_customer(wh, keyed: bool = True) -> DataFrame:
     c = wh.silver("crm_cust_info")
     latest = keep_first(c, ["customer_unique_id"], ["customer_id"], descending=True)
     d = latest.select("customer_unique_id", "customer_zip_code", "customer_city", "customer_state")
-    return _keyed(d, "customer_key", ["customer_unique_id"], keyed)
+    return _keyed(wh, d, "dim_customer", "customer_key", ["customer_unique_id"], keyed)
 
 
 def first_geolocation(wh) -> DataFrame:
@@ -67,7 +78,7 @@ def dim_seller(wh, keyed: bool = True) -> DataFrame:
     d = s.join(g, s.seller_zip_code_prefix == g.geolocation_zip_code_prefix, "left") \
          .select("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state",
                  "geolocation_lat", "geolocation_lng")
-    return _keyed(d, "seller_key", ["seller_id"], keyed)
+    return _keyed(wh, d, "dim_seller", "seller_key", ["seller_id"], keyed)
 
 
 def dim_products(wh, keyed: bool = True) -> DataFrame:
@@ -86,7 +97,7 @@ def dim_products(wh, keyed: bool = True) -> DataFrame:
                  F.coalesce("product_category_name_english", F.lit("n/a")).alias("product_category_name"),
                  "product_photos_qty", "product_weight_g", "product_length_cm",
                  "product_height_cm", "product_width_cm")
-    return _keyed(d, "product_key", ["product_id"], keyed)
+    return _keyed(wh, d, "dim_products", "product_key", ["product_id"], keyed)
 
 
 def order_item_totals(wh) -> DataFrame:
@@ -132,7 +143,7 @@ def fact_sales(wh, keyed: bool = True) -> DataFrame:
         F.coalesce("review_id", F.lit("n/a")).alias("review_id"),
         F.coalesce("review_score", F.lit(0)).alias("review_score"),
         "review_creation_date", "review_answer_date")
-    return _keyed(f, "order_key", ["order_id"], keyed)
+    return _keyed(wh, f, "fact_sales", "order_key", ["order_id"], keyed)
 
 
 ITEM_ORDER = ("order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
@@ -153,7 +164,8 @@ def _items_once(wh) -> DataFrame:
 def fact_sales_items(wh, keyed: bool = True) -> DataFrame:
     """One row per order item with text keys ``CUST<customer_key>``,
     ``PRD<product_id>``, ``S<seller_id>`` (whole values, null when the dimension
-    has no match). Payments and reviews stay out of this grain."""
+    has no match), and the dimensions' own keys as ``customer_sk``, ``product_sk``
+    and ``seller_sk`` (ledger L7). Payments and reviews stay out of this grain."""
     built = _built(wh, "fact_sales_items", "sales_key", keyed)
     if built is not None:
         return built
@@ -164,8 +176,8 @@ def fact_sales_items(wh, keyed: bool = True) -> DataFrame:
         "order_estimated_delivery_date")
     ci = wh.silver("crm_cust_info").select("customer_id", "customer_unique_id")
     dc = dim_customer(wh, keyed=True).select("customer_unique_id", "customer_key")
-    dp = dim_products(wh, keyed=False).select("product_id", F.col("product_id").alias("_tw_pid"))
-    ds = dim_seller(wh, keyed=False).select("seller_id", F.col("seller_id").alias("_tw_sid"))
+    dp = dim_products(wh, keyed=True).select("product_id", F.col("product_key").alias("product_sk"))
+    ds = dim_seller(wh, keyed=True).select("seller_id", F.col("seller_key").alias("seller_sk"))
     # The customer mapping is done at order grain, then joined to the items
     # once. Same result as chaining every join at item grain (each join's
     # condition uses only the table before it, so the left joins associate),
@@ -186,12 +198,13 @@ def fact_sales_items(wh, keyed: bool = True) -> DataFrame:
     f = j.select(
         "order_id", "order_item_id",
         prefixed_key("CUST", F.col("customer_key")).alias("customer_key"),
-        prefixed_key("PRD", F.col("_tw_pid")).alias("product_key"),
-        prefixed_key("S", F.col("_tw_sid")).alias("seller_key"),
+        prefixed_key("PRD", F.when(F.col("product_sk").isNotNull(), F.col("product_id")))
+        .alias("product_key"),
+        prefixed_key("S", F.when(F.col("seller_sk").isNotNull(), F.col("seller_id"))).alias("seller_key"),
         "order_status", "order_purchase_timestamp", "order_approved_at", "shipping_limit_date",
         "order_delivered_carrier_date", "order_delivered_customer_date",
         "order_estimated_delivery_date", "price", "freight_value",
+        F.col("customer_key").alias("customer_sk"), "product_sk", "seller_sk",
         "product_id", "seller_id")
-    if keyed:
-        f = global_row_number(f, list(ITEM_ORDER), "sales_key")
+    f = _keyed(wh, f, "fact_sales_items", "sales_key", ITEM_ORDER, keyed)
     return f.drop("product_id", "seller_id")

@@ -166,10 +166,10 @@ GOLD_MODELS = ("dim_customer", "dim_seller", "dim_products", "fact_sales", "fact
 
 def build_gold(spark: SparkSession, silver_root: str, gold_root: str,
                audit: LoadAudit | None = None, views: bool = True) -> LoadAudit:
-    """Materialise the gold models from silver tables (A7, ledger L12: the
-    surrogate keys are fixed per build instead of shifting on every read),
-    and publish each as a temp view ``gold_<model>``. The v2 dimensions are
-    the v1 ones (J5-J7)."""
+    """Materialise the gold models from silver tables (A7) and publish each as a
+    temp view ``gold_<model>``. Surrogate keys (ledger L12) come from the key maps
+    under ``<gold_root>/_keys``: a member keeps its key in every later build. The
+    v2 dimensions are the v1 ones (J5-J7)."""
     from tidewater.plans import gold  # local: gold imports operators that stage under the session
 
     audit = audit or LoadAudit()
@@ -190,6 +190,9 @@ class GoldBuild(MaterializedLayer):
         super().__init__(spark, silver_root)
         self.gold_root, self.built = gold_root.rstrip("/"), set()
 
+    def key_map(self, model: str) -> SnapshotTable:
+        return SnapshotTable(self.spark, f"{self.gold_root}/_keys/{model}")
+
     def gold_table(self, name: str) -> DataFrame | None:
         return read_table(self.spark, f"{self.gold_root}/{name}") if name in self.built else None
 
