@@ -43,3 +43,32 @@ def test_suite_pass_rule(spark, df, stub):
     assert (out["c2"].violations, out["c2"].passed) == (1, True)     # informational
     assert (out["c3"].violations, out["c3"].passed) == (0, True)
     assert (out["c4"].violations, out["c4"].passed) == (2, False)
+
+
+def test_quarantine_names_rows_and_counts_copies(spark, stub):
+    from tidewater.plans.quality import _c, quarantine
+    geo = spark.createDataFrame(
+        [("01000", "-1", "-2", "x", "SP")] * 3 + [("01000", "-1", "-3", "x", None), ("2", None, "1", "y", "RJ")],
+        "geolocation_zip_code_prefix string, geolocation_lat string, geolocation_lng string, "
+        "geolocation_city string, geolocation_state string")
+    checks = (_c("d", "bronze", "reference_geolocation", "duplicate", " ".join(geo.columns)),
+              _c("p", "bronze", "reference_geolocation", "profile", "geolocation_zip_code_prefix"),
+              _c("n", "bronze", "reference_geolocation", "null", "geolocation_lat geolocation_state"),
+              _c("v", "bronze", "reference_geolocation", "domain", "geolocation_state"))
+    got = {(r.check_id, r.row_key): (r.copies, r.guards)
+           for r in quarantine(stub(spark, {"reference_geolocation": geo}), checks).collect()}
+    assert got == {("d", "01000|-1|-2|x|SP"): (3, True),
+                   ("p", "01000|-1|-2|x|SP"): (3, False), ("p", "01000|-1|-3|x|"): (1, False),
+                   ("n", "01000|-1|-3|x|"): (1, True), ("n", "2||1|y|RJ"): (1, True),
+                   ("v", "01000|-1|-3|x|"): (1, False)}
+
+
+def test_quarantine_of_a_hot_group(spark, stub):
+    from tidewater.plans.quality import _c, quarantine
+    pay = spark.createDataFrame([("hot" if i % 2 else None, i, "boleto", 1, None) for i in range(400)]
+                                + [("one", 1, "boleto", 1, None)],
+                                "order_id string, payment_sequential int, payment_type string, "
+                                "payment_installments int, payment_value decimal(10,2)")
+    check = _c("p", "bronze", "finance_ord_payments", "duplicate", "order_id")
+    got = quarantine(stub(spark, {"finance_ord_payments": pay}), (check,))
+    assert got.count() == 400 and got.where("row_key LIKE '|%'").count() == 200

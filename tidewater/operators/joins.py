@@ -7,7 +7,7 @@ hot lookup key is split by AQE's skew join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.session import staging_path
@@ -99,3 +99,33 @@ def left_join_split_hot_keys(left: DataFrame, right: DataFrame, key: str, salt_f
     Evaluates ``left`` twice: use it on a materialised or cheap input."""
     hot = hot_keys(left, [key], partitions, min_hot_rows)[key]
     return left_join_salted(left, right, key, hot, salt_from, salts or partitions)
+
+
+def join_back(rows: DataFrame, values: DataFrame, keys, size: str, spread: Column,
+              salts: int = 64) -> DataFrame:
+    """``rows`` with the columns of ``values``, which has one row for each key or
+    none (null equals null), and in ``size`` how many rows have the key. A key of
+    more than ``salts`` rows meets them in ``salts`` pieces, dealt by ``spread``; so a
+    key with a third of all rows is in no one task, and ``values`` grows to at most
+    the number of rows."""
+    names = [c for c in values.columns if c not in keys and c != size]
+    packed = values.select(*[F.col(k).alias(f"_tw_k{i}") for i, k in enumerate(keys)],
+                           F.struct(*names).alias("_tw_v"), (F.col(size) > salts).alias("_tw_wide"))
+    many = (packed.where("_tw_wide").drop("_tw_wide")
+            .withColumn("_tw_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    # 0, written as an expression so that it stays among the shuffle keys
+    few = (packed.where("NOT _tw_wide").drop("_tw_wide")
+           .withColumn("_tw_s", F.when(F.col("_tw_v").isNotNull(), 0)))
+
+    def matched(left: DataFrame, right: DataFrame) -> DataFrame:
+        on = left["_tw_salt"] == right["_tw_s"]
+        for i, k in enumerate(keys):
+            on = on & left[k].eqNullSafe(right[f"_tw_k{i}"])
+        return left.join(right, on, "left")
+
+    out = rows.withColumn("_tw_salt", F.pmod(spread, F.lit(salts)).cast("int"))
+    out = matched(out, many).select(*rows.columns, "_tw_salt", F.col("_tw_v").alias("_tw_m"))
+    out = out.withColumn("_tw_salt", F.when(F.col("_tw_m").isNull(), 0).otherwise(F.col("_tw_salt") + 1))
+    return matched(out, few).select(
+        *[out[c] for c in rows.columns],
+        *[F.coalesce(F.col("_tw_m")[c], F.col("_tw_v")[c]).alias(c) for c in names])

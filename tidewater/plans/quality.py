@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import (has_outer_whitespace, has_quote, strip_quotes_trim,
                                  try_parse_date, try_parse_day_first, try_parse_day_first_date,
                                  try_parse_timestamp)
+from tidewater.operators import join_back
 
 ROW_KINDS = ("null", "whitespace", "quote", "quote_or_whitespace", "bad_date", "negative",
              "lookup", "cleaned")
@@ -247,6 +248,101 @@ def run_suite(wh, checks=CHECKS, layers=("bronze", "silver")) -> DataFrame:
                       ((~F.col("expect_zero")) | (F.col("violations") == 0)).alias("passed"))
 
 
+# --- offending rows of every check ------------------------------------------------
+
+#: What names a row of each table.
+ROW_KEYS = {
+    "crm_cust_info": ("customer_id",),
+    "crm_cust_reviews": ("review_id", "order_id"),
+    "finance_ord_payments": ("order_id", "payment_sequential"),
+    "prd_seller_details": ("seller_id",),
+    "prd_item_details": ("product_id",),
+    "prd_translations": ("product_category_name", "product_category_name_english"),
+    "reference_geolocation": tuple(_GEO_ALL.split()),
+    "sales_ord_items": ("order_id", "order_item_id"),
+    "sales_ord_details": ("order_id",),
+}
+
+
+def row_key(table: str) -> Column:
+    """The key columns as text, nulls as nothing."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ROW_KEYS[table]])
+
+
+def quarantine_table(table: str, df: DataFrame, checks: list[Check]) -> DataFrame:
+    """(row_key, check_id, copies): the rows of one table that a check marks, with how
+    often they occur. Row checks mark rows by themselves. Duplicate and profile
+    checks mark all rows of an offending group; domain checks, which know no list
+    of allowed values, mark rows without a value.
+
+    Equal rows are counted first, over the columns that the checks read, so a row
+    that occurs a million times is one row from there on. All row checks are one
+    array expression. The offending groups of each group check are joined back to
+    the distinct rows, hot ones in pieces (``join_back``)."""
+    groups = [c for c in checks if c.kind in GROUP_KINDS and c.kind != "domain"]
+    read = dict.fromkeys([*ROW_KEYS[table], *[c for ch in checks for c in ch.columns]])
+    rows = df.groupBy(*read).agg(F.count(F.lit(1)).alias("_tw_n"))
+    spread = F.xxhash64(*read)
+    for ch in groups:
+        own = (rows.groupBy(*ch.columns)
+               .agg(F.sum("_tw_n").alias("_tw_all"), F.count(F.lit(1)).alias("_tw_rows")))
+        cond = F.col("_tw_all") > 1
+        if ch.kind == "duplicate_or_null":
+            cond = cond | _any([F.col(c).isNull() for c in ch.columns])
+        own = own.where(cond).select(*ch.columns, "_tw_rows", F.lit(True).alias(f"_tw_{ch.check_id}"))
+        if set(ch.columns) == set(read):    # a group is one distinct row: its count says it all
+            rows = rows.withColumn(f"_tw_{ch.check_id}", F.col("_tw_n") > 1)
+        else:
+            rows = join_back(rows, own, list(ch.columns), "_tw_rows", spread)
+
+    def marked(ch: Check) -> Column:
+        if ch.kind == "domain":
+            return _any([F.col(c).isNull() for c in ch.columns])
+        return F.col(f"_tw_{ch.check_id}") if ch.kind in GROUP_KINDS else row_condition(ch)
+
+    failed = F.array_compact(F.array(*[F.when(marked(c), F.lit(c.check_id)) for c in checks]))
+    out = rows.select(row_key(table).alias("row_key"), "_tw_n", F.explode(failed).alias("check_id"))
+    return out.groupBy("row_key", "check_id").agg(F.sum("_tw_n").alias("copies"))
+
+
+def quarantine(wh, checks=CHECKS, layers=("bronze", "silver")) -> DataFrame:
+    """(layer, table_name, check_id, guards, row_key, copies): every row that a check
+    marks, for all checks. ``guards`` is false for informational checks (profiles,
+    domains, lookups, cleaned values)."""
+    by_table: dict[tuple, list] = {}
+    for ch in checks:
+        if ch.layer in layers:
+            by_table.setdefault((ch.layer, ch.table), []).append(ch)
+    informational = [c.check_id for c in checks if not c.expect_zero]
+    parts = [quarantine_table(table, getattr(wh, layer)(table), chs)
+             .select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "check_id",
+                     (~F.col("check_id").isin(informational)).alias("guards"), "row_key", "copies")
+             for (layer, table), chs in by_table.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def quarantine_sql(layers=("bronze", "silver"), checks=CHECKS) -> str:
+    """The SQL twin of ``quarantine``, check by check."""
+    parts = []
+    for ch in checks:
+        if ch.layer not in layers:
+            continue
+        t = ("b_" if ch.layer == "bronze" else "s_") + ch.table
+        key = " || '|' || ".join(f"coalesce(cast({c} AS VARCHAR), '')" for c in ROW_KEYS[ch.table])
+        cols, nulls = ", ".join(ch.columns), " OR ".join(f"{c} IS NULL" for c in ch.columns)
+        if ch.kind == "domain":
+            found = f"SELECT * FROM {t} WHERE {nulls}"
+        elif ch.kind in GROUP_KINDS:
+            also = f" OR {nulls}" if ch.kind == "duplicate_or_null" else ""
+            found = f"SELECT * FROM {t} QUALIFY count(*) OVER (PARTITION BY {cols}) > 1{also}"
+        else:
+            found = f"SELECT * FROM {t} WHERE {_sql_row_condition(ch)}"
+        parts.append(f"SELECT '{ch.layer}' AS layer, '{ch.table}' AS table_name, '{ch.check_id}' AS check_id, "
+                     f"{str(ch.expect_zero).upper()} AS guards, {key} AS row_key, count(*) AS copies "
+                     f"FROM ({found}) f GROUP BY row_key")
+    return " UNION ALL ".join(parts)
+
+
 # --- the same checks as SQL, for the oracle -----------------------------------------
 
 def _sql_parse(arg: str, c: str) -> str:
