@@ -47,6 +47,36 @@ def test_pseudonyms_keep_formats_and_links(make):
     assert [by[1][f"pii_{k}"] for k in ("email", "ip", "phone", "ssn", "date", "card")] == [1, 1, 1, 1, 2, 1]
 
 
+@pytest.mark.parametrize("text", [
+    "x a@b" + ".ab" * 340_000, "a" * 1_000_000 + "@", "a@" * 500_000, "1" * 1_000_000, "1-" * 500_000,
+    "+1 " * 330_000, "(123) " * 170_000, "2017-02-" * 125_000, "1.2." * 250_000, "4111 " * 200_000,
+    "@." * 500_000])
+def test_long_adversarial_texts(make, text):
+    (row,) = pseudonymise(make([(1, text)]), "key").select("text").collect()
+    assert len(row["text"]) == len(text)
+
+
+def test_long_email_names_keep_their_shape_and_links(make):
+    names = [f"{'abcde' * 8}.{k}_{'0123456789' * 5}-{'z' * 30}" for k in range(20)]
+    rows = [(k, f"to {n}@mail.example.com or {n.upper()}@b.org") for k, n in enumerate(names)]
+    new = {r["doc_id"]: r["text"] for r in pseudonymise(make(rows), "key").collect()}
+    seen = set()
+    for k, old in enumerate(names):
+        first, other = re.fullmatch("to (.*)@mail.example.com or (.*)@b.org", new[k]).groups()
+        assert first == other != old and len(first) == len(old)
+        assert re.sub("[a-z]", "a", re.sub("[0-9]", "0", first)) == re.sub("[a-z]", "a", re.sub("[0-9]", "0", old))
+        seen.add(first)
+    assert len(seen) == len(names)
+
+
+def test_key_and_columns_of_the_input(make):
+    docs = make([(1, "mail a.b@c.de")]).selectExpr("*", "1 AS _hits", "2 AS _made", "3 AS _gaps", "4 AS hits")
+    row = pseudonymise(docs, "key").first()
+    assert (row["_hits"], row["_made"], row["_gaps"], row["hits"], row["pii_email"]) == (1, 2, 3, 4, 1)
+    with pytest.raises(ValueError, match="key"):
+        pseudonymise(docs, "")
+
+
 def test_phones_of_any_digits_and_country(make):
     forms = ["+1 (017) 555-7713", "+1 (988) 155-2485", "(017) 555-7713", "+1 017.555.7713", "+10175557713",
              "017-555-7713", "988.555.2485", "1-800-555-0199", "1.800.555.0199", "800 555 0199",
@@ -239,7 +269,8 @@ def test_inverse_of_the_integral(spark):
 # ---- registered queries
 def test_oracle_queries(spark):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     for name, sql in registry.ORACLE.items():
         want = con.execute(sql).df()
         got = registry.QUERIES[name](spark, DATA).toPandas()[list(want.columns)]

@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 
 # The formats.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+#: Possessive, so that an address of any length is matched in a loop, not by recursion.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d)"
 SSN = r"(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-])"
 DATE = r"(?<![\d-])(?:19|20)\d\d-\d\d-\d\d(?![\d-])|(?<![\d/])\d\d/\d\d/(?:19|20)\d\d(?![\d/])"
@@ -227,10 +228,53 @@ def _permute_letters(text: Column, key: str) -> Column:
         spell(out["x"], left), spell(out["y"], n - left))))
 
 
+def _permute_long(codes: Column, size: int, key: str, tweak: str) -> Column:
+    """A keyed permutation of the arrays of numbers below ``size`` of one length:
+    rounds that add to one half a key stream made from the other one."""
+    def stream(half: Column, n: Column, r: Column) -> Column:
+        seed = F.sha2(F.concat_ws(":", F.lit(key), F.lit(tweak), r.cast("string"),
+                                  F.array_join(half.cast("array<string>"), ",")), 256)
+        return let(seed, lambda s: F.transform(F.slice(F.sequence(F.lit(0), n), F.lit(1), n), lambda i: F.conv(
+            F.substring(F.sha2(F.concat_ws(":", s, i.cast("string")), 256), 1, 12), 16, 10).cast("long")))
+
+    def turn(state: Column, r: Column) -> Column:
+        odd = r % 2 == 1
+        to, by = F.when(odd, state["x"]).otherwise(state["y"]), F.when(odd, state["y"]).otherwise(state["x"])
+        new = let(F.struct(to.alias("to"), by.alias("by")), lambda h: F.zip_with(
+            h["to"], stream(h["by"], F.size(h["to"]), r), lambda a, b: (a + b) % size))
+        return F.struct(F.when(odd, new).otherwise(state["x"]).alias("x"),
+                        F.when(odd, state["y"]).otherwise(new).alias("y"))
+
+    left = F.floor(F.size(codes) / 2).cast("int")
+    start = F.struct(F.slice(codes, F.lit(1), left).alias("x"),
+                     F.slice(codes, left + 1, F.size(codes) - left).alias("y"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn,
+                       lambda s: F.concat(s["x"], s["y"]))
+
+
+def _long_name(name: Column, key: str) -> Column:
+    """A name of any length: its letters, its digits and the rest each with their
+    places, the first two permuted, put together in order of place."""
+    chars = F.transform(F.split(name, "(?!^)"), lambda c, i: F.struct(i.alias("at"), c.alias("c")))
+
+    def permuted(all_: Column, lo: str, hi: str, size: int) -> Column:
+        mine = F.filter(all_, lambda x: x["c"].between(lo, hi))
+        return let(mine, lambda own: F.zip_with(own, _permute_long(
+            F.transform(own, lambda x: (F.ascii(x["c"]) - ord(lo)).cast("long")), size, key,
+            f"long {lo}"), lambda x, n: F.struct(x["at"].alias("at"), F.char(n + ord(lo)).alias("c"))))
+
+    def other(all_: Column) -> Column:
+        return F.filter(all_, lambda x: ~(x["c"].between("a", "z") | x["c"].between("0", "9")))
+    return let(chars, lambda all_: F.array_join(F.transform(F.array_sort(F.concat(
+        permuted(all_, "a", "z", 26), permuted(all_, "0", "9", 10), other(all_))),
+        lambda x: x["c"]), ""))
+
+
 def email_pseudonym(value: Column, key: str) -> Column:
     """The name before the @ is permuted, letters and digits each among
-    themselves; upper case counts as lower. Names with more than 24 letters or
-    36 digits get a keyed hash of the name instead."""
+    themselves; upper case counts as lower. Up to 24 letters and 36 digits are
+    numbers to the Feistel network; of longer names its halves are the characters
+    themselves (``_permute_long``)."""
     name = F.lower(F.substring_index(value, "@", 1))
     domain = F.substring_index(value, "@", -1)
     letters, digits = _permute_letters(name, key), F.regexp_replace(name, "[^0-9]", "")
@@ -250,8 +294,7 @@ def email_pseudonym(value: Column, key: str) -> Column:
         start = F.struct(F.lit("").alias("out"), F.lit(1).alias("l"), F.lit(1).alias("d"))
         return F.aggregate(F.split(name, "(?!^)"), start, put, lambda s: s["out"])
     filled = let(F.struct(letters.alias("letters"), digits.alias("digits")), fill)
-    hashed = F.substring(F.sha2(F.concat(F.lit(key), F.lit(":email:"), name), 256), 1, 24)
-    return F.concat(F.when(short, filled).otherwise(hashed), F.lit("@"), domain)
+    return F.concat(F.when(short, filled).otherwise(_long_name(name, key)), F.lit("@"), domain)
 
 
 def _kind(value: Column) -> Column:
@@ -283,23 +326,28 @@ def _replaced(kind: str):
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with the column ``text`` rewritten and ``pii_<kind>`` (long), the
     number of values replaced, for each kind. A column of ``docs`` that has such
-    a name is replaced."""
+    a name is replaced; all others stay. Whoever has ``key`` can undo this, so
+    there is no default; it is part of the plan's text."""
+    if not key:
+        raise ValueError("pseudonyms need a key")
+    hits_, made_, gaps_ = (f"{name}{'_' * max(map(len, docs.columns))}" for name in ("hits", "made", "gaps"))
     hits = F.transform(F.regexp_extract_all(F.col("text"), F.lit(f"({ANY})"), F.lit(1)),
                        lambda v: F.struct(v.alias("value"), _kind(v).alias("kind")))
-    made = F.transform(F.col("_hits"), lambda h: F.struct(
+    made = F.transform(F.col(hits_), lambda h: F.struct(
         h["value"].alias("value"), h["kind"].alias("kind"),
         pseudonym(h["value"], h["kind"], key).alias("new")))
     joined = F.concat(F.array_join(F.transform(
-        F.col("_made"), lambda m, i: F.concat(F.get(F.col("_gaps"), i),
-                                              F.coalesce(m["new"], m["value"]))), ""),
-        F.element_at(F.col("_gaps"), -1))
+        F.col(made_), lambda m, i: F.concat(F.get(F.col(gaps_), i),
+                                            F.coalesce(m["new"], m["value"]))), ""),
+        F.element_at(F.col(gaps_), -1))
     may = F.col("text").rlike(r"@|\d")
-    out = (docs.withColumn("_hits", F.when(may, hits))
-           .withColumn("_made", F.when(F.size("_hits") > 0, made))
-           .withColumn("_gaps", F.when(F.size("_hits") > 0, F.split("text", ANY, -1)))
-           .withColumn("text", F.when(F.size("_hits") > 0, joined).otherwise(F.col("text"))))
+    found = F.size(hits_) > 0
+    out = (docs.withColumn(hits_, F.when(may, hits))
+           .withColumn(made_, F.when(found, made))
+           .withColumn(gaps_, F.when(found, F.split("text", ANY, -1)))
+           .withColumn("text", F.when(found, joined).otherwise(F.col("text"))))
     for name in KINDS:
         out = out.withColumn(f"pii_{name}", F.coalesce(F.size(F.filter(
-            F.col("_made"), _replaced(name))),
+            F.col(made_), _replaced(name))),
             F.lit(0)).cast("long"))
-    return out.drop("_hits", "_made", "_gaps")
+    return out.drop(hits_, made_, gaps_)

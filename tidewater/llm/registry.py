@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,9 @@ TOKENIZERS = os.environ.get("TOKENIZER_DIR")
 WORD_TOKENIZER = "word_bpe_49k.json"
 RANK_TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
-#: Key of the pseudonyms; a deployment gives its own.
-PII_KEY = os.environ.get("PII_KEY", "tidewater")
+#: Key of the pseudonyms. Unset, one is drawn that nobody knows and that ends
+#: with this process: values are linked within its results only.
+PII_KEY = os.environ.get("PII_KEY") or secrets.token_hex(16)
 
 
 def tokenizer_path(name: str) -> str:
