@@ -124,6 +124,16 @@ def test_toxicity_held_out_accuracy(spark, make):
     assert {None, 9999} <= kept and docs.columns == drop_toxic(docs, frame).columns
 
 
+def test_samples_keep_their_bound_on_null_and_repeated_ids(make):
+    from tidewater.llm.common import picked_rows
+    rows = [(None, f"null {i}") for i in range(3000)] + [(7, f"seven {i}") for i in range(1500)]
+    rows += [(9, "copy")] * 1500 + [(100 + i, f"own {i}") for i in range(1500)]
+    docs = make(rows).select("doc_id", "text")
+    assert 500 < picked_rows(docs, 750, len(rows)).count() < 850
+    assert picked_rows(docs, 10 ** 6, len(rows)).count() == 3000 + 1500 + 1 + 1500
+    assert picked_rows(docs.where("false"), 5, 0).count() == 0
+
+
 def test_toxicity_without_examples(spark, odd, make):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["predicted"] for r in score_toxicity(odd, train_toxicity(odd, none)).collect()} == {0}

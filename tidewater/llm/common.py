@@ -59,29 +59,10 @@ def splitmix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def join_back(rows: DataFrame, values: DataFrame, keys: list[str], size: str, spread: Column,
-              salts: int = 64) -> DataFrame:
-    """``rows`` with the columns of ``values``, one row for each key (null equals
-    null). A key of more than ``salts`` rows (column ``size`` of ``values``) meets
-    its rows in ``salts`` pieces, dealt by ``spread``; so a key with a third of all
-    rows is in no one task, and ``values`` grows to at most the number of rows."""
-    wide = F.col(size) > salts
-    names = [c for c in values.columns if c not in keys and c != size]
-    packed = values.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                           F.struct(*names).alias("_v"), wide.alias("_wide"))
-    many = (packed.where("_wide").drop("_wide")
-            .withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    few = packed.where("NOT _wide").drop("_wide").withColumn("_s", F.when(F.col("_v").isNotNull(), 0))
-
-    def same(other: DataFrame):
-        on = rows_["_salt"] == other["_s"]
-        for i, k in enumerate(keys):
-            on = on & rows_[k].eqNullSafe(other[f"_k{i}"])
-        return on
-
-    rows_ = rows.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
-    rows_ = rows_.join(many, same(many), "left").select(*rows.columns, "_salt", F.col("_v").alias("_m"))
-    rows_ = rows_.withColumn("_salt", F.when(F.col("_m").isNull(), 0).otherwise(F.col("_salt") + 1))
-    both = rows_.join(few, same(few), "left")
-    return both.select(*[rows_[c] for c in rows.columns],
-                       *[F.coalesce(F.col("_m")[c], F.col("_v")[c]).alias(c) for c in names])
+def picked_rows(rows: DataFrame, most: int, n: int) -> DataFrame:
+    """About ``most`` of the ``n`` ``rows`` (doc_id, text), by a hash of both, each
+    distinct one once: neither null or repeated ids nor copies make it more."""
+    share = int((1 << 30) * min(1.0, most / max(n, 1)))
+    chosen = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < share)
+    return (chosen.groupBy("doc_id", F.xxhash64("text").alias("_h"))
+            .agg(F.first("text").alias("text")).select("doc_id", "text"))

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import crc_fold, slices, stage, text_bytes
+from tidewater.llm.common import crc_fold, picked_rows, slices, stage, text_bytes
 
 FOLDS, HELD_OUT = 4, 2
 MAX_POSITIVE, MAX_UNLABELLED = 10_000, 25_000
@@ -212,17 +212,19 @@ def train_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     prior = min(max(share["toxic"] / share["n"], 1e-4), 0.9)
 
     def one_of(n: int, most: int):
-        """A hash of the id picks about ``most`` of ``n`` rows, or all."""
+        """A hash of the id picks about ``most`` of ``n`` ids, or all."""
         return F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1, most / n))
 
-    # bounded: at most about MAX_POSITIVE ids
+    # bounded: at most about MAX_POSITIVE ids, and one text of each
     positive = known.where("toxic = 1").where(one_of(share["toxic"], MAX_POSITIVE)).select("doc_id")
     n_train = train.select("doc_id").count()
     if not n_train:
         return nothing
     sample = stage(
-        train.join(F.broadcast(positive), "doc_id", "left_semi").select(F.lit(1).alias("toxic"), "text")
-        .union(train.where(one_of(n_train, MAX_UNLABELLED)).select(F.lit(0), "text"))
+        train.join(F.broadcast(positive), "doc_id", "left_semi")
+        .groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+        .select(F.lit(1).alias("toxic"), "text")
+        .union(picked_rows(train, MAX_UNLABELLED, n_train).select(F.lit(0), "text"))
         .select(F.col("toxic").cast("int").alias("toxic"), "text"), "sample")
     confirmed = sample.where("toxic = 1").select("text")
     n_pos = confirmed.count()
