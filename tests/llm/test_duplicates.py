@@ -105,8 +105,32 @@ def test_near_odd_rows(odd):
     assert by[4]["component_id"] == 3 and not by[4]["kept"]
     assert by[None]["component_id"] is None and by[None]["kept"]
     assert by[1]["n_shingles"] == by[6]["n_shingles"] == 0 and by[1]["kept"] and by[6]["kept"]
+    # one row of the group of 3, 3 and 4 stays
     assert sorted(str(r["doc_id"]) for r in drop_near_duplicates(odd).collect()) == sorted(
-        str(d) for d, _ in ODD if d != 4)
+        str(d) for d in {d for d, _ in ODD} if d != 4)
+
+
+A, B, C = (f"{w} one two three four five six seven {w}" for w in ("alpha", "beta", "gamma"))
+
+
+def test_rows_of_one_id_are_one_node(make):
+    by = {}
+    for r in near_duplicates(make([(3, B), (5, A), (5, B), (9, A), (7, C), (8, C), (8, "x")])).collect():
+        by.setdefault(r["doc_id"], set()).add(r["component_id"])
+    assert by == {3: {3}, 5: {3}, 9: {3}, 7: {7}, 8: {7}}
+
+
+def test_no_text_is_lost_and_no_copy_stays(make):
+    rows = [(3, B), (5, A), (5, B), (None, A), (None, C), (None, C), (6, C), (6, C), (None, ""), (None, None)]
+    docs = make(rows)
+    kept = drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert [t for _, t in got if t] and sorted(t for _, t in got if t) == sorted([A, B, C])
+    assert (3, B) in got and (6, C) in got and len(got) == 5     # texts without words all stay
+    many = [(None if i % 3 else 4, f"{A} {i // 30}" if i % 2 else B) for i in range(300)]
+    texts = [r["text"] for r in drop_near_duplicates(make(many), 100).collect()]
+    assert sorted(texts) == sorted({t for _, t in many})
 
 
 def test_near_empty(make):

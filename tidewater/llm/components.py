@@ -52,7 +52,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Partitions reduce their edges to union-find forests first, so a star of
     any size becomes one edge per node and the rounds that follow are few.
     """
-    forest = stage(edges.select("a", "b").repartition("a").mapInArrow(_forest, "u long, v long"),
+    forest = stage(edges.select("a", "b").repartition("a", "b").mapInArrow(_forest, "u long, v long"),
                    "forest")
     both = forest.union(forest.select(F.col("v").alias("u"), F.col("u").alias("v")))
     labels = stage(both.groupBy(F.col("u").alias("node")).agg(

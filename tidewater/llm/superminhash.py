@@ -22,7 +22,8 @@ whole sequence as one; without words it is empty and linked with nothing).
    all its pairs.
 
 Null ids and repeated rows: rows that repeat an id are one node whose links
-unite; a null id gets a null component and is kept.
+unite; a null id gets a null component and is kept. ``drop_near_duplicates`` goes
+by rows instead.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import slices, splitmix, stage, text_bytes
 from tidewater.llm.components import connected_components
+from tidewater.operators import join_back
 
 SHINGLE = 5
 BANDS, ROWS = 25, 5
@@ -243,8 +245,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         parts = connected_components(edges)
     rest = _across(_mixed(buckets, parts), tested, signed_bands(classes), sets, percent)
     more = stage(_confirm(rest, sets, percent), "tested").where("linked").select("a", "b")
-    if more.limit(1).count():
-        parts = connected_components(edges.union(more))
+    same = _shared_ids(signed, classes)
+    if more.limit(1).count() or same is not None:
+        edges = edges.union(more)
+        parts = connected_components(edges if same is None else edges.union(same))
 
     # class -> component -> documents; a class is a row per distinct set, and
     # its documents find it by the keys of the set
@@ -253,6 +257,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     return _spread(signed.drop("bands"), joined)
 
 
+def _shared_ids(signed: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Edges between the classes that one id has rows in; None where no id has."""
+    key = F.struct("n", "k1", "k2")
+    several = (signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id")
+               .agg(F.min(key).alias("low"), F.max(key).alias("high"))
+               .where("low != high").select("doc_id"))
+    several = stage(several, "several")
+    if several.isEmpty():
+        return None
+    of_id = (signed.join(several, "doc_id", "left_semi").select("doc_id", "n", "k1", "k2").distinct()
+             .join(classes.select("n", "k1", "k2", "id"), ["n", "k1", "k2"]).select("doc_id", "id"))
+    first = of_id.groupBy("doc_id").agg(F.min("id").alias("a"))
+    return stage(of_id.join(first, "doc_id").select("a", F.col("id").alias("b")), "shared")
+
+
 def signed_bands(classes: DataFrame) -> DataFrame:
     return classes.select("id", F.col("k1").alias("k"), "bands")
 
@@ -368,7 +387,34 @@ def _spread(docs: DataFrame, classes: DataFrame, salts: int = 64) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """The rows of ``docs`` whose document stays: one of each group, with all
-    columns. Null ids stay."""
-    dropped = near_duplicates(docs, percent).where("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that stay: one of each group of near copies, with all
+    columns. Rows are told apart by themselves, not by their ids: of rows that
+    repeat an id those with a text of its own stay, and copies with null ids go.
+    The row of the smallest id stays; null ids, and the rows of an id but its first,
+    count as larger than all others."""
+    ids = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+        F.count("*").alias("n"), F.max(F.col("doc_id").cast("long")).alias("top"))
+    repeated = stage(ids.where("n > 1 AND doc_id IS NOT NULL").select(
+        F.col("doc_id").alias("_again")), "repeated")
+    most = ids.agg(F.max("top").alias("top"), F.max(F.col("doc_id").isNull() | (F.col("n") > 1))
+                   .alias("any")).first()
+    if not most["any"]:
+        dropped = near_duplicates(docs, percent).where("NOT kept").select("doc_id").distinct()
+        return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    own = docs.select(row, F.col("doc_id").cast("long").alias("_id"))
+    hit = F.col("_id") == F.col("_again")
+    plain = own.where("_id IS NOT NULL").join(repeated, hit, "left_anti")
+    other = (own.where("_id IS NULL")
+             .union(own.where("_id IS NOT NULL").join(repeated, hit, "left_semi")))
+    other = stage(other.select("row", "_id", F.monotonically_increasing_id().alias("_place")),
+                  "repeated-rows")
+    first = other.groupBy("_id").agg(F.min("_place").alias("_first"), F.count("*").alias("_rows"))
+    number = F.when(F.col("_id").isNotNull() & (F.col("_place") == F.col("_first")), F.col("_id")) \
+        .otherwise(F.lit((most["top"] or 0) + 1) + F.col("_place"))
+    other = join_back(other, first, ["_id"], "_rows", F.xxhash64("_place")).withColumn("_id", number)
+    rows = plain.select("row", "_id").union(other.select("row", "_id"))
+    seen = rows.select(F.col("_id").alias("doc_id"), F.col("row.text").alias("text"))
+    dropped = (near_duplicates(seen, percent).where("NOT kept")
+               .select(F.col("doc_id").alias("_gone")))
+    return rows.join(dropped, F.col("_id") == F.col("_gone"), "left_anti").select("row.*")
