@@ -109,6 +109,11 @@ def test_many_matches_in_one_text(make, n):
     assert row[1][:6] == (5 * n + 3, n + 1, 1, 5 * n, "cc-by-nc,mit", "cc-by-nc,mit")
 
 
+def test_letters_beyond_ascii(make):
+    rows = [(1, "ÉTÉ Under The MİT License \u212a"), (2, "AİR CC BY NC ŞÇ"), (3, "Straße CC-BY-NC")]
+    assert dict(rows_of(scan_licenses(make(rows)))) == {i: brute(t) for i, t in rows}
+
+
 def test_suppression(make):
     texts = ["GNU Lesser General Public License, version 3", "under the GNU GPL v3 or later",
              "CC BY-NC-SA 4.0", "gplv2", "SPDX-License-Identifier: Apache-2.0", "an MIT License"]
