@@ -43,6 +43,8 @@ SHINGLE = 5
 BANDS, ROWS = 25, 5
 #: Rounds of comparisons with changing members of a bucket's largest component.
 PIVOT_ROUNDS = 1
+#: Hash cells of a set's bitmap, for a bound on what two sets have in common.
+BITS = 1024
 #: Bytes hashed at a time; a longer word extends its block.
 BLOCK = 1 << 20
 _U = np.uint64
@@ -326,13 +328,38 @@ def _held_in_common(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return items.join(twice, "item").groupBy("id", "k").agg(F.count("*").alias("common"))
 
 
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which of the ``BITS`` hash cells a set's elements fall into, as 64-bit words."""
+    for batch in batches:
+        out = np.zeros((batch.num_rows, BITS // 64), np.uint64)
+        items = batch.column(2)
+        ends = items.value_lengths().to_numpy(zero_copy_only=False)
+        cell = splitmix(items.flatten().to_numpy().view(np.uint64)) % _U(BITS)
+        row = np.repeat(np.arange(batch.num_rows), ends)
+        np.bitwise_or.at(out, (row, (cell >> _U(6)).astype(np.int64)), _U(1) << (cell & _U(63)))
+        flat = pa.array(out.reshape(-1).view(np.int64))
+        starts = pa.array(np.arange(0, len(flat) + 1, BITS // 64, dtype=np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.ListArray.from_arrays(starts, flat)],
+            names=["id", "k", "cells"])
+
+
+def _outside(u: str, v: str):
+    """Cells that only the first set has; as many of its elements, at least, aren't
+    in the second."""
+    own = F.zip_with(F.col(f"{u}_cells"), F.col(f"{v}_cells"),
+                     lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b))).cast("long"))
+    return F.aggregate(own, F.lit(0).cast("long"), lambda s, x: s + x)
+
+
 def _across(mixed: DataFrame, tested: DataFrame, bands: DataFrame, sets: DataFrame,
             percent: int) -> DataFrame:
     """Pairs of a bucket that are still in different components and may be
     linked: every class outside the bucket's largest component against the
-    others, each pair in the first band that it shares. Two exact bounds keep
+    others, each pair in the first band that it shares. Three exact bounds keep
     out what can't be linked: edited copies of one text have shingles that no
-    other set has, and the triangle inequality through the leader."""
+    other set has, the triangle inequality through the leader, and the hash cells
+    that only one of the two sets has elements in."""
     far = (100 - percent) / 100 + 1e-9
     seen = tested.select(F.col("a").alias("la"), F.col("ka").alias("lk"), F.col("b").alias("id"),
                          F.col("kb").alias("k"), "dist")
@@ -347,7 +374,10 @@ def _across(mixed: DataFrame, tested: DataFrame, bands: DataFrame, sets: DataFra
                  .join(bands, ["id", "k"])
                  .select("band", "id", "k", "n", "component", "major", "lo", "hi", "bands",
                          "common"), "rest")
-    names = ("id", "k", "n", "component", "lo", "hi", "bands", "common")
+    cells = (rows.select("id", "k").distinct().join(sets, ["id", "k"]).select("id", "k", "items")
+             .mapInArrow(_bitmaps, "id long, k long, cells array<long>"))
+    rows = stage(rows.join(cells, ["id", "k"]), "cells")
+    names = ("id", "k", "n", "component", "lo", "hi", "bands", "common", "cells")
     u = rows.where("component != major").select("band", *[F.col(c).alias(f"u_{c}") for c in names])
     v = rows.select("band", *[F.col(c).alias(f"v_{c}") for c in names])
     may = (F.col("u_component") != F.col("v_component")) & (F.col("u_id") != F.col("v_id"))
@@ -358,8 +388,10 @@ def _across(mixed: DataFrame, tested: DataFrame, bands: DataFrame, sets: DataFra
     reach = (F.col("u_lo") - F.col("v_hi") <= far) & (F.col("v_lo") - F.col("u_hi") <= far)
     shared = F.array_intersect("u_bands", "v_bands")
     v = v.withColumnRenamed("band", "v_band")
+    most = F.least(F.col("u_n") - _outside("u", "v"), F.col("v_n") - _outside("v", "u"))
+    fits = most * 100 >= percent * (F.col("u_n") + F.col("v_n") - most)
     return _pairs(u.join(v, (F.col("band") == F.col("v_band")) & may & near & reach
-                         & (F.array_min(shared) == F.col("band"))))
+                         & (F.array_min(shared) == F.col("band")) & fits))
 
 
 def _spread(docs: DataFrame, classes: DataFrame, salts: int = 64) -> DataFrame:
