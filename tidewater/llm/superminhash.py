@@ -206,8 +206,9 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .drop("either"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 85, unique_ids: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
+    ``unique_ids`` says that no id repeats, so none is looked for.
 
     ``docs`` needs doc_id and text; other columns are ignored. Documents are
     linked when 100 * intersection >= percent * union of their shingle sets.
@@ -247,7 +248,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         parts = connected_components(edges)
     rest = _across(_mixed(buckets, parts), tested, signed_bands(classes), sets, percent)
     more = stage(_confirm(rest, sets, percent), "tested").where("linked").select("a", "b")
-    same = _shared_ids(signed, classes)
+    same = None if unique_ids else _shared_ids(signed, classes)
     if more.limit(1).count() or same is not None:
         edges = edges.union(more)
         parts = connected_components(edges if same is None else edges.union(same))
@@ -426,13 +427,13 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     count as larger than all others."""
     ids = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.count("*").alias("n"), F.max(F.col("doc_id").cast("long")).alias("top"))
-    repeated = stage(ids.where("n > 1 AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("_again")), "repeated")
     most = ids.agg(F.max("top").alias("top"), F.max(F.col("doc_id").isNull() | (F.col("n") > 1))
                    .alias("any")).first()
     if not most["any"]:
-        dropped = near_duplicates(docs, percent).where("NOT kept").select("doc_id").distinct()
+        dropped = near_duplicates(docs, percent, unique_ids=True).where("NOT kept").select("doc_id")
         return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    repeated = stage(ids.where("n > 1 AND doc_id IS NOT NULL").select(
+        F.col("doc_id").alias("_again")), "repeated")
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
     own = docs.select(row, F.col("doc_id").cast("long").alias("_id"))
     hit = F.col("_id") == F.col("_again")
@@ -447,6 +448,6 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     other = join_back(other, first, ["_id"], "_rows", F.xxhash64("_place")).withColumn("_id", number)
     rows = plain.select("row", "_id").union(other.select("row", "_id"))
     seen = rows.select(F.col("_id").alias("doc_id"), F.col("row.text").alias("text"))
-    dropped = (near_duplicates(seen, percent).where("NOT kept")
+    dropped = (near_duplicates(seen, percent, unique_ids=True).where("NOT kept")
                .select(F.col("doc_id").alias("_gone")))
     return rows.join(dropped, F.col("_id") == F.col("_gone"), "left_anti").select("row.*")
