@@ -90,3 +90,20 @@ def test_prefixed_key_null_and_width(spark):
     assert one(spark, prefixed_key("PRD", F.col("s")), ids) == [
         "PRD" + "a" * 30 + "bc", "PRD" + "a" * 30 + "de", None]
     assert one(spark, prefixed_key("PRD", F.col("s"), width=30), ids)[0] == "PRD" + "a" * 30
+
+
+def test_date_styles(spark):
+    from tidewater.functions.dates import try_parse_any_day_first, try_parse_any_timestamp
+    default = {"20170102": "2017-01-02 00:00:00", "Jan 2 2017 3:04PM": "2017-01-02 15:04:00",
+               "2 january 2017 12:00 am": "2017-01-02 00:00:00", "02-Feb-50": "1950-02-02 00:00:00",
+               "Sept 2 2017": None, "May 3, 49 12:30pm": "2049-05-03 12:30:00", "20170231": None,
+               "2017-01-02 3:04:05 PM": "2017-01-02 15:04:05", "Jan 2 2017 13:00PM": None,
+               "2017-01-02 5": None, "2017-01-02 5am": "2017-01-02 05:00:00", "x": None, "": None,
+               "20170102 23:59:59.5": "2017-01-02 23:59:59.500000", "Jan 2 2017 25:00": None,
+               "2017-01-02 10:11": "2017-01-02 10:11:00", None: None}
+    first = {"3/4/17": "2017-04-03 00:00:00", "3-4-2017 1:02 pm": "2017-04-03 13:02:00",
+             "31-02-2017": None, "03.04.99 10:00": "1999-04-03 10:00:00", "3 apr 2017": "2017-04-03 00:00:00"}
+    for parse, cases in ((try_parse_any_timestamp, default), (try_parse_any_day_first, first)):
+        df = spark.createDataFrame([(k, 1) for k in cases], "t string, n int")
+        got = {r.t: None if r.p is None else str(r.p) for r in df.select("t", parse("t").alias("p")).collect()}
+        assert got == cases

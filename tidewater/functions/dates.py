@@ -31,9 +31,71 @@ def _try_parse(c: Column, shape: str, date: str) -> Column:
     return F.when(c.rlike(shape), iso.try_cast("timestamp_ntz"))
 
 
+# Month names, the time of day with an optional half, and the other
+# styles that the source's conversions take. Groups: see ``_OTHER_STYLES``.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september",
+          "october", "november", "december")
+_MONTH = "(" + "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in MONTHS) + ")"
+_CLOCK = r"(?:[ T]+(\d{1,2})(?::(\d{2})(?::(\d{2}(?:[.:]\d{1,6})?))?)?\d* *([ap]m)?)?"
+#: (pattern, place of year, month and day among its groups); a time of day follows.
+_OTHER_STYLES = (
+    (r"^(\d{4})(\d{2})(\d{2})" + _CLOCK + "$", (1, 2, 3)),                      # 20170102
+    (r"(?i)^" + _MONTH + r"\.? +(\d{1,2}),? +(\d{4}|\d{2})" + _CLOCK + "$", (3, 1, 2)),
+    (r"(?i)^(\d{1,2})[ -]" + _MONTH + r"[ -](\d{4}|\d{2})" + _CLOCK + "$", (3, 2, 1)),
+)
+_YEAR_FIRST_HALF = (r"(?i)^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})" + _CLOCK + "$", (1, 2, 3))
+_DAY_FIRST_ANY = (r"(?i)^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4}|\d{2})" + _CLOCK + "$", (3, 2, 1))
+#: Two-digit years up to this one are of 2000, later ones of 1900.
+TWO_DIGIT_CUTOFF = 49
+
+
+def _styled(c: Column, pattern: str, places: tuple[int, int, int]) -> Column:
+    """Text of one style as year-month-day and 24-hour time, cast once; null where the
+    text is of another style or not a time."""
+    def group(k: int) -> Column:
+        return F.regexp_extract(c, pattern, k)
+
+    year, month, day = (group(k) for k in places)
+    year = F.when(F.length(year) == 2, F.concat(
+        F.when(year.cast("int") <= TWO_DIGIT_CUTOFF, "20").otherwise("19"), year)).otherwise(year)
+    # a month's first three letters stand at 3 * month - 2
+    name = F.instr(F.lit("".join(m[:3] for m in MONTHS)), F.lower(F.left(month, F.lit(3))))
+    month = F.when(month.rlike("^[A-Za-z]"), ((name + 2) / 3).cast("int").cast("string")).otherwise(month)
+    hour, minute, second, half = (group(k) for k in range(4, 8))
+    h = F.coalesce(hour.try_cast("int"), F.lit(0))
+    plain = F.when(h < 24, h)
+    h = (F.when(F.lower(half) == "pm", F.when(h.between(1, 12), h % 12 + 12))
+         .when(F.lower(half) == "am", F.when(h.between(1, 12), h % 12)).otherwise(plain))
+    bare = (hour != "") & (minute == "") & (half == "")      # '5' alone is no time of day
+    text = F.concat(year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"), F.lit(" "),
+                    F.lpad(h.cast("string"), 2, "0"), F.lit(":"),
+                    F.when(minute == "", "00").otherwise(minute), F.lit(":"),
+                    F.when(second == "", "00").otherwise(F.regexp_replace(second, ":", ".")))
+    return F.when(c.rlike(pattern) & ~bare, text.try_cast("timestamp_ntz"))
+
+
+def _any_style(c: Column, first: Column, *more: tuple[str, tuple[int, int, int]]) -> Column:
+    """The common layout, and where that gives nothing the other styles."""
+    return F.coalesce(first, *[_styled(c, *style) for style in (*more, *_OTHER_STYLES)])
+
+
+def try_parse_any_day_first(c) -> Column:
+    """``try_parse_day_first`` that also takes two-digit years, AM/PM, month names and
+    compact text, as the source's conversion does (H14)."""
+    c = F.trim(as_col(c))
+    return _any_style(c, _try_parse(c, DAY_FIRST, "$3-$2-$1"), _DAY_FIRST_ANY)
+
+
+def try_parse_any_timestamp(c) -> Column:
+    """``try_parse_timestamp`` that also takes AM/PM, month names and compact text."""
+    c = F.trim(as_col(c))
+    return _any_style(c, _try_parse(c, YEAR_FIRST, "$1-$2-$3"), _YEAR_FIRST_HALF)
+
+
 def try_parse_day_first(c) -> Column:
     """``TRY_CONVERT(DATETIME, s, 105)``: day-first text to timestamp, null when
-    the text is not a valid date (H14)."""
+    the text is not a valid date (H14). Columns that mix styles:
+    ``try_parse_any_day_first``."""
     return _try_parse(F.trim(as_col(c)), DAY_FIRST, "$3-$2-$1")
 
 
