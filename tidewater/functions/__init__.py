@@ -3,14 +3,14 @@
 from tidewater.functions.dates import (day_diff, strict_date, strict_timestamp,
                                        try_parse_date, try_parse_day_first,
                                        try_parse_day_first_date, try_parse_timestamp)
-from tidewater.functions.numeric import int_avg, pct, round_avg
+from tidewater.functions.numeric import exact_avg, int_avg, pct, round_avg
 from tidewater.functions.text import (has_outer_whitespace, has_quote, prefixed_key,
                                       sentence_case, sentence_case_spaced, strip_quotes,
                                       strip_quotes_trim, trim_or_na)
 
 __all__ = [
     "day_diff", "strict_date", "strict_timestamp", "try_parse_date", "try_parse_day_first",
-    "try_parse_day_first_date", "try_parse_timestamp", "int_avg", "pct", "round_avg",
+    "try_parse_day_first_date", "try_parse_timestamp", "exact_avg", "int_avg", "pct", "round_avg",
     "has_outer_whitespace", "has_quote", "prefixed_key", "sentence_case",
     "sentence_case_spaced", "strip_quotes", "strip_quotes_trim", "trim_or_na",
 ]

@@ -16,6 +16,14 @@ def int_avg(c) -> Column:
     return (F.sum(c).cast("decimal(38,0)") / F.nullif(F.count(c), F.lit(0))).cast("long")
 
 
+def exact_avg(c, scale: int = 6) -> Column:
+    """The same average with its fraction (D5's twin column): a decimal division
+    rounded half away from zero, null on empty input."""
+    c = as_col(c)
+    return F.round(F.sum(c).cast("decimal(32,0)") / F.nullif(F.count(c), F.lit(0)).cast("decimal(20,0)"),
+                   scale).cast(f"decimal(38,{scale})")
+
+
 def round_avg(c, scale: int = 2) -> Column:
     """``ROUND(AVG(x), 2)`` on a decimal column, half away from zero."""
     return F.round(F.avg(as_col(c)), scale)

@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions import day_diff, int_avg, pct, round_avg
+from tidewater.functions import day_diff, exact_avg, int_avg, pct, round_avg
 from tidewater.operators import global_ntile, percent_of_total
 from tidewater.plans import gold
 from tidewater.plans.eda import orders_per_customer
@@ -16,10 +16,6 @@ from tidewater.plans.eda import orders_per_customer
 DEFAULT_GROWTH_START = _dt.datetime(2017, 1, 1)
 
 
-def _dbl(c, name):
-    return c.cast("double").alias(name)
-
-
 def _customer_type():
     return F.when(F.col("total_orders") == 1, "One-Time Customer").otherwise("Repeat Customer")
 
@@ -32,7 +28,7 @@ def retention(wh) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("total_customers"))
     out = percent_of_total(by_type, "total_customers", "customer_percentage")
     return out.select("customer_type", "total_customers",
-                      _dbl(F.col("customer_percentage"), "customer_percentage")) \
+                      "customer_percentage") \
         .orderBy(F.desc("total_customers"), "customer_type")
 
 
@@ -41,7 +37,7 @@ def high_value_customers(wh, n: int = 10) -> DataFrame:
     return (orders_per_customer(wh)
             .orderBy(F.desc("total_spent"), F.asc_nulls_first("customer_unique_id")).limit(n)
             .select("customer_unique_id", F.col("order_ids").alias("total_orders"),
-                    _dbl(F.col("total_spent"), "total_spent")))
+                    "total_spent"))
 
 
 def rfm(wh) -> DataFrame:
@@ -55,7 +51,7 @@ def rfm(wh) -> DataFrame:
         F.count("order_id").alias("frequency"),
         F.sum("total_price").alias("monetary"))
     return per.select("customer_unique_id", day_diff(F.col("_last"), latest).alias("recency"),
-                      "frequency", _dbl(F.col("monetary"), "monetary"))
+                      "frequency", "monetary")
 
 
 def monthly_revenue_growth(wh, start: _dt.datetime = DEFAULT_GROWTH_START) -> DataFrame:
@@ -72,9 +68,9 @@ def monthly_revenue_growth(wh, start: _dt.datetime = DEFAULT_GROWTH_START) -> Da
     growth = pct(F.col("monthly_revenue") - F.col("previous_month_revenue"),
                  F.col("previous_month_revenue"))
     return out.select("order_year", "order_month",
-                      _dbl(F.col("monthly_revenue"), "monthly_revenue"),
-                      _dbl(F.col("previous_month_revenue"), "previous_month_revenue"),
-                      _dbl(growth, "mom_growth_percentage")) \
+                      "monthly_revenue",
+                      "previous_month_revenue",
+                      growth.alias("mom_growth_percentage")) \
         .orderBy("order_year", "order_month")
 
 
@@ -90,7 +86,7 @@ def revenue_concentration(wh) -> DataFrame:
     """V5: share of revenue from the top decile of customers."""
     d = customer_deciles(wh)
     top = F.sum(F.when(F.col("revenue_decile") == 1, F.col("total_spent")).otherwise(F.lit(0)))
-    return d.agg(_dbl(pct(top, F.sum("total_spent")), "top_10_percent_revenue_share"))
+    return d.agg(pct(top, F.sum("total_spent")).alias("top_10_percent_revenue_share"))
 
 
 def delivery_status(wh) -> DataFrame:
@@ -102,7 +98,7 @@ def delivery_status(wh) -> DataFrame:
     by = f.groupBy(status.alias("delivery_status")).agg(F.count(F.lit(1)).alias("total_orders"))
     out = percent_of_total(by, "total_orders", "order_percentage")
     return out.select("delivery_status", "total_orders",
-                      _dbl(F.col("order_percentage"), "order_percentage")) \
+                      "order_percentage") \
         .orderBy(F.desc("total_orders"), "delivery_status")
 
 
@@ -117,7 +113,8 @@ def delay_vs_review(wh) -> DataFrame:
             .when(d.between(1, 3), "1-3 Days Late").when(d.between(4, 7), "4-7 Days Late")
             .otherwise("More Than 7 Days Late"))
     return f.groupBy(cat.alias("delivery_category")).agg(
-        F.count(F.lit(1)).alias("total_orders"), int_avg("review_score").alias("avg_review_score")) \
+        F.count(F.lit(1)).alias("total_orders"), int_avg("review_score").alias("avg_review_score"),
+        exact_avg("review_score").alias("avg_review_score_exact")) \
         .orderBy(F.desc("avg_review_score"), "delivery_category")
 
 
@@ -144,8 +141,8 @@ def delivery_by_state(wh) -> DataFrame:
     avg_days = F.round(F.col("days").cast("decimal(38,6)") / F.nullif(F.col("n_days"), F.lit(0)), 2)
     return per_state.select(
         "customer_state", "delivered_orders", "late_orders",
-        _dbl(pct(F.col("late_orders"), F.col("delivered_orders")), "late_delivery_percentage"),
-        _dbl(avg_days, "avg_delivery_days")) \
+        pct(F.col("late_orders"), F.col("delivered_orders")).alias("late_delivery_percentage"),
+        avg_days.alias("avg_delivery_days")) \
         .orderBy(F.desc("late_delivery_percentage"), "customer_state")
 
 
@@ -156,6 +153,6 @@ def installment_analysis(wh) -> DataFrame:
            .otherwise("Single Payment")
     return f.groupBy(cat.alias("payment_category")).agg(
         F.count(F.lit(1)).alias("total_orders"),
-        _dbl(round_avg("total_price"), "average_order_value"),
-        _dbl(round_avg("total_payment_value"), "average_payment_value")) \
+        round_avg("total_price").alias("average_order_value"),
+        round_avg("total_payment_value").alias("average_payment_value")) \
         .orderBy(F.desc("average_order_value"), "payment_category")

@@ -1,7 +1,7 @@
 """EDA reports on gold v1 (K1-K19). Each function returns a DataFrame.
 
-Money columns are reported as double (the decimal sums are exact; the cast
-is the last step). Integer averages truncate, as in the source (ledger L2).
+Money columns are exact decimals. Integer averages truncate, as in the source,
+with an ``*_exact`` twin beside them (ledger L2).
 """
 
 from __future__ import annotations
@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions import day_diff, int_avg, round_avg
+from tidewater.functions import day_diff, exact_avg, int_avg, round_avg
 from tidewater.plans import gold
 
 
 def _money(c, name: str):
-    return F.col(c).cast("double").alias(name) if isinstance(c, str) else c.cast("double").alias(name)
+    return (F.col(c) if isinstance(c, str) else c).alias(name)
 
 
 def _count(name: str):
@@ -99,7 +99,7 @@ def avg_delivery_days(wh) -> DataFrame:
     """Integer average of whole days from purchase to delivery."""
     f = gold.fact_sales(wh, keyed=False).where(F.col("order_delivered_customer_date").isNotNull())
     d = day_diff("order_purchase_timestamp", "order_delivered_customer_date")
-    return f.agg(int_avg(d).alias("avg_delivery_days"))
+    return f.agg(int_avg(d).alias("avg_delivery_days"), exact_avg(d).alias("avg_delivery_days_exact"))
 
 
 def avg_freight_and_order_value(wh) -> DataFrame:
@@ -154,4 +154,6 @@ def payment_methods(wh) -> DataFrame:
 
 def average_review_score(wh) -> DataFrame:
     """Integer average; orders without review count as 0."""
-    return gold.fact_sales(wh, keyed=False).agg(int_avg("review_score").alias("average_review_score"))
+    return gold.fact_sales(wh, keyed=False).agg(
+        int_avg("review_score").alias("average_review_score"),
+        exact_avg("review_score").alias("average_review_score_exact"))
