@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import day_diff, exact_avg, int_avg, pct, round_avg
-from tidewater.operators import global_ntile, percent_of_total
+from tidewater.operators import percent_of_total, quantile_buckets
 from tidewater.plans import gold
 from tidewater.plans.eda import orders_per_customer
 
@@ -78,8 +78,8 @@ def customer_deciles(wh, buckets: int = 10) -> DataFrame:
     """E8 as used by V5: NTILE over customers by spend, highest first, ties by id."""
     per = gold.fact_sales(wh, keyed=False).groupBy("customer_unique_id") \
         .agg(F.sum("total_price").alias("total_spent"))
-    return global_ntile(per, [F.desc("total_spent"), F.asc_nulls_first("customer_unique_id")],
-                        buckets, "revenue_decile")
+    return quantile_buckets(per, [("total_spent", False), ("customer_unique_id", True)],
+                            buckets, "revenue_decile")
 
 
 def revenue_concentration(wh) -> DataFrame:
