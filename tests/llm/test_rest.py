@@ -184,8 +184,36 @@ def test_lcs_and_passages():
 
 
 # ---- rollups
+CHANGES = "op string, seq long, doc_id long, source string, lang string, tokenizer string, tokens long"
+
+
+def _replayed(batches):
+    """The totals by a plain replay: each document's rows, nameless rows apart."""
+    state, nameless = {}, []
+    for batch in batches:
+        seqs = {}
+        for op, seq, doc, *rest in batch:
+            if doc is None:
+                nameless += [rest] * (op != "delete")
+            else:
+                seqs.setdefault(doc, []).append((seq, op, rest))
+        for doc, rows in seqs.items():
+            low = min((s for s, *_ in rows if s is not None), default=0) - 1
+            top = max(low if s is None else s for s, *_ in rows)
+            rows = [(op, rest) for s, op, rest in rows if (low if s is None else s) == top]
+            state[doc] = [] if any(op == "delete" for op, _ in rows) else [rest for _, rest in rows]
+    want = {}
+    for source, lang, tokenizer, tokens in [r for rows in state.values() for r in rows] + nameless:
+        n, t = want.get((source, lang, tokenizer), (0, 0))
+        want[source, lang, tokenizer] = (n + 1, t + (tokens or 0))
+    return want
+
+
+def _totals(ledger):
+    return {tuple(r[:3]): tuple(r[3:]) for r in ledger.totals().collect()}
+
+
 def test_rollup_batches_are_idempotent(spark):
-    schema = "op string, seq long, doc_id long, source string, lang string, tokenizer string, tokens long"
     batches = {
         1: [("insert", 0, i, "s%d" % (i % 2), "en", "v1", 10 + i) for i in range(6)]
            + [("insert", 0, 6, None, None, "v1", 3), ("insert", 0, None, "s0", "en", "v1", 5)],
@@ -193,28 +221,49 @@ def test_rollup_batches_are_idempotent(spark):
             ("delete", 0, 2, None, None, None, 0), ("delete", 0, 77, None, None, None, 0)],
         3: [("delete", 0, 1, None, None, None, 0), ("insert", 0, 2, "s9", "fr", "v2", 7)]}
     ledger = TokenLedger(spark, staging_path(spark, "ledger"))
-    state = {}
     for batch in (1, 2, 2, 3, 1, 2):
-        ledger.commit(batch, spark.createDataFrame(batches[batch], schema))
-    for batch in (1, 2, 3):
-        last = {}
-        for op, seq, doc, *rest in batches[batch]:
-            if doc is not None and (doc not in last or seq >= last[doc][1]):
-                last[doc] = (op, seq, rest)
-        for doc, (op, _, rest) in last.items():
-            state.pop(doc, None)
-            if op != "delete":
-                state[doc] = rest
-    want = {}
-    for source, lang, tokenizer, tokens in state.values():
-        n, t = want.get((source, lang, tokenizer), (0, 0))
-        want[source, lang, tokenizer] = (n + 1, t + tokens)
-    assert {tuple(r[:3]): tuple(r[3:]) for r in ledger.totals().collect()} == want
+        ledger.commit(batch, spark.createDataFrame(batches[batch], CHANGES))
+    assert _totals(ledger) == _replayed(batches.values())
+    with pytest.raises(ValueError):
+        ledger.commit(0, spark.createDataFrame(batches[1], CHANGES))
+
+
+def test_rollup_random_batches_with_folds(spark):
+    r = random.Random(8)
+    batches = [[(r.choice(["insert", "insert", "revise", "delete"]), r.choice([None, 0, 0, 1]),
+                 r.choice([None, 1, 1, 1, *range(2, 12)]), r.choice([None, "a", "b"]), r.choice([None, "en"]),
+                 r.choice(["v1", "v2"]), r.choice([None, 0, 5, 2 ** 40])) for _ in range(30 * (n != 2))]
+               for n in range(5)]
+    ledger = TokenLedger(spark, staging_path(spark, "ledger"), fold_every=2)
+    for n, batch in enumerate(batches):
+        ledger.commit(n, spark.createDataFrame(batch, CHANGES))
+        assert _totals(ledger) == _replayed(batches[:n + 1])
+    assert list(ledger._runs("folds")) == [1, 3]
+    # what a commit reads: the last fold and the batches since
+    read = ledger.state().inputFiles()
+    assert {p.split("/batch=")[1].split("/")[0] for p in read} == {"3", "4"}
+
+
+def test_rollup_unfinished_commit_leaves_the_former_totals(spark, monkeypatch):
+    ledger = TokenLedger(spark, staging_path(spark, "ledger"))
+    first = [("insert", 0, 1, "a", "en", "v1", 4), ("insert", 0, 1, "a", "fr", "v1", 6)]
+    second = [("revise", 0, 1, "a", "en", "v2", 9)]
+    ledger.commit(1, spark.createDataFrame(first, CHANGES))
+    with monkeypatch.context() as m:
+        m.setattr(ledger, "_mark", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            ledger.commit(2, spark.createDataFrame(second, CHANGES))
+    assert _totals(ledger) == _replayed([first]) and ledger.entries().count() == 2
+    ledger.commit(2, spark.createDataFrame(second, CHANGES))
+    assert _totals(ledger) == _replayed([first, second])
 
 
 def test_rollup_empty(spark):
     ledger = TokenLedger(spark, staging_path(spark, "ledger"))
     assert ledger.totals().count() == 0
+    ledger.commit(1, spark.createDataFrame([], CHANGES))
+    ledger.fold()
+    assert ledger.totals().count() == 0 and ledger.state().count() == 0
 
 
 # ---- curriculum

@@ -9,20 +9,31 @@ documents and their sums per group:
 * a delete subtracts what the ledger holds for the document,
 * a revision does both, under the new source, language or tokenizer version.
 
-A batch has an id and owns one folder of each table. Committing it again
-replaces that folder by the same entries: they are computed from the other
-batches committed before it, so a repeated, late or half-written commit
-changes nothing. ``batches`` holds one small folder per finished commit, and
-readers only see those.
-
-Null sources and languages are groups of their own. In a batch the last change
-of a document counts (highest ``seq``; of equal ones the delete, then the
-largest count). Deleting an unknown document, or one with a null id, does
-nothing; inserting a known one revises it. Empty batches are committed too.
+A batch has an id and is committed once, batches in the order of their ids.
+Each attempt writes into folders of its own, below ``run=<unique>``, and ends
+with a small marker folder that names them; readers only see marked runs (of
+two attempts that both finished, which hold the same, the first by name).
+Nothing is overwritten, so an attempt that dies leaves the ledger as it was, and
+committing a finished batch again changes nothing. One writer at a time; a new
+batch below a finished one is refused.
+
+After every ``fold_every`` batches the entries so far are folded into the current
+state, one row for each document and group that it counts in, and the totals
+into one table. A commit reads the last state and the entries since, so its
+cost doesn't grow with the number of batches before it.
+
+Null sources and languages are groups of their own. In a batch the rows with a
+document's highest ``seq`` count: all of them, where a table repeats an id, or
+none if a delete is among them. Deleting an unknown document does nothing;
+inserting a known one revises it. A row with a null id is a document of its own
+that can't be named again: it counts once inserted or revised, and a delete
+without an id does nothing. A null ``seq`` is the lowest, null tokens are 0.
+Empty batches are committed too.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,59 +52,108 @@ _TOTAL = "source string, lang string, tokenizer string, docs long, tokens long"
 class TokenLedger:
     """Signed entries and their sums below ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, fold_every: int = 8):
+        self.spark, self.root, self.fold_every = spark, root, fold_every
 
-    def _committed(self, before: int | None = None) -> list[int]:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/batches")
+    def _runs(self, kind: str) -> dict[int, str]:
+        """The finished run of each batch that has one."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}/batch=*/run=*/_SUCCESS")
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        done = [p.getPath().getName() for p in fs.listStatus(path)]
-        ids = sorted(int(d.split("=")[1]) for d in done if d.startswith("batch="))
-        return [i for i in ids if before is None or i < before]
-
-    def _read(self, table: str, schema: str, batches: list[int]) -> DataFrame:
-        paths = [f"{self.root}/{table}/batch={i}" for i in batches]
+        found = [f.getPath().getParent() for f in fs.globStatus(path) or []]
+        runs: dict[int, str] = {}
+        for run in sorted(found, key=lambda p: p.getName(), reverse=True):
+            runs[int(run.getParent().getName().split("=")[1])] = run.getName()
+        return dict(sorted(runs.items()))
+
+    def _read(self, schema: str, paths: list[str]) -> DataFrame:
         return self.spark.read.schema(schema).parquet(*paths) if paths else \
             self.spark.createDataFrame([], schema)
 
-    def entries(self, before: int | None = None) -> DataFrame:
-        return self._read("entries", _ENTRY, self._committed(before))
+    def _since_fold(self, table: str, folded: str, schema: str) -> DataFrame:
+        """The last fold of ``table`` and what was committed after it."""
+        folds = list(self._runs("folds").items())[-1:]
+        last = folds[0][0] if folds else None
+        paths = [f"{self.root}/{folded}/batch={b}/{run}" for b, run in folds]
+        paths += [f"{self.root}/{table}/batch={b}/{run}" for b, run in self._runs("batches").items()
+                  if last is None or b > last]
+        return self._read(schema, paths)
+
+    def _mark(self, kind: str, batch: int, run: str) -> None:
+        (self.spark.range(1).select(F.lit(batch).alias("batch_id"))
+         .write.parquet(f"{self.root}/{kind}/batch={batch}/{run}"))
+
+    def entries(self) -> DataFrame:
+        """All signed entries of the committed batches."""
+        return self._read(_ENTRY, [f"{self.root}/entries/batch={b}/{run}"
+                                   for b, run in self._runs("batches").items()])
+
+    def state(self) -> DataFrame:
+        """What the ledger counts now for each document with an id, by group."""
+        return (self._since_fold("entries", "state", _ENTRY).where("doc_id IS NOT NULL")
+                .groupBy("doc_id", *GROUP)
+                .agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+                .where("docs != 0 OR tokens != 0"))
 
     def commit(self, batch: int, changes: DataFrame) -> None:
         """``changes``: op ('insert', 'delete' or 'revise'), seq, doc_id, source,
-        lang, tokenizer, tokens. Batches are committed in order of their ids;
-        committing one again gives the same."""
-        changes = changes.where("doc_id IS NOT NULL")
-        # staged: the counts behind it are needed twice and are dear
-        last = stage(changes.groupBy("doc_id").agg(F.max(F.struct(
-            "seq", (F.col("op") == "delete").alias("gone"), "tokens", *GROUP)).alias("c")),
+        lang, tokenizer, tokens."""
+        done = self._runs("batches")
+        if batch in done:
+            return
+        if done and batch < max(done):
+            raise ValueError(f"batch {batch} comes after batch {max(done)} was committed")
+        # staged: the counts behind it are needed three times and are dear.
+        # However many rows share an id (or have none), one row a group leaves a task
+        summed = stage(
+            changes.where("doc_id IS NOT NULL OR op != 'delete'")
+            .groupBy("doc_id", "seq", (F.col("op") == "delete").alias("gone"), *GROUP)
+            .agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")),
             "changes")
-        new = last.where("NOT c.gone").select("doc_id", "c.source", "c.lang", "c.tokenizer",
-                                              F.lit(1).cast("long").alias("docs"), "c.tokens")
-        # what the ledger holds of these documents; its sums per document are
-        # at most one group with a count other than zero
-        old = (self.entries(batch).join(last.select("doc_id"), "doc_id", "left_semi")
-               .groupBy("doc_id", *GROUP)
-               .agg((-F.sum("docs")).alias("docs"), (-F.sum("tokens")).alias("tokens"))
-               .where("docs != 0 OR tokens != 0"))
-        path = f"{self.root}/entries/batch={batch}"
-        new.unionByName(old).select(*[c.split()[0] for c in _ENTRY.split(", ")]) \
-            .write.mode("overwrite").parquet(path)
-        entries = self.spark.read.schema(_ENTRY).parquet(path)
-        (entries.groupBy(*GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-         .write.mode("overwrite").parquet(f"{self.root}/totals/batch={batch}"))
+        nameless = (summed.where("doc_id IS NULL").groupBy("doc_id", *GROUP)
+                    .agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")))
+        last = (summed.where("doc_id IS NOT NULL").groupBy("doc_id")
+                .agg(F.max(F.struct("seq", "gone")).alias("c"))
+                .select(F.col("doc_id").alias("id"), F.col("c.seq").alias("last_seq"),
+                        F.col("c.gone").alias("last_gone")))
+        rows = summed.where("NOT gone")
+        new = rows.join(last.where("NOT last_gone"), (rows["doc_id"] == F.col("id"))
+                        & rows["seq"].eqNullSafe(F.col("last_seq")), "left_semi")
+        held = self.state()
+        old = (held.join(last, held["doc_id"] == last["id"], "left_semi")
+               .withColumns({"docs": -F.col("docs"), "tokens": -F.col("tokens")}))
+        names = [c.split()[0] for c in _ENTRY.split(", ")]
+        run = f"run={uuid.uuid4().hex}"
+        path = f"{self.root}/entries/batch={batch}/{run}"
+        new.select(*names).unionByName(old.select(*names)).unionByName(nameless.select(*names)) \
+            .write.parquet(path)
+        (self._read(_ENTRY, [path]).groupBy(*GROUP)
+         .agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+         .write.parquet(f"{self.root}/totals/batch={batch}/{run}"))
         # the commit itself: a reader sees the batch from here on
-        (self.spark.range(1).select(F.lit(batch).alias("batch_id"))
-         .write.mode("overwrite").parquet(f"{self.root}/batches/batch={batch}"))
+        self._mark("batches", batch, run)
+        folds = self._runs("folds")
+        if sum(not folds or b > max(folds) for b in [*done, batch]) >= self.fold_every:
+            self.fold()
+
+    def fold(self) -> None:
+        """Fold what is committed into the current state and one table of totals."""
+        done, folds = self._runs("batches"), self._runs("folds")
+        if not done or max(done) in folds:
+            return
+        batch, run = max(done), f"run={uuid.uuid4().hex}"
+        self.state().write.parquet(f"{self.root}/state/batch={batch}/{run}")
+        self._sums().write.parquet(f"{self.root}/state_totals/batch={batch}/{run}")
+        self._mark("folds", batch, run)
+
+    def _sums(self) -> DataFrame:
+        return (self._since_fold("totals", "state_totals", _TOTAL).groupBy(*GROUP)
+                .agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+                .where("docs != 0 OR tokens != 0"))
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, n_docs, n_tokens) of all committed batches;
         groups that became empty are left out."""
-        return (self._read("totals", _TOTAL, self._committed()).groupBy(*GROUP)
-                .agg(F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens"))
-                .where("n_docs != 0 OR n_tokens != 0"))
+        return self._sums().withColumnsRenamed({"docs": "n_docs", "tokens": "n_tokens"})
 
 
 def _word_counter(path: str):
