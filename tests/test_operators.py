@@ -135,3 +135,33 @@ def test_hot_keys_one_pass(spark):
     hot = hot_keys(df, ["o", "p"], partitions=16, min_hot_rows=10)
     assert [r.o for r in hot["o"].collect()] == ["A"]
     assert [r.p for r in hot["p"].collect()] == ["P"]
+
+
+def test_hot_keys_equal_exact_counts(spark):
+    """Far more values than counters; keys of several types, nulls, none hot."""
+    from tidewater.operators import hot_keys
+    df = spark.range(0, 120_000, 1, 9).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None)
+         .when(F.col("id") % 8 == 1, "warm").otherwise(F.concat(F.lit("k"), "id")).alias("s"),
+        F.when(F.col("id") % 2 == 0, F.lit(5)).otherwise(F.col("id")).alias("n"),
+        (F.when(F.col("id") % 5 < 3, F.lit(2)).otherwise(F.col("id")) / 4).cast("decimal(20,2)").alias("d"),
+        F.col("id").alias("u"))
+    hot = hot_keys(df, ["s", "n", "d", "u"], partitions=64, min_hot_rows=100)
+    for k in ("s", "n", "d", "u"):
+        want = {r[0] for r in df.groupBy(k).count().where(F.col(k).isNotNull())
+                .where(F.col("count") > 4 * 120_000 / 64).collect()}
+        assert {r[0] for r in hot[k].collect()} == want
+        assert hot[k].columns == [k, "_tw_hot"] and hot[k].schema[k].dataType == df.schema[k].dataType
+    none = hot_keys(df.where("u < 0"), ["s"], partitions=64)
+    assert none["s"].count() == 0
+
+
+def test_summaries_do_not_grow_with_the_values(spark):
+    from tidewater.operators.joins import _summaries
+    sizes = []
+    for n in (100_000, 1_000_000):
+        df = spark.range(0, n, 1, 4).select(F.concat(F.lit("key-"), F.xxhash64("id")).alias("s"))
+        rows = _summaries(df, ["s"], 1024).select(F.length("_tw_s0.sketch").alias("n"), "_tw_c").collect()
+        assert len(rows) == 4 and sum(r["_tw_c"] for r in rows) == n
+        sizes.append(max(r["n"] for r in rows))
+    assert max(sizes) < 1024 * 64

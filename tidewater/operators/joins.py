@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from tidewater.session import staging_path
 
+SKETCH_GROUPS = 64
+MAX_COUNTERS = 1 << 19
+
 
 def left_join_spread_null_keys(left: DataFrame, right: DataFrame, key: str,
                                buckets: int | None = None, salt_from: str | None = None) -> DataFrame:
@@ -38,37 +41,52 @@ def left_join_spread_null_keys(left: DataFrame, right: DataFrame, key: str,
     return out.drop("_tw_salt")
 
 
+def _summaries(df: DataFrame, keys: list[str], counters: int) -> DataFrame:
+    """Row count and a sketch of each key, for groups of tasks."""
+    return df.select(*keys).groupBy(
+        F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_tw_g")).agg(
+        F.count(F.lit(1)).alias("_tw_c"),
+        *[F.call_function("approx_top_k_accumulate", F.col(k), F.lit(counters)).alias(f"_tw_s{j}")
+          for j, k in enumerate(keys)])
+
+
 def hot_keys(df: DataFrame, keys, partitions: int | None = None,
              min_hot_rows: int = 100_000) -> dict[str, DataFrame]:
     """For each column in ``keys``, the values holding more than four average
     partitions' worth of rows of ``df`` (and at least ``min_hot_rows``), as a
     frame (key, _tw_hot=true).
 
-    One pass: a GROUPING SETS aggregate over every key plus the empty set
-    (the total row count), with partial aggregation, so the shuffle carries
-    one row per distinct value and map task. Only candidate rows (at least
-    ``min_hot_rows``) and the total survive; they are written once under the
-    staging folder, so the consumers share that tiny table instead of each
-    re-running the aggregate. Each result has at most ``partitions / 4``
-    rows, which bounds its broadcast."""
+    One pass with a mergeable frequent-items sketch a key (``approx_top_k_*``):
+    a task's summary has a fixed number of counters however many values it
+    meets, ``SKETCH_GROUPS`` reducers merge the tasks' summaries and one task merges
+    theirs, so what is shuffled grows with the number of tasks, not of values.
+    With at least 4 counters a partition a count is off by less than one
+    average partition (3.5 / counters of all rows), so no value above the limit
+    is missed; one within that error below it may be listed too, which costs
+    its join a few salted rows and nothing else. The three or so values a
+    partition's worth allows (``partitions / 3`` at most) bound the broadcast; they
+    are written once, so that consumers share them."""
     spark = df.sparkSession
     keys = list(keys)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    width = len(keys)
-    everything = (1 << width) - 1            # grouping_id of the empty set
-    counts = df.groupingSets([[k] for k in keys] + [[]], *keys).agg(
-        F.count(F.lit(1)).alias("_tw_c"), F.grouping_id().alias("_tw_gid"))
+    counters = min(max(1024, 1 << (4 * n - 1).bit_length()), MAX_COUNTERS)
+    limit = max(4.0 / n, 7.0 / counters)         # of all rows; well above the sketch's error
+    top = min(n // 2 + 2, counters)              # null is counted as a value, and left out below
+    names = [f"_tw_s{j}" for j in range(len(keys))]
+    partial = _summaries(df, keys, counters)
+    # by a constant, so that no rows give no summary instead of a null one
+    merged = partial.groupBy(F.lit(0).alias("_tw_all")).agg(F.sum("_tw_c").alias("_tw_c"), *[F.call_function(
+        "approx_top_k_estimate", F.call_function("approx_top_k_combine", F.col(s), F.lit(counters)),
+        F.lit(top)).alias(s) for s in names])
     path = staging_path(spark, "hot-keys")
-    counts.where((F.col("_tw_c") >= F.lit(min_hot_rows)) | (F.col("_tw_gid") == everything)) \
-        .write.mode("overwrite").parquet(path)
+    merged.write.parquet(path)
     small = spark.read.parquet(path)
-    total = small.where(F.col("_tw_gid") == everything).select(F.max("_tw_c")).scalar()
     out = {}
-    for j, k in enumerate(keys):
-        gid = sum(1 << (width - 1 - i) for i in range(width) if i != j)
-        out[k] = small.where((F.col("_tw_gid") == gid) & F.col(k).isNotNull()
-                             & (F.col("_tw_c") * F.lit(n) > total * F.lit(4))) \
-                      .select(k, F.lit(True).alias("_tw_hot"))
+    for k, s in zip(keys, names):
+        found = small.select("_tw_c", F.explode(s).alias("e")).where(
+            F.col("e.item").isNotNull() & (F.col("e.count") >= F.lit(min_hot_rows))
+            & (F.col("e.count") > F.col("_tw_c") * F.lit(limit)))
+        out[k] = found.select(F.col("e.item").alias(k), F.lit(True).alias("_tw_hot"))
     return out
 
 
