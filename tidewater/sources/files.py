@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tidewater.functions.code_pages import byte_text, decode_bytes, is_undecodable
 from tidewater.session import package_on_workers
 from tidewater.sources.quoted import CORRUPT, read_quoted
 
@@ -78,6 +79,19 @@ def read_raw_lines(spark: SparkSession, path: str, header: str | None = None) ->
     return df if header is None else df.where(F.col("value") != F.lit(header))
 
 
+def read_code_page_lines(spark: SparkSession, path: str, charset: str,
+                         header: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Lines of a file in a single-byte code page (A3, L16): decoded lines, and as
+    rejects the lines with a byte that the code page doesn't define, each byte
+    shown as the character of its number. The line ends are the same bytes
+    in every code page, so the file is split as any text file."""
+    raw = F.col("value").cast("binary")
+    lines = spark.read.text(path)
+    good = lines.where(~is_undecodable(raw, charset)).select(decode_bytes(raw, charset).alias("value"))
+    bad = lines.where(is_undecodable(raw, charset)).select(byte_text(raw).alias("value"))
+    return (good if header is None else good.where(F.col("value") != F.lit(header))), bad
+
+
 def scan_fields(lines: DataFrame, pattern: str, fields) -> DataFrame:
     """The fields of lines (value) by position, and in ``_corrupt_record`` a line
     that the pattern doesn't fit."""
