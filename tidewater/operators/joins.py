@@ -63,9 +63,9 @@ def hot_keys(df: DataFrame, keys, partitions: int | None = None,
     With at least 4 counters a partition a count is off by less than one
     average partition (3.5 / counters of all rows), so no value above the limit
     is missed; one within that error below it may be listed too, which costs
-    its join a few salted rows and nothing else. The three or so values a
-    partition's worth allows (``partitions / 3`` at most) bound the broadcast; they
-    are written once, so that consumers share them."""
+    its join a few salted rows and nothing else. A value that is listed holds more
+    than three average partitions' worth, so there are at most ``partitions / 3``,
+    which bounds the broadcast; they are written once, and consumers share them."""
     spark = df.sparkSession
     keys = list(keys)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
