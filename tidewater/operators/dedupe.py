@@ -10,6 +10,10 @@ the choice deterministic when the order columns tie.
 
 Null ordering matches a database that sorts nulls lowest: descending picks the
 largest non-null value, ascending picks a null first.
+
+Columns under a collation compare by it. Values that are equal there may be spelled
+in several ways; of rows that tie, the one whose spelling sorts first (last when
+descending) stays, with its own spelling in every column, so a rerun gives the same.
 """
 
 from __future__ import annotations
@@ -19,12 +23,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.functions.collation import collated_columns, spelling
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                descending: bool = False) -> DataFrame:
     """One row per ``keys``: the row that sorts first by ``order`` (all ascending,
     or all descending when ``descending``). Columns and their order are kept."""
     keys, order = list(keys), list(order)
+    if collated_columns(df):
+        return _keep_first_collated(df, keys, order, descending)
     rest = [c for c in df.columns if c not in keys and c not in order]
     if len(order) == 1 and not rest:
         # Only the order column is carried: a plain min/max, which for a
@@ -38,6 +46,19 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                         for c in df.columns])
 
 
+def _keep_first_collated(df: DataFrame, keys: list[str], order: list[str],
+                         descending: bool) -> DataFrame:
+    collated = collated_columns(df)
+    fields = order + [c for c in df.columns if c not in keys and c not in order] \
+        + [k for k in keys if k not in order]
+    row = F.struct(*[(spelling(c) if c in collated else F.col(c)).alias(c) for c in fields])
+    packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], row.alias("row"))
+    pick = F.max(packed) if descending else F.min(packed)
+    out = df.groupBy(*keys).agg(pick.alias("_tw_first"))
+    return out.select(*[F.col(f"_tw_first.row.{f.name}").cast(f.dataType).alias(f.name)
+                        for f in df.schema.fields])
+
+
 def keep_first_window(df: DataFrame, keys: Sequence[str], order) -> DataFrame:
     """Reference form of ``keep_first`` with ``row_number() = 1`` (mixed
     directions allowed). Kept for tests and for orders ``keep_first`` cannot
@@ -49,4 +70,6 @@ def keep_first_window(df: DataFrame, keys: Sequence[str], order) -> DataFrame:
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     """Whole-row dedupe (E4): a hash aggregate on every column, with partial
     aggregation before the shuffle."""
+    if collated_columns(df):
+        return keep_first(df, df.columns, [])
     return df.dropDuplicates()

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.functions.collation import collated_columns, spelling
 from tidewater.session import staging_path
 
 SKETCH_GROUPS = 64
@@ -50,6 +51,37 @@ def _summaries(df: DataFrame, keys: list[str], counters: int) -> DataFrame:
           for j, k in enumerate(keys)])
 
 
+def _frequent(df: DataFrame, keys: list[str], n: int, min_hot_rows: int) -> dict[str, DataFrame]:
+    """For each key (item): its values, null among them, above four average
+    partitions' worth of rows. See ``hot_keys``."""
+    spark = df.sparkSession
+    counters = min(max(1024, 1 << (4 * n - 1).bit_length()), MAX_COUNTERS)
+    limit = max(4.0 / n, 7.0 / counters)         # of all rows; well above the sketch's error
+    top = min(n // 2 + 2, counters)
+    names = [f"_tw_s{j}" for j in range(len(keys))]
+    collated = collated_columns(df, keys)        # by a text that equal values share, nearly always
+    partial = _summaries(df.select(*[F.lower(F.rtrim(spelling(k))).alias(k) if k in collated else F.col(k)
+                                     for k in keys]), keys, counters)
+    # by a constant, so that no rows give no summary instead of a null one
+    merged = partial.groupBy(F.lit(0).alias("_tw_all")).agg(F.sum("_tw_c").alias("_tw_c"), *[F.call_function(
+        "approx_top_k_estimate", F.call_function("approx_top_k_combine", F.col(s), F.lit(counters)),
+        F.lit(top)).alias(s) for s in names])
+    path = staging_path(spark, "hot-keys")
+    merged.write.parquet(path)
+    small = spark.read.parquet(path)
+    return {k: small.select("_tw_c", F.explode(s).alias("e")).where(
+                (F.col("e.count") >= F.lit(min_hot_rows))
+                & (F.col("e.count") > F.col("_tw_c") * F.lit(limit))).select("e.item")
+            for k, s in zip(keys, names)}
+
+
+def spread_evenly(df: DataFrame, key: str, partitions: int, min_hot_rows: int = 100_000) -> bool:
+    """Whether no value of ``key``, nor null, holds more than four average partitions'
+    worth of rows, so that rows dealt by its hash make no oversized task. One pass
+    over the column; one row is looked at."""
+    return _frequent(df, [key], partitions, min_hot_rows)[key].isEmpty()
+
+
 def hot_keys(df: DataFrame, keys, partitions: int | None = None,
              min_hot_rows: int = 100_000) -> dict[str, DataFrame]:
     """For each column in ``keys``, the values holding more than four average
@@ -66,27 +98,14 @@ def hot_keys(df: DataFrame, keys, partitions: int | None = None,
     its join a few salted rows and nothing else. A value that is listed holds more
     than three average partitions' worth, so there are at most ``partitions / 3``,
     which bounds the broadcast; they are written once, and consumers share them."""
-    spark = df.sparkSession
     keys = list(keys)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counters = min(max(1024, 1 << (4 * n - 1).bit_length()), MAX_COUNTERS)
-    limit = max(4.0 / n, 7.0 / counters)         # of all rows; well above the sketch's error
-    top = min(n // 2 + 2, counters)              # null is counted as a value, and left out below
-    names = [f"_tw_s{j}" for j in range(len(keys))]
-    partial = _summaries(df, keys, counters)
-    # by a constant, so that no rows give no summary instead of a null one
-    merged = partial.groupBy(F.lit(0).alias("_tw_all")).agg(F.sum("_tw_c").alias("_tw_c"), *[F.call_function(
-        "approx_top_k_estimate", F.call_function("approx_top_k_combine", F.col(s), F.lit(counters)),
-        F.lit(top)).alias(s) for s in names])
-    path = staging_path(spark, "hot-keys")
-    merged.write.parquet(path)
-    small = spark.read.parquet(path)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = {}
-    for k, s in zip(keys, names):
-        found = small.select("_tw_c", F.explode(s).alias("e")).where(
-            F.col("e.item").isNotNull() & (F.col("e.count") >= F.lit(min_hot_rows))
-            & (F.col("e.count") > F.col("_tw_c") * F.lit(limit)))
-        out[k] = found.select(F.col("e.item").alias(k), F.lit(True).alias("_tw_hot"))
+    for k, found in _frequent(df, keys, n, min_hot_rows).items():
+        found = found.where(F.col("item").isNotNull()).select(F.col("item").cast(df.schema[k].dataType).alias(k))
+        if collated_columns(df, [k]):       # equal under the collation: one value
+            found = found.distinct()
+        out[k] = found.select(k, F.lit(True).alias("_tw_hot"))
     return out
 
 

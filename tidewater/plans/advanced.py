@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import day_diff, exact_avg, int_avg, pct, round_avg
-from tidewater.operators import percent_of_total, quantile_buckets
+from tidewater.operators import group_by, percent_of_total, quantile_buckets
 from tidewater.plans import gold
 from tidewater.plans.eda import orders_per_customer
 
@@ -46,7 +46,8 @@ def rfm(wh) -> DataFrame:
     scalar subquery: one extra partial/final max, no join, nothing on the driver."""
     f = gold.fact_sales(wh, keyed=False)
     latest = f.select(F.max("order_purchase_timestamp")).scalar()
-    per = f.groupBy("customer_unique_id").agg(
+    per = group_by(
+        f, ["customer_unique_id"],
         F.max("order_purchase_timestamp").alias("_last"),
         F.count("order_id").alias("frequency"),
         F.sum("total_price").alias("monetary"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import day_diff, exact_avg, int_avg, round_avg
+from tidewater.operators import group_by
 from tidewater.plans import gold
 
 
@@ -43,7 +44,7 @@ def total_sellers(wh) -> DataFrame:
 
 def orders_per_customer(wh) -> DataFrame:
     """Orders and spend per customer_unique_id (the null group included, L23)."""
-    return gold.fact_sales(wh, keyed=False).groupBy("customer_unique_id").agg(
+    return group_by(gold.fact_sales(wh, keyed=False), ["customer_unique_id"],
         _count("total_orders"), F.count("order_id").alias("order_ids"),
         F.sum("total_price").alias("total_spent"))
 
@@ -55,8 +56,8 @@ def repeat_customers(wh) -> DataFrame:
 
 def customers_by_state(wh) -> DataFrame:
     """K6"""
-    return gold.dim_customer(wh, keyed=False).groupBy("customer_state") \
-        .agg(_count("total_customers")).orderBy(F.desc("total_customers"), "customer_state")
+    return group_by(gold.dim_customer(wh, keyed=False), ["customer_state"], _count("total_customers")) \
+        .orderBy(F.desc("total_customers"), "customer_state")
 
 
 def top_customers(wh, n: int = 10) -> DataFrame:
@@ -91,8 +92,8 @@ def average_order_value(wh) -> DataFrame:
 
 def orders_by_status(wh) -> DataFrame:
     """K11"""
-    return gold.fact_sales(wh, keyed=False).groupBy("order_status") \
-        .agg(_count("total_orders")).orderBy(F.desc("total_orders"), "order_status")
+    return group_by(gold.fact_sales(wh, keyed=False), ["order_status"], _count("total_orders")) \
+        .orderBy(F.desc("total_orders"), "order_status")
 
 
 def avg_delivery_days(wh) -> DataFrame:
@@ -112,7 +113,7 @@ def avg_freight_and_order_value(wh) -> DataFrame:
 def items_per_product(wh) -> DataFrame:
     """K14. As in the other reports, a second sort key makes the order total,
     so a range sort can split rows that tie on the first."""
-    return wh.silver("sales_ord_items").groupBy("product_id").agg(_count("items_sold")) \
+    return group_by(wh.silver("sales_ord_items"), ["product_id"], _count("items_sold")) \
         .orderBy(F.desc("items_sold"), "product_id")
 
 
@@ -140,7 +141,7 @@ def revenue_per_product(wh) -> DataFrame:
 
 def seller_performance(wh) -> DataFrame:
     """K17"""
-    return wh.silver("sales_ord_items").groupBy("seller_id").agg(
+    return group_by(wh.silver("sales_ord_items"), ["seller_id"],
         _count("items_sold"), F.sum("price").alias("total_revenue")) \
         .select("seller_id", "items_sold", _money("total_revenue", "total_revenue")) \
         .orderBy(F.desc("items_sold"), "seller_id")
@@ -148,8 +149,8 @@ def seller_performance(wh) -> DataFrame:
 
 def payment_methods(wh) -> DataFrame:
     """K18"""
-    return wh.silver("finance_ord_payments").groupBy("payment_type") \
-        .agg(_count("payment_count")).orderBy(F.desc("payment_count"), "payment_type")
+    return group_by(wh.silver("finance_ord_payments"), ["payment_type"], _count("payment_count")) \
+        .orderBy(F.desc("payment_count"), "payment_type")
 
 
 def average_review_score(wh) -> DataFrame:

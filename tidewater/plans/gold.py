@@ -190,9 +190,15 @@ def fact_sales_items(wh, keyed: bool = True) -> DataFrame:
         .drop("customer_id", "customer_unique_id")
     # An order, product or seller holding a large share of all items is
     # spread over many reducers; the hot values of all three keys are found
-    # in one pass over the items.
-    hot = hot_keys(oi, ["order_id", "product_id", "seller_id"])
-    j = left_join_salted(oi, orders, "order_id", hot["order_id"], salt_from="order_item_id")
+    # in one pass over the items. Bucketed items have no hot order, and only the
+    # order side is shuffled to meet them.
+    dealt = getattr(wh, "buckets", lambda name: None)("sales_ord_items")
+    if dealt is not None and dealt.column == "order_id":
+        hot = hot_keys(oi, ["product_id", "seller_id"])
+        j = oi.join(orders, "order_id", "left")
+    else:
+        hot = hot_keys(oi, ["order_id", "product_id", "seller_id"])
+        j = left_join_salted(oi, orders, "order_id", hot["order_id"], salt_from="order_item_id")
     j = left_join_salted(j, dp, "product_id", hot["product_id"], salt_from="order_id")
     j = left_join_salted(j, ds, "seller_id", hot["seller_id"], salt_from="order_id")
     f = j.select(

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import (has_outer_whitespace, has_quote, strip_quotes_trim,
                                  try_parse_date, try_parse_day_first, try_parse_day_first_date,
                                  try_parse_timestamp)
-from tidewater.operators import join_back
+from tidewater.operators import drop_exact_duplicates, group_by, join_back
 
 ROW_KINDS = ("null", "whitespace", "quote", "quote_or_whitespace", "bad_date", "negative",
              "lookup", "cleaned")
@@ -174,13 +174,13 @@ def violations(check: Check, df: DataFrame) -> DataFrame:
     """Offending rows of one check (for group kinds: the offending groups)."""
     cols = list(check.columns)
     if check.kind in ("duplicate", "duplicate_or_null", "profile"):
-        g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("occurrence_count"))
+        g = group_by(df, cols, F.count(F.lit(1)).alias("occurrence_count"))
         cond = F.col("occurrence_count") > 1
         if check.kind == "duplicate_or_null":
             cond = cond | _any([F.col(c).isNull() for c in cols])
         return g.where(cond)
     if check.kind == "domain":
-        return df.select(*cols).distinct().orderBy(*cols)
+        return drop_exact_duplicates(df.select(*cols)).orderBy(*cols)
     if check.kind == "cleaned":
         c = F.col(cols[0])
         if check.arg == "strip_quotes":

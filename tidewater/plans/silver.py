@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions import (sentence_case, sentence_case_spaced, strict_date,
+from tidewater.functions import (collate, sentence_case, sentence_case_spaced, strict_date,
                                  strict_timestamp, strip_quotes, strip_quotes_trim,
                                  trim_or_na, try_parse_day_first, try_parse_day_first_date)
 from tidewater.operators import drop_exact_duplicates, keep_first
@@ -24,13 +24,23 @@ ITEM_DEDUPE_KEY = ("order_id", "product_id", "seller_id", "shipping_limit_date",
                    "freight_value")
 
 
+def transform(name: str, bronze: DataFrame, collation: str | None = None) -> DataFrame:
+    """The silver rows of one bronze table. Under a ``collation`` (ledger L1) the cleaned
+    text compares by it from then on: in the transform's own dedupe and in all that
+    reads the result."""
+    fn = TRANSFORMS[name]
+    if fn in (reviews, geolocation, order_items):
+        return fn(bronze, collation=collation)
+    return collate(fn(bronze), collation)
+
+
 def customers(b: DataFrame) -> DataFrame:
     """Sentence-case city."""
     return b.select("customer_id", "customer_unique_id", "customer_zip_code",
                     sentence_case("customer_city").alias("customer_city"), "customer_state")
 
 
-def reviews(b: DataFrame) -> DataFrame:
+def reviews(b: DataFrame, collation: str | None = None) -> DataFrame:
     """I4: trimmed text with 'n/a' for missing, typed dates, and the latest
     review per order (creation, then answer date, then review_id, descending)."""
     typed = b.select(
@@ -39,7 +49,7 @@ def reviews(b: DataFrame) -> DataFrame:
         trim_or_na("review_message").alias("review_message"),
         strict_date("review_creation_date").alias("review_creation_date"),
         strict_timestamp("review_answer_date").alias("review_answer_date"))
-    return keep_first(typed, ["order_id"],
+    return keep_first(collate(typed, collation), ["order_id"],
                       ["review_creation_date", "review_answer_date", "review_id"], descending=True)
 
 
@@ -73,16 +83,16 @@ def translations(b: DataFrame) -> DataFrame:
                      .alias("product_category_name_english"))
 
 
-def geolocation(b: DataFrame) -> DataFrame:
+def geolocation(b: DataFrame, collation: str | None = None) -> DataFrame:
     """Quotes removed from the zip (no trim), sentence-case city, exact
     duplicates dropped (after cleaning, ledger L9)."""
-    return drop_exact_duplicates(b.select(
+    return drop_exact_duplicates(collate(b.select(
         strip_quotes("geolocation_zip_code_prefix").alias("geolocation_zip_code_prefix"),
         "geolocation_lat", "geolocation_lng",
-        sentence_case("geolocation_city").alias("geolocation_city"), "geolocation_state"))
+        sentence_case("geolocation_city").alias("geolocation_city"), "geolocation_state"), collation))
 
 
-def order_items(b: DataFrame, dedupe_key=ITEM_DEDUPE_KEY) -> DataFrame:
+def order_items(b: DataFrame, dedupe_key=ITEM_DEDUPE_KEY, collation: str | None = None) -> DataFrame:
     """Unquoted ids, typed shipping limit, and one row per dedupe key,
     the lowest order_item_id kept. The default key omits order_item_id, as in
     the source (ledger L8); pass another key to change that."""
@@ -91,7 +101,7 @@ def order_items(b: DataFrame, dedupe_key=ITEM_DEDUPE_KEY) -> DataFrame:
                      strip_quotes_trim("seller_id").alias("seller_id"),
                      strict_timestamp("shipping_limit_date").alias("shipping_limit_date"),
                      "price", "freight_value")
-    return keep_first(typed, list(dedupe_key), ["order_item_id"])
+    return keep_first(collate(typed, collation), list(dedupe_key), ["order_item_id"])
 
 
 def orders(b: DataFrame) -> DataFrame:

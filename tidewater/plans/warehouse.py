@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewater.functions import collated_columns
+from tidewater.operators import spread_evenly
 from tidewater.plans import silver as silver_tf
 from tidewater.sources import testdata as td
 from tidewater.sources.audit import LoadAudit
@@ -19,7 +21,7 @@ from tidewater.sources.files import (CORRUPT, GEOLOCATION_FIELDS, GEOLOCATION_LI
                                      SELLER_FIELDS, SELLER_LINE, parse_geolocation_lines,
                                      parse_seller_lines, read_raw_lines, scan_delimited,
                                      scan_fields, scan_quoted, write_delimited, write_lines)
-from tidewater.sources.snapshots import SnapshotTable, read_table
+from tidewater.sources.snapshots import Buckets, SnapshotTable, columns_ddl, read_table
 from tidewater.schemas import BRONZE
 
 _BRONZE_BUILDERS = {
@@ -39,10 +41,11 @@ GEOLOCATION_HEADER = ("geolocation_zip_code_prefix,geolocation_lat,geolocation_l
 
 
 class Warehouse:
-    """Bronze and silver frames for one test-data folder."""
+    """Bronze and silver frames for one test-data folder. ``collation`` (ledger L1) is
+    that of the silver text, by default binary."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, collation: str | None = None):
+        self.spark, self.sf_dir, self.collation = spark, sf_dir, collation
         self._bronze: dict[str, DataFrame] = {}
         self._silver: dict[str, DataFrame] = {}
 
@@ -66,7 +69,7 @@ class Warehouse:
 
     def silver(self, name: str) -> DataFrame:
         if name not in self._silver:
-            self._silver[name] = silver_tf.TRANSFORMS[name](self.bronze(name))
+            self._silver[name] = silver_tf.transform(name, self.bronze(name), self.collation)
         return self._silver[name]
 
 
@@ -79,15 +82,25 @@ class MaterializedLayer:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self._held: dict[str, DataFrame] = {}
+        self._held: dict[str, tuple[DataFrame, Buckets | None]] = {}
 
-    def silver(self, name: str) -> DataFrame:
+    def _hold(self, name: str) -> tuple[DataFrame, Buckets | None]:
         if name not in self._held:
-            self._held[name] = read_table(self.spark, f"{self.root}/{name}")
+            table = SnapshotTable(self.spark, f"{self.root}/{name}")
+            v = table.version()
+            self._held[name] = ((read_table(self.spark, table.path), None) if v is None
+                                else (table.read(v.number), v.buckets))
         return self._held[name]
 
+    def silver(self, name: str) -> DataFrame:
+        return self._hold(name)[0]
+
     bronze = silver
 
+    def buckets(self, name: str) -> Buckets | None:
+        """How the rows of a table are dealt; no bucketed column has a hot value."""
+        return self._hold(name)[1]
+
 
 # --- layer jobs ---------------------------------------------------------------
 
@@ -148,16 +161,41 @@ def load_bronze(spark: SparkSession, src_root: str, bronze_root: str,
     return audit
 
 
+#: Tables that are joined and aggregated by order: the column they are dealt by.
+BUCKETED = {"sales_ord_details": "order_id", "sales_ord_items": "order_id",
+            "finance_ord_payments": "order_id", "crm_cust_reviews": "order_id"}
+
+
+def deal(df: DataFrame, name: str, number: int) -> Buckets | None:
+    """The buckets of one silver table: ``number`` by its column in ``BUCKETED``, none
+    for other tables, for a collated column, and where one value (or null) holds so
+    much that its bucket would be an oversized task; such a table stays plain, and
+    its readers salt its keys instead. Reviews are one row an order, so their orders
+    needn't be counted."""
+    column = BUCKETED.get(name)
+    if not column or not number or collated_columns(df, [column]):
+        return None
+    if name != "crm_cust_reviews" and not spread_evenly(df, column, number):
+        return None
+    return Buckets(column, number)
+
+
 def load_silver(spark: SparkSession, bronze_root: str, silver_root: str,
-                audit: LoadAudit | None = None, resume: bool = False) -> LoadAudit:
-    """A11 ``load_silver``: every bronze table -> the next version of its silver table."""
+                audit: LoadAudit | None = None, resume: bool = False,
+                buckets: int | None = None, collation: str | None = None) -> LoadAudit:
+    """A11 ``load_silver``: every bronze table -> the next version of its silver table.
+    The tables with an order id are dealt by it into ``buckets`` buckets (by default
+    as many as the session's shuffle partitions, 0 for none), so the facts join and
+    aggregate them without a shuffle. ``collation`` is that of the silver text."""
+    number = int(spark.conf.get("spark.sql.shuffle.partitions")) if buckets is None else buckets
     audit = audit or LoadAudit()
     bronze = MaterializedLayer(spark, bronze_root)
     done = audit.loaded() if resume else set()
-    for name, transform in silver_tf.TRANSFORMS.items():
+    for name in silver_tf.TRANSFORMS:
         if ("silver", name) not in done:
             audit.load("silver", name, SnapshotTable(spark, f"{silver_root}/{name}"),
-                       lambda name=name, transform=transform: transform(bronze.bronze(name)))
+                       lambda name=name: silver_tf.transform(name, bronze.bronze(name), collation),
+                       buckets=lambda df, name=name: deal(df, name, number))
     return audit
 
 
@@ -165,18 +203,21 @@ GOLD_MODELS = ("dim_customer", "dim_seller", "dim_products", "fact_sales", "fact
 
 
 def build_gold(spark: SparkSession, silver_root: str, gold_root: str,
-               audit: LoadAudit | None = None, views: bool = True) -> LoadAudit:
+               audit: LoadAudit | None = None, views: bool = True, resume: bool = False) -> LoadAudit:
     """Materialise the gold models from silver tables (A7) and publish each as a
     temp view ``gold_<model>``. Surrogate keys (ledger L12) come from the key maps
     under ``<gold_root>/_keys``: a member keeps its key in every later build. The
-    v2 dimensions are the v1 ones (J5-J7)."""
+    v2 dimensions are the v1 ones (J5-J7). ``resume`` leaves alone the models that
+    ``audit`` has as built."""
     from tidewater.plans import gold  # local: gold imports operators that stage under the session
 
     audit = audit or LoadAudit()
     layer = GoldBuild(spark, silver_root, gold_root)
+    done = audit.loaded() if resume else set()
     for model in GOLD_MODELS:   # dimensions first: the item fact reuses dim_customer
-        out = audit.load("gold", model, SnapshotTable(spark, f"{gold_root}/{model}"),
-                         lambda model=model: getattr(gold, model)(layer))
+        table = SnapshotTable(spark, f"{gold_root}/{model}")
+        out = table.read() if ("gold", model) in done else audit.load(
+            "gold", model, table, lambda model=model: getattr(gold, model)(layer))
         layer.built.add(model)
         if views:
             out.createOrReplaceTempView(f"gold_{model}")
@@ -219,10 +260,9 @@ def register_catalog(spark: SparkSession, bronze_root: str, silver_root: str,
         for name in names:
             spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
             table = SnapshotTable(spark, f"{root.rstrip('/')}/{name}")
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                                for f in table.version().schema.fields)
-            spark.sql(f"CREATE TABLE {db}.{name} ({columns}) USING parquet "
-                      f"LOCATION '{table.rows_folder()}'")
+            v = table.version()
+            spark.sql(f"CREATE TABLE {db}.{name} ({columns_ddl(v.schema)}) USING parquet "
+                      f"{v.buckets.clause if v.buckets else ''} LOCATION '{table.rows_folder()}'")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS gold_v2 LOCATION '{gold_root.rstrip('/')}/_v2'")
     for view, model in GOLD_V2_VIEWS.items():
         spark.sql(f"CREATE OR REPLACE VIEW gold_v2.{view} AS SELECT * FROM gold.{model}")

@@ -14,7 +14,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.sources.snapshots import SnapshotTable
+from tidewater.sources.snapshots import Buckets, SnapshotTable
 
 AUDIT_SCHEMA = ("layer string, table_name string, row_count long, rejected long, "
                 "started timestamp_ntz, ended timestamp_ntz, seconds double, "
@@ -43,13 +43,15 @@ class LoadAudit:
         return self._recorded(layer, table, counted, max_rejects)
 
     def load(self, layer: str, table: str, target: SnapshotTable, source: Callable[[], DataFrame],
-             columns=None, corrupt: str | None = None, max_rejects: int | None = None) -> DataFrame:
+             columns=None, corrupt: str | None = None, max_rejects: int | None = None,
+             buckets: Callable[[DataFrame], Buckets | None] = lambda df: None) -> DataFrame:
         """Load ``source`` into ``target`` in one pass: rows and rejects (by the
         column ``corrupt``) are written and counted by one job. Past ``max_rejects``,
         or on any error, the target keeps its version; the failure is recorded,
-        then raised."""
+        then raised. ``buckets`` says how the rows are dealt (by default they aren't)."""
         def landed():
-            written = target.write(source(), columns, corrupt)
+            df = source()
+            written = target.write(df, columns, corrupt, buckets(df))
             bad = written.rejected or 0
             try:
                 self._within(layer, table, bad, max_rejects)

@@ -10,6 +10,11 @@ reading the version it holds. ``vacuum`` removes old versions and what failed
 loads left. One writer at a time: a second one that publishes the same number
 fails.
 
+A version may be dealt into buckets (``Buckets``): one sorted file a bucket, so that
+joins and aggregates on the bucketed column need no shuffle. Spark reads buckets
+by catalog tables only; the session's entry for a version is made when it is first
+read and names the version's folder, nothing is copied.
+
 Rows and rejected records come from one scan of the source: a single write deals
 them out by the partition column ``rejected``, and their numbers are observed
 while they are written.
@@ -19,7 +24,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,15 +38,31 @@ class ConcurrentLoad(RuntimeError):
     pass
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Rows dealt by the hash of a column into a number of buckets."""
+    column: str
+    number: int
+
+    @property
+    def clause(self) -> str:
+        return f"CLUSTERED BY (`{self.column}`) SORTED BY (`{self.column}`) INTO {self.number} BUCKETS"
+
+
 @dataclass(frozen=True)
 class Version:
-    """One version of a table: its number (0: not published yet), folder, schema
-    and the counts observed while it was written."""
+    """One version of a table: its number (0: not published yet), folder, schema,
+    the counts observed while it was written, and its buckets if it has any."""
     number: int
     folder: str
     schema: StructType
     rows: int
     rejected: int | None = None
+    buckets: Buckets | None = None
+
+
+def columns_ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 class SnapshotTable:
@@ -79,7 +100,8 @@ class SnapshotTable:
         finally:
             stream.close()
         return Version(number, f"{self.path}/data/{info['folder']}",
-                       StructType.fromJson(info["schema"]), info["rows"], info["rejected"])
+                       StructType.fromJson(info["schema"]), info["rows"], info["rejected"],
+                       Buckets(**info["buckets"]) if info.get("buckets") else None)
 
     # --- reading --------------------------------------------------------------------
     def rows_folder(self, number: int | None = None) -> str:
@@ -93,6 +115,17 @@ class SnapshotTable:
             raise FileNotFoundError(f"{self.path} has no published version")
         return v
 
+    @staticmethod
+    def _entry(folder: str) -> str:
+        return f"default.tidewater_{folder.rsplit('/', 1)[-1]}"
+
+    def _enter(self, folder: str, schema: StructType, buckets: Buckets) -> str:
+        """The session's catalog entry of a bucketed folder."""
+        name = self._entry(folder)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl(schema)}) USING parquet "
+                       f"{buckets.clause} LOCATION '{folder}'")
+        return name
+
     def _both(self, v: Version) -> DataFrame:
         full = StructType([*v.schema.fields, StructField(RAW, StringType()),
                            StructField(REJECTED, BooleanType())])
@@ -101,6 +134,8 @@ class SnapshotTable:
     def read(self, number: int | None = None) -> DataFrame:
         """The rows of a version, by default of the one that is current now."""
         v = self._known(number)
+        if v.buckets is not None:
+            return self.spark.table(self._enter(v.folder, v.schema, v.buckets))
         if v.rejected is None:
             return self.spark.read.schema(v.schema).parquet(v.folder)
         return self._both(v).where(~F.col(REJECTED)).select(*v.schema.fieldNames())
@@ -116,14 +151,28 @@ class SnapshotTable:
         return self._both(v).where(F.col(REJECTED)).select(F.col(RAW).alias("value"), *names)
 
     # --- loading --------------------------------------------------------------------
-    def write(self, df: DataFrame, columns=None, corrupt: str | None = None) -> Version:
+    def write(self, df: DataFrame, columns=None, corrupt: str | None = None,
+              buckets: Buckets | None = None) -> Version:
         """Write a version's files without publishing them. ``corrupt`` names the
         column that holds the raw record of rows to reject. Counts are observed by
-        the same job."""
+        the same job. ``buckets`` (of a table without rejects) deals the rows by the
+        hash that Spark's shuffles use, so a bucket is one file; a value with a large
+        share of the rows would be one task's work, so ask ``spread_evenly`` before."""
         folder, seen = uuid.uuid4().hex, Observation()
         names = list(columns or [c for c in df.columns if c != corrupt])
         own = df.select(*names)
         at = f"{self.path}/data/{folder}"
+        if buckets is not None:
+            if corrupt is not None:
+                raise ValueError("a table with rejects can't be bucketed")
+            name = self._enter(at, own.schema, buckets)
+            try:
+                (own.repartition(buckets.number, buckets.column)
+                 .observe(seen, F.count(F.lit(1)).alias("rows")).write.insertInto(name))
+            except Exception:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+                raise
+            return Version(0, at, own.schema, seen.get["rows"], None, buckets)
         if corrupt is None:
             own.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(at)
             return Version(0, at, own.schema, seen.get["rows"])
@@ -139,7 +188,8 @@ class SnapshotTable:
         number = max(self.numbers(), default=0) + 1
         text = json.dumps({"folder": written.folder.rsplit("/", 1)[-1],
                            "schema": written.schema.jsonValue(),
-                           "rows": written.rows, "rejected": written.rejected})
+                           "rows": written.rows, "rejected": written.rejected,
+                           "buckets": written.buckets and asdict(written.buckets)})
         name = f"{number:08d}.json"
         fs, temporary = self._fs(f"{self.path}/_versions/_{uuid.uuid4().hex}")
         stream = fs.create(temporary)
@@ -149,15 +199,19 @@ class SnapshotTable:
         if fs.exists(final) or not fs.rename(temporary, final):
             fs.delete(temporary, False)
             raise ConcurrentLoad(f"{self.path}: version {number} was published by another load")
-        return Version(number, written.folder, written.schema, written.rows, written.rejected)
+        return replace(written, number=number)
 
     def discard(self, written: Version) -> None:
         """Remove the files of a version that isn't to be published."""
-        self._delete(written.folder)
+        self._remove(written.folder)
+
+    def _remove(self, folder: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._entry(folder)}")
+        self._delete(folder)
 
-    def replace(self, df: DataFrame, columns=None) -> DataFrame:
+    def replace(self, df: DataFrame, columns=None, buckets: Buckets | None = None) -> DataFrame:
         """Full refresh: write, publish, and read the new version."""
-        return self.read(self.publish(self.write(df, columns)).number)
+        return self.read(self.publish(self.write(df, columns, buckets=buckets)).number)
 
     def vacuum(self, keep: int = 2) -> None:
         """Keep the last versions; remove the others and folders of failed loads. Not
@@ -168,7 +222,7 @@ class SnapshotTable:
             self._delete(f"{self.path}/_versions/{n:08d}.json")
         for folder in self._list("data"):
             if folder not in kept:
-                self._delete(f"{self.path}/data/{folder}")
+                self._remove(f"{self.path}/data/{folder}")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
