@@ -7,7 +7,8 @@ import pandas as pd
 import pytest
 
 from tidewater.llm import registry
-from tidewater.llm.curriculum import SCHEDULES, curriculum_order, invert_demand, mix_plan
+from tidewater.llm.curriculum import (BUCKET_DIGITS, SCHEDULES, curriculum_order, invert_demand,
+                                      mix_plan, order_key)
 from tidewater.llm.decontaminate import (contaminated_documents, drop_contaminated, lcs_length,
                                          passages)
 from tidewater.llm.feistel_pii import feistel, pseudonymise
@@ -303,6 +304,15 @@ def test_mix(make):
     assert mix_plan(make([])).count() == 0
 
 
+def test_rows_of_one_id_or_none_are_dealt_by_their_texts(spark):
+    from pyspark.sql import functions as F
+    rows = spark.range(3000).select(F.when(F.col("id") % 2 == 0, 7).alias("doc_id"), F.xxhash64("id").alias("h"))
+    per = rows.groupBy("doc_id", F.substring(order_key(F.col("doc_id"), F.col("h")), 1, BUCKET_DIGITS).alias("b")).count()
+    for doc_id in (7, None):
+        own = per.where(F.col("doc_id").eqNullSafe(F.lit(doc_id)))
+        assert own.count() > 1000 and own.agg(F.max("count")).first()[0] < 10
+
+
 def test_inverse_of_the_integral(spark):
     from pyspark.sql import functions as F
     for schedule in SCHEDULES:

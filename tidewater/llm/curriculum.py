@@ -15,8 +15,8 @@ source and hash bucket, then within the bucket), so a source with a third of
 all rows is never in one task.
 
 Null texts and empty texts have size 0 and are never taken. A null source is a
-source of its own, the last in order. Repeated rows each count; a null id
-sorts as ''.
+source of its own, the last in order. Repeated rows each count; rows that share
+an id, or have none, are dealt to buckets by their texts like all others.
 """
 
 from __future__ import annotations
@@ -59,6 +59,12 @@ def invert_demand(schedule: Sequence[tuple[float, float]], share: Column) -> Col
     return out
 
 
+def order_key(doc_id: Column, text_hash: Column) -> Column:
+    """The hash that orders a source's documents, of id and text together: an id
+    that many rows share is in no one bucket."""
+    return F.md5(F.concat_ws("-", text_hash.cast("string"), doc_id.cast("string")).cast("binary"))
+
+
 def source_targets(sized: DataFrame, weights: Sequence[float], share: float,
                    cap: float) -> DataFrame:
     """(source, source_size, rank, weight, target). Sources that would get more
@@ -95,8 +101,7 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
         F.col("doc_id").cast("long").alias("doc_id"), "source",
         F.xxhash64(text).alias("text_hash"),
         F.regexp_count(text, F.lit(WORD_PATTERN)).cast("long").alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("key")),
-        "sizes")
+        order_key(F.col("doc_id"), F.xxhash64(text)).alias("key")), "sizes")
     sized = sized.withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
     targets = source_targets(sized, weights, share, cap)
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
