@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 
 from tidewater.llm.lattice_lm import MARK, Lattice, first_weights, lattice_scores, load_pieces
 from tidewater.llm.secret_grammar import find_secrets, learn_automata
@@ -124,6 +125,21 @@ def test_toxicity_held_out_accuracy(spark, make):
     assert {None, 9999} <= kept and docs.columns == drop_toxic(docs, frame).columns
 
 
+def test_toxicity_scores_equal_brute_force(spark, make):
+    rows, labels = toxic_corpus(300)
+    docs = make(rows + [(900, "Grosslyc, (NASTYA!) vileword vileword"), (901, None), (902, "")])
+    model = train_toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    weight = dict(zip(model.features, model.weights, strict=True))
+    texts = dict(rows) | {900: "Grosslyc, (NASTYA!) vileword vileword", 901: "", 902: ""}
+    assert len(weight) > 3
+    for g in score_toxicity(docs, model).collect():
+        text = "".join(c for c in texts[g["doc_id"]].lower() if c not in ".,;:!?\"'()[]{}|%$*&#<>")
+        seen = {f for w in text.split() for f in [w, *["^" + w[:k] for k in (4, 5, 6) if len(w) > k]]}
+        z = model.intercept + sum(weight.get(f.encode(), 0.0) for f in seen)
+        assert g["score"] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+        assert g["predicted"] == int(g["score"] >= 0.3)
+
+
 def test_samples_keep_their_bound_on_null_and_repeated_ids(make):
     from tidewater.llm.common import picked_rows
     rows = [(None, f"null {i}") for i in range(3000)] + [(7, f"seven {i}") for i in range(1500)]

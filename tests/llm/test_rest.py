@@ -1,3 +1,5 @@
+import datetime
+import hashlib
 import random
 import re
 
@@ -107,6 +109,36 @@ def test_phone_pseudonyms_are_distinct(spark, make):
     assert len(got) == len(rows) and not got & {t for _, t in rows}
 
 
+def brute_feistel(x, y, size_x, size_y, key, tweak):
+    for r in range(1, 9):
+        fixed = y if r % 2 else x
+        mac = int(hashlib.sha256(f"{key}:{tweak}:{r}:{fixed}".encode()).hexdigest()[:15], 16)
+        if r % 2:
+            x = (x + mac) % size_x
+        else:
+            y = (y + mac) % size_y
+    return x, y
+
+
+def test_pseudonyms_equal_brute_force(make):
+    r = random.Random(6)
+    first, rows, want = datetime.date(1900, 1, 1), [], []
+    for i in range(60):
+        a, b, c, d = (r.randrange(256) for _ in range(4))
+        x, y = brute_feistel(a * 256 + b, c * 256 + d, 65536, 65536, "k", "ip")
+        area = r.choice([v for v in range(1, 900) if v != 666])
+        group, serial = r.randint(1, 99), r.randint(1, 9999)
+        s, t = brute_feistel(area - 1 - (area > 666), (group - 1) * 9999 + serial - 1, 898, 99 * 9999, "k", "ssn")
+        day = r.randrange(73049)
+        on = first + datetime.timedelta(day)
+        new = first + datetime.timedelta(int(np.dot(brute_feistel(*divmod(day, 319), 229, 319, "k", "date"), (319, 1))))
+        rows.append((i, f"ip {a}.{b}.{c}.{d}, ssn {area:03}-{group:02}-{serial:04} on {on} or {on:%d/%m/%Y}"))
+        want.append(f"ip {x // 256}.{x % 256}.{y // 256}.{y % 256}, "
+                    f"ssn {s + 1 + (s >= 665):03}-{t // 9999 + 1:02}-{t % 9999 + 1:04} on {new} or {new:%d/%m/%Y}")
+    got = {g["doc_id"]: g["text"] for g in pseudonymise(make(rows), "k").collect()}
+    assert [got[i] for i in range(60)] == want
+
+
 def test_feistel_is_a_permutation(spark):
     from pyspark.sql import functions as F
     out = spark.range(17 * 13).select(feistel(F.col("id") % 17, F.floor(F.col("id") / 17), 17, 13,
