@@ -202,6 +202,41 @@ def test_decontamination_finds_short_items_among_foreign_words(spark, make):
     assert {g["doc_id"]: g["item_ids"] for g in got if g["contaminated"]} == leaked
 
 
+def test_decontamination_fits_all_documents(spark, make):
+    from tidewater.llm import decontaminate as d
+    r = random.Random(11)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i % 900, " ".join(r.choice(words + ["zz", "yy"]) for _ in range(r.randint(0, 70))))
+            for i in range(2300)] + [(None, None), (7, "")]
+    bench = spark.createDataFrame([(0, " ".join(words[:25]) + "."), (1, " ".join(words[20:]) + ".")],
+                                  "item_id long, text string")
+    searcher, = d._searchers(make(rows), bench, d.COSINE)
+    items = searcher.items
+    size = len(items.vocabulary)
+    held, gram = np.zeros(size), np.zeros((size, size))
+    for _, text in rows:
+        ids = np.array([items.place.get(w, -1) for w in (text or "").encode().split()], np.int32)
+        held[np.unique(ids[ids >= 0])] += 1
+        for passage in passages(ids):
+            known = passage[passage >= 0]
+            gram[np.ix_(known, known)] += 1
+    n, df, pairs = d.word_counts(make(rows).select(d.text_bytes()), items.place)
+    assert n == len(rows) and (df == held).all()
+    got = np.zeros((size, size))
+    for row in pairs.collect():
+        for b, k in row["cells"]:
+            got[row["a"], b] = k
+    assert (got == gram).all()
+    # the space's vectors are those of the whole Gram matrix: they make it diagonal
+    idf = np.log((n + 1) / (held + 1)) + 0.1
+    own = items.grid()[0]
+    whole = d.ITEM_WEIGHT * d._gram_times(own, idf, np.eye(size)) \
+        + d.FIT_WEIGHT / n * idf[:, None] * gram * idf
+    space = searcher.table[:-1].astype(float) / idf[:, None]
+    turned = space.T @ whole @ space
+    assert np.abs(turned - np.diag(np.diag(turned))).max() < 1e-4 * turned.max()
+
+
 def test_lcs_and_passages():
     r = random.Random(0)
     for _ in range(50):

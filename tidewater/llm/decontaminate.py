@@ -1,12 +1,14 @@
 """Benchmark decontamination by latent semantic retrieval (operator 7).
 
 Documents are cut into overlapping passages of ``PASSAGE`` words. Passages are
-TF-IDF vectors over the benchmark's words; document frequencies cover all
-documents, and words the benchmark doesn't have are left out. A randomised SVD (subspace iteration; each step is a distributed pass,
-only a vocabulary x rank matrix reaches the driver) of the benchmark's
-passages (weighted, so that they span the space) and a documented, bounded
-sample of document passages (``FIT_DOCUMENTS``, by a hash of the id) gives the
-latent space. Every passage of every document that has a word of the
+TF-IDF vectors over the benchmark's words; words the benchmark doesn't have are
+left out. One pass over all documents counts in how many of them each word
+occurs, and in how many passages each two words occur together: the exact Gram
+matrix of all passages, as rows that Spark adds up. A randomised SVD (subspace
+iteration; each step is a distributed pass over these rows, only a vocabulary x
+rank matrix reaches the driver) of the benchmark's passages (weighted, so that
+they span the space) and the passages of all documents (together as much as
+those of ``FIT_WEIGHT`` average ones) gives the latent space. Every passage of every document that has a word of the
 benchmark is then compared with all benchmark passages by their cosine in that
 space; the words around it don't hide a passage, however rare they are.
 
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -32,19 +35,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import picked_rows, slices, stage, text_bytes
+from tidewater.llm.common import slices, stage, text_bytes
 
 PASSAGE, STRIDE = 32, 16
 RANK, OVERSAMPLING, POWER_STEPS = 256, 16, 1
-FIT_DOCUMENTS = 1_000
+#: Average documents that all documents together weigh as much as in the fit.
+FIT_WEIGHT = 1_000
 #: The benchmark's own passages count this many times in the fit.
 ITEM_WEIGHT = 20.0
 #: Least cosine in the latent space.
 COSINE = 0.5
 LCS, LOOSE, ANSWER = 0.75, 0.6, 0.9
 BLOCK_ITEMS = 20_000
-#: Rows of the vocabulary that are summed together in the SVD's passes.
-_ROWS = 1024
+#: Passages whose pairs of words are taken together, and pairs that a task counts at a time.
+_GRID_ROWS, _PAIRS = 16_384, 1 << 24
+#: Cells of the Gram matrix that are multiplied together in the SVD's passes.
+_CELLS = 1 << 21
 _MARKS = b".,;:!?\"'()[]|*$%&#"
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _NONE, _PAD = -1, -2
@@ -67,17 +73,33 @@ def lcs_length(a: list[bytes], b: list[bytes]) -> int:
     return len(a) - row.bit_count()
 
 
-def passages(ids: np.ndarray) -> np.ndarray:
-    """The overlapping passages of a document's word ids, padded with _PAD;
-    repeats of a word within a passage are blanked out, so it counts once."""
-    n = max(1, -(-(len(ids) - (PASSAGE - STRIDE)) // STRIDE)) if len(ids) else 0
-    padded = np.full((n + 1) * STRIDE if n else 0, _PAD, np.int32)
-    padded[:len(ids)] = ids
-    grid = np.lib.stride_tricks.sliding_window_view(padded, PASSAGE)[::STRIDE] if n else \
-        np.empty((0, PASSAGE), np.int32)
-    grid = np.sort(grid, axis=1)
+def word_ids(words: list[bytes], place: dict[bytes, int]) -> np.ndarray:
+    """The places of the words, _NONE for unknown ones."""
+    return np.fromiter(map(place.get, words, repeat(_NONE)), np.int32, len(words))
+
+
+def all_passages(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The overlapping passages of documents (word ids), padded with _PAD, and how
+    many each has; repeats of a word within a passage are blanked out, so it
+    counts once."""
+    length = np.array([len(ids) for ids in docs], np.int64)
+    n = np.where(length > 0, np.maximum(1, -(-(length - (PASSAGE - STRIDE)) // STRIDE)), 0)
+    room = np.where(n > 0, (n + 1) * STRIDE, 0)
+    start = np.cumsum(room) - room
+    if not n.sum():
+        return np.empty((0, PASSAGE), np.int32), n
+    padded = np.full(room.sum(), _PAD, np.int32)
+    for ids, at in zip(docs, start.tolist(), strict=True):
+        padded[at:at + len(ids)] = ids
+    first = np.repeat(start - STRIDE * (np.cumsum(n) - n), n) + STRIDE * np.arange(n.sum())
+    grid = np.sort(np.lib.stride_tricks.sliding_window_view(padded, PASSAGE)[first], axis=1)
     grid[:, 1:][(grid[:, 1:] == grid[:, :-1]) & (grid[:, 1:] >= 0)] = _PAD
-    return grid
+    return grid, n
+
+
+def passages(ids: np.ndarray) -> np.ndarray:
+    """The passages of one document."""
+    return all_passages([ids])[0]
 
 
 class Items:
@@ -96,42 +118,95 @@ class Items:
 
     def grid(self) -> tuple[np.ndarray, np.ndarray]:
         """All passages of the items, and the item that each is from."""
-        grids = [passages(np.array([self.place[w] for w in ws], np.int32)) for ws in self.words]
-        return np.concatenate(grids), np.repeat(np.arange(len(grids)), [len(g) for g in grids])
+        grid, n = all_passages([word_ids(ws, self.place) for ws in self.words])
+        return grid, np.repeat(np.arange(len(n)), n)
+
 
+def _pairs(grid: np.ndarray, width: int, kind: type) -> Iterator[np.ndarray]:
+    """Each two words (a <= b, a word with itself too) of each passage as a * width + b."""
+    known = grid >= 0
+    n = known.sum(axis=1)
+    for k in np.unique(n[n > 0]).tolist():
+        some = n == k
+        words = grid[some][known[some]].reshape(-1, k).astype(kind)
+        i, j = np.triu_indices(k)
+        yield (words[:, i] * width + words[:, j]).ravel()
+
+
+def _counted(place: dict[bytes, int]):
+    """(a, b, n): the passages that hold both words; with b the vocabulary's size, the
+    documents that hold a, or with a its size too, all documents."""
+    size = len(place)
+    width = size + 1
+    kind = np.int32 if width * width < 1 << 31 else np.int64
 
-def _frequencies(place: dict[bytes, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, docs = np.zeros(len(place) + 1, np.int64), 0
-        known = place.keys()
+        keys: list[np.ndarray] = []
+        grids: list[np.ndarray] = []
+
+        def pair() -> None:
+            if grids:
+                grid = np.concatenate(grids)
+                grids.clear()
+                for at in range(0, len(grid), _GRID_ROWS):
+                    keys.extend(_pairs(grid[at:at + _GRID_ROWS], width, kind))
+
+        def add_up() -> Iterator[pa.RecordBatch]:
+            found, n = np.unique(np.concatenate(keys), return_counts=True)
+            keys.clear()
+            for at in range(0, len(found), 1 << 16):
+                a, b = np.divmod(found[at:at + (1 << 16)], width)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a, pa.int32()), pa.array(b, pa.int32()),
+                     pa.array(n[at:at + (1 << 16)], pa.int64())], names=["a", "b", "n"])
+
         for whole in batches:
             for batch in slices(whole):
-                for text in batch.column(0).to_pylist():
-                    docs += 1
-                    total[[place[w] for w in known & set(words_of(text))]] += 1
-        total[-1] = docs
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])],
-                                         names=["place", "n"])
+                docs = [word_ids(words_of(t), place) for t in batch.column(0).to_pylist()]
+                ids = np.concatenate(docs).astype(np.int64)
+                of = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+                held = np.unique(of[ids >= 0] * width + ids[ids >= 0]) % width
+                keys += [(held * width + size).astype(kind), np.full(len(docs), size * width + size, kind)]
+                grids.append(all_passages(docs)[0])
+                if sum(map(len, grids)) >= _GRID_ROWS:
+                    pair()
+                    if sum(map(len, keys)) >= _PAIRS:
+                        yield from add_up()
+        pair()
+        if keys:
+            yield from add_up()
     return run
 
 
-def _sample_grids(place: dict[bytes, int]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                grid = passages(np.array([place.get(w, _NONE) for w in words_of(text)], np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array([grid.tobytes()], pa.binary())],
-                                                 names=["grid"])
-    return run
+def word_counts(text: DataFrame, place: dict[bytes, int]) -> tuple[int, np.ndarray, DataFrame]:
+    """Over all rows of ``text`` (bytes): their number, how many hold each word, and
+    (a, cells) for each word: the words (b) in a passage with it, and in how many (n)."""
+    size = len(place)
+    counts = stage(text.mapInArrow(_counted(place), "a int, b int, n long")
+                   .groupBy("a", "b").agg(F.sum("n").alias("n")), "word-counts")
+    docs, held = 0, np.zeros(size)
+    for r in counts.where(F.col("b") == size).collect():     # at most one row a word
+        if r["a"] == size:
+            docs = r["n"]
+        else:
+            held[r["a"]] = r["n"]
+    sides = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
+        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    rows = (counts.where(F.col("b") < size).select(F.explode(sides).alias("k"), "n")
+            .groupBy("k.a").agg(F.collect_list(F.struct("k.b", "n")).alias("cells")))
+    return docs, held, stage(rows, "word-pairs")
 
 
 def _project(grid: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Sum of the table's rows over each passage; its last row is zero and
-    stands for padding and unknown words."""
-    out = np.empty((len(grid), table.shape[1]), table.dtype)
-    for at in range(0, len(grid), 256):
-        out[at:at + 256] = table[np.where(grid[at:at + 256] < 0, -1, grid[at:at + 256])].sum(axis=1)
+    """Sum of the table's rows over the known words of each passage."""
+    out = np.zeros((len(grid), table.shape[1]), table.dtype)
+    known = grid >= 0
+    n = known.sum(axis=1)
+    for k in np.unique(n[n > 0]).tolist():
+        of = np.flatnonzero(n == k)
+        words = grid[of][known[of]].reshape(-1, k)
+        for at in range(0, len(of), 256):
+            out[of[at:at + 256]] = table[words[at:at + 256]].sum(axis=1)
     return out
 
 
@@ -147,42 +222,34 @@ def _gram_times(grid: np.ndarray, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
     return total * idf[:, None]
 
 
-def _gram_pass(idf: np.ndarray, q: np.ndarray):
+def _times(q: np.ndarray):
+    """The product of each row of the Gram matrix and q."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros_like(q)
-        for batch in batches:
-            grids = [np.frombuffer(g, np.int32).reshape(-1, PASSAGE)
-                     for g in batch.column(0).to_pylist()]
-            if grids:
-                total += _gram_times(np.concatenate(grids), idf, q)
-        for at in range(0, len(total), _ROWS):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([at], pa.int64()), pa.array([total[at:at + _ROWS].tobytes()], pa.binary())],
-                names=["at", "part"])
+        for whole in batches:
+            for batch in slices(whole, max(1, _CELLS // len(q))):
+                cells = batch.column(1)
+                b, n = cells.flatten().flatten()
+                dense = np.zeros((batch.num_rows, len(q)))
+                dense[np.repeat(np.arange(len(dense)), cells.value_lengths().to_numpy()),
+                      b.to_numpy()] = n.to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([r.tobytes() for r in dense @ q], pa.binary())],
+                    names=["a", "row"])
     return run
 
 
-def _add_parts(parts: pd.DataFrame) -> pd.DataFrame:
-    total = reduce(np.add, (np.frombuffer(p) for p in parts["part"]))
-    return pd.DataFrame({"at": parts["at"].iloc[:1], "part": [total.tobytes()]})
-
-
-def latent_space(sample: DataFrame, items: Items, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """Right singular vectors (vocabulary x rank) by a randomised SVD of the
-    items' passages and those of ``sample`` (text)."""
+def latent_space(rows: DataFrame, share: float, items: Items, idf: np.ndarray,
+                 rank: int = RANK) -> np.ndarray:
+    """Right singular vectors (vocabulary x rank) by a randomised SVD of the items'
+    passages and those counted in ``rows`` (see ``word_counts``), which weigh ``share``."""
     size = len(items.vocabulary)
     width = min(rank + OVERSAMPLING, size)
-    grids = stage(sample.mapInArrow(_sample_grids(items.place), "grid binary").repartition(16),
-                  "passages")
     own, _ = items.grid()
 
     def gram(q: np.ndarray) -> np.ndarray:
         total = ITEM_WEIGHT * _gram_times(own, idf, q)
-        parts = (grids.mapInArrow(_gram_pass(idf, q), "at long, part binary")
-                 .groupBy("at").applyInPandas(_add_parts, "at long, part binary").collect())
-        for r in parts:
-            part = np.frombuffer(r["part"]).reshape(-1, q.shape[1])
-            total[r["at"]:r["at"] + len(part)] += part
+        for r in rows.mapInArrow(_times(q * idf[:, None]), "a int, row binary").collect():
+            total[r["a"]] += share * idf[r["a"]] * np.frombuffer(r["row"])
         return total
 
     q = np.random.default_rng(7).standard_normal((size, width))
@@ -231,11 +298,9 @@ class Searcher:
 
     def judge(self, texts: list[bytes]) -> list[dict[int, float]]:
         split = [words_of(t) for t in texts]
-        get = self.items.place.get
-        grids = [passages(np.array([get(w, _NONE) for w in ws], np.int32)) for ws in split]
-        first = np.cumsum([0] + [len(g) for g in grids])
+        grid, n = all_passages([word_ids(ws, self.items.place) for ws in split])
+        first = np.concatenate(([0], np.cumsum(n)))
         found: list[dict[int, float]] = [{} for _ in texts]
-        grid = np.concatenate(grids) if grids else np.empty((0, PASSAGE), np.int32)
         for passage, item in self.candidates(grid):
             doc = int(np.searchsorted(first, passage, "right")) - 1
             share = self.confirm(split[doc], passage - int(first[doc]), item)
@@ -258,9 +323,8 @@ def _judge(searcher: Searcher):
 
 
 def _searchers(docs: DataFrame, benchmark: DataFrame, cosine: float) -> Iterator[Searcher]:
-    """One searcher per block of items; ``docs`` gives frequencies and sample."""
+    """One searcher per block of items; all of ``docs`` give frequencies and space."""
     text = docs.select(text_bytes().alias("text"))
-    picked = None
     rows = (benchmark.where("item_id IS NOT NULL")
             .select(F.col("item_id").cast("long").alias("item_id"), text_bytes().alias("text"))
             .orderBy("item_id", "text").toLocalIterator())
@@ -276,16 +340,9 @@ def _searchers(docs: DataFrame, benchmark: DataFrame, cosine: float) -> Iterator
         items, block = Items(block), []
         if not items.ids:
             continue
-        counts = np.zeros(len(items.vocabulary) + 1)
-        for r in (text.mapInArrow(_frequencies(items.place), "place long, n long")
-                  .groupBy("place").agg(F.sum("n").alias("n")).collect()):
-            counts[r["place"]] = r["n"]
-        n = counts[-1]
-        idf = np.log((n + 1) / (counts[:-1] + 1)) + 0.1
-        if picked is None:
-            picked = picked_rows(docs.select("doc_id", text_bytes().alias("text")),
-                                 FIT_DOCUMENTS, int(n)).select("text")
-        space = latent_space(picked, items, idf)
+        n, held, pairs = word_counts(text, items.place)
+        idf = np.log((n + 1) / (held + 1)) + 0.1
+        space = latent_space(pairs, min(1.0, FIT_WEIGHT / max(n, 1)), items, idf)
         yield Searcher(items, idf, space, cosine)
 
 
