@@ -72,3 +72,18 @@ def test_quarantine_of_a_hot_group(spark, stub):
     check = _c("p", "bronze", "finance_ord_payments", "duplicate", "order_id")
     got = quarantine(stub(spark, {"finance_ord_payments": pay}), (check,))
     assert got.count() == 400 and got.where("row_key LIKE '|%'").count() == 200
+
+
+def test_quarantine_deals_rows_once_where_no_group_is_hot(spark, stub):
+    from tidewater.plans.quality import _c, quarantine
+    pay = spark.createDataFrame([(f"o{i // 2}", i % 2, "boleto", 1, None) for i in range(60)]
+                                + [("o0", 0, "boleto", 1, None), (None, 1, "x", 1, None), ("p", 1, "x", 1, None)],
+                                "order_id string, payment_sequential int, payment_type string, "
+                                "payment_installments int, payment_value decimal(10,2)")
+    checks = (_c("p", "bronze", "finance_ord_payments", "duplicate", "order_id"),
+              _c("q", "bronze", "finance_ord_payments", "duplicate_or_null", "order_id payment_type"))
+    got = quarantine(stub(spark, {"finance_ord_payments": pay}), checks)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    rows = {(r.check_id, r.row_key): r.copies for r in got.collect()}
+    assert len(rows) == 121 and rows["p", "o0|0"] == 2 and rows["q", "|1"] == 1
+    assert not any(k in rows for k in (("p", "|1"), ("p", "p|1"), ("q", "p|1")))
