@@ -122,3 +122,34 @@ def test_order_status_and_dates_cleaned(spark):
     assert (r.order_status, r.order_purchase_timestamp, r.order_approved_at,
             r.order_estimated_delivery_date) == ("Delivered", D(2017, 10, 2, 10, 56), None,
                                                  dt.date(2017, 10, 23))
+
+
+def test_items_meet_their_orders_last(spark, stub):
+    from tidewater.plans import gold
+    dates = ("order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
+             "order_delivered_customer_date")
+    wh = stub(spark, {
+        "sales_ord_items": spark.createDataFrame(
+            [("1", 1, "a", "s", None, None, None), ("1", 2, "b", "none", None, None, None),
+             ("2", 1, "none", "s", None, None, None), (None, 1, "a", "s", None, None, None)],
+            "order_id string, order_item_id int, product_id string, seller_id string, "
+            "shipping_limit_date timestamp, price decimal(10,2), freight_value decimal(10,2)"),
+        "sales_ord_details": spark.createDataFrame(
+            [("1", "c2", "Shipped", *[None] * 5), ("2", None, "Invoiced", *[None] * 5),
+             ("2", "gone", "Delivered", *[None] * 5)],
+            "order_id string, customer_id string, order_status string, "
+            + ", ".join(f"{d} timestamp" for d in dates) + ", order_estimated_delivery_date date"),
+        "crm_cust_info": spark.createDataFrame([("c1", "u1"), ("c2", "u2"), ("c3", "u2"), ("c4", None)],
+                                               "customer_id string, customer_unique_id string"),
+        "prd_item_details": spark.createDataFrame([("a",), ("b",)], "product_id string"),
+        "prd_seller_details": spark.createDataFrame([("s",)], "seller_id string")})
+    f = gold.fact_sales_items(wh, keyed=False)
+    first = next(x for x in f._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x)
+    assert "order_id" in first       # the outermost join: the others carry no columns of the orders
+    got = {(r.order_id, r.order_item_id, r.order_status): (r.customer_key, r.product_key, r.seller_key)
+           for r in f.collect()}
+    assert got == {("1", 1, "Shipped"): ("CUST3", "PRDa", "Ss"), ("1", 2, "Shipped"): ("CUST3", "PRDb", None),
+                   ("2", 1, "Invoiced"): (None, None, "Ss"), ("2", 1, "Delivered"): (None, None, "Ss"),
+                   (None, 1, None): (None, "PRDa", "Ss")}
+    keyed = gold.fact_sales_items(wh).collect()
+    assert sorted(r.sales_key for r in keyed) == [1, 2, 3, 4, 5] and keyed[0].__fields__[0] == "sales_key"
