@@ -1,11 +1,14 @@
 """Text that a collation makes equal: dedupe, grouping, hot keys, joins."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidewater.functions import collate, collated_columns, is_collated, spelling
+from tidewater.functions import can_fold, collate, collated_columns, folded, is_collated, is_plain, spelling
 from tidewater.operators import (drop_exact_duplicates, extend_key_map, global_row_number, group_by,
                                  hot_keys, keep_first, left_join_salted)
+from tidewater.plans import gold
 from tidewater.plans.warehouse import deal
+from tidewater.schemas import SILVER
 from tidewater.sources import SnapshotTable
 import tempfile
 
@@ -14,6 +17,10 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_collate_touches_text_only(spark):
     df = spark.createDataFrame([("a", 1, None)], "k string, n int, s string")
     out = collate(df)
@@ -69,3 +76,48 @@ def test_numbers_and_key_maps_under_a_collation(spark):
 
 def test_collated_keys_are_not_bucketed(spark):
     assert deal(collate(spark.createDataFrame([("a",)], "order_id string")), "sales_ord_items", 4) is None
+
+
+def test_folded_text_is_equal_where_the_collation_says_so(spark):
+    chars = [chr(c) for c in range(0x20, 0x7F)]
+    texts = chars + [a + b for a in "aZ -'_" for b in chars] + ["", "  ", "Ab c ", "aB C", "ab  c", "a-b", "ab"]
+    df = spark.createDataFrame([(t,) for t in dict.fromkeys(texts)], "t string")
+    assert is_plain(df, ["t"])
+    both = collate(df).crossJoin(collate(df).withColumnRenamed("t", "u"))
+    assert both.where((F.col("t") == F.col("u")) != (folded("t") == folded("u"))).isEmpty()
+    for odd in ("ａbc", "a\x01", "ﬁn", "café", "a\tb"):
+        assert not is_plain(df.union(spark.createDataFrame([(odd,)], "t string")), ["t"])
+    assert not can_fold(df, ["t"])                                  # binary text
+    assert not can_fold(collate(df, "UNICODE_CI"), ["t"])           # keeps trailing blanks
+    assert can_fold(collate(spark.createDataFrame([(None,)], "t string")), ["t"])
+
+
+def test_plain_keys_are_grouped_without_the_collator(spark):
+    df = collate(spark.createDataFrame([("abc", 1), ("ABC ", 2), (None, 3), (None, 4)], "k string, n int"))
+    assert plan(keep_first(df, ["k"], ["n"])).count("lower(rtrim(") and rows(keep_first(df, ["k"], ["n"])) == \
+        [("abc", 1), (None, 3)]
+    assert rows(group_by(df, ["k"], F.sum("n").alias("n"), fold=can_fold(df, ["k"]))) == [("ABC ", 3), (None, 7)]
+    odd = df.union(collate(spark.createDataFrame([("ａbc", 0)], "k string, n int")))
+    assert not can_fold(odd, ["k"]) and "lower(rtrim(" not in plan(keep_first(odd, ["k"], ["n"]))
+    assert rows(keep_first(odd, ["k"], ["n"])) == [("ａbc", 0), (None, 3)]
+
+
+@pytest.mark.parametrize("odd", [False, True])
+def test_order_fact_joins_every_spelling(spark, stub, odd):
+    def silver(table, *given):
+        named = [{**dict.fromkeys(SILVER[table].fieldNames()), **g} for g in given]
+        return collate(spark.createDataFrame([tuple(r.values()) for r in named], SILVER[table]))
+    order = "ａ 1" if odd else "a 1"
+    wh = stub(spark, {
+        "sales_ord_details": silver("sales_ord_details", dict(order_id=order, customer_id="C1"),
+                                    dict(order_id="b", customer_id=None), dict(order_id=None, customer_id="c1  ")),
+        "sales_ord_items": silver("sales_ord_items", dict(order_id="A 1 "), dict(order_id="a 1"), dict(order_id=None)),
+        "finance_ord_payments": silver("finance_ord_payments", dict(order_id="A 1"), dict(order_id="a 1  ")),
+        "crm_cust_reviews": silver("crm_cust_reviews", dict(order_id="A 1", review_id="r")),
+        "crm_cust_info": silver("crm_cust_info", dict(customer_id="c1", customer_unique_id="U")),
+    })
+    fact = gold.fact_sales(wh, keyed=False)
+    assert rows(fact.select("order_id", "customer_unique_id", "total_items", "payment_count", "review_id")) == \
+        sorted([(order, "U", 2, 2, "r"), ("b", None, 0, None, "n/a"), (None, "U", 0, None, "n/a")], key=repr)
+    assert is_collated(fact.schema["order_id"].dataType)
+    assert ("collationkey(order_id" in plan(fact)) == odd and "collationkey(customer_id" not in plan(fact)
