@@ -6,11 +6,12 @@ import os
 import random
 import tempfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tidewater.sources.files import scan_quoted
-from tidewater.sources.quoted import begin_inside, ends_inside, quoted_records
+from tidewater.sources.quoted import Lines, begin_inside, ends_inside, quoted_records
 
 SCHEMA = StructType([StructField(c, StringType()) for c in "abc"])
 
@@ -104,3 +105,18 @@ def test_states():
 
 def test_empty_delivery(spark):
     assert scan_quoted(spark, deliver("a,b,c\n", ""), SCHEMA).count() == 0
+
+
+@pytest.mark.parametrize("alphabet", ['a,"', 'a,""\r', '",', 'é,"x'])
+def test_lines_at_once_as_one_by_one(monkeypatch, alphabet):
+    monkeypatch.setattr(Lines, "STEP", 5)
+    rng = random.Random(alphabet)
+    for _ in range(300):
+        texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 6))) for _ in range(12)]
+        for kind in (pa.string(), pa.large_string()):
+            for state in (False, True):
+                want, at = [], state
+                for t in texts[3:]:
+                    at = ends_inside(t, at)
+                    want.append(at)
+                assert Lines(pa.array(texts, kind).slice(3)).after(state).tolist() == want
