@@ -6,10 +6,11 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.operators import spread_evenly
-from tidewater.plans import gold
+from tidewater.operators import even_buckets, spread_evenly
+from tidewater.plans import gold, silver, warehouse
 from tidewater.plans.warehouse import MaterializedLayer, Warehouse, deal, load_silver
 from tidewater.sources import Buckets, LoadAudit, SnapshotTable
+from tidewater.sources.snapshots import Dealt
 
 SF = "/root/testdata/sf0.001"
 
@@ -103,3 +104,59 @@ def test_another_session_reads_the_buckets(spark):
     spark.sql(f"DROP TABLE {table._entry(table.version().folder)}")      # as if never entered here
     p = plan(table.read().groupBy("id").count())
     assert "Exchange" not in p and "Bucketed: true" in p
+
+
+def test_items_and_reviews_are_dealt_once(spark, layer, monkeypatch):
+    """Before the dedupe, in one shuffle, and nothing is staged for it."""
+    staged, plans = [], {}
+    monkeypatch.setattr(warehouse, "staging_path", lambda _spark, name: staged.append(name) or folder() + "/s")
+    write = SnapshotTable.write
+
+    def kept(self, df, *a, **k):
+        plans[self.path.rsplit("/", 1)[-1]] = plan(df)
+        return write(self, df, *a, **k)
+
+    monkeypatch.setattr(SnapshotTable, "write", kept)
+    wh, bronze, root = Warehouse(spark, SF), folder(), folder()
+    names = ("sales_ord_items", "crm_cust_reviews")
+    for name in names:
+        SnapshotTable(spark, f"{bronze}/{name}").replace(wh.bronze(name))
+    monkeypatch.setattr(warehouse.silver_tf, "TRANSFORMS", {n: warehouse.silver_tf.TRANSFORMS[n] for n in names})
+    load_silver(spark, bronze, root, buckets=4)
+    assert staged == []
+    for name in names:
+        assert re.findall(r"Exchange (\w+\(.*?\))", plans[name]) == ["hashpartitioning(order_id, 4)"]
+        table = SnapshotTable(spark, f"{root}/{name}")
+        v, want = table.version(), wh.silver(name)
+        assert v.buckets == Buckets("order_id", 4) and v.rows == want.count()
+        assert table.read().exceptAll(want).isEmpty()
+        files = spark.read.parquet(v.folder).select(F.input_file_name().alias("f"), "order_id")
+        per = files.groupBy("order_id").agg(F.count_distinct("f").alias("n"))
+        assert files.select("f").distinct().count() == 4 and per.where("n > 1").isEmpty()
+
+
+def test_hot_orders_are_folded_before_they_are_dealt(spark):
+    """A third of the items are copies in one order: no early deal, the same rows."""
+    rows = spark.range(360_000).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise(F.col("id").cast("string")).alias("order_id"),
+        (F.col("id") % 7).cast("int").alias("order_item_id"), F.lit("p").alias("product_id"),
+        F.lit("s").alias("seller_id"), F.lit("2018-01-01 10:00:00").alias("shipping_limit_date"),
+        F.lit(1).cast("decimal(10,2)").alias("price"), F.lit(1).cast("decimal(10,2)").alias("freight_value"))
+    assert not even_buckets(rows, "order_id", 16)
+    df, buckets = warehouse.silver_rows("sales_ord_items", rows, 16)
+    assert type(buckets) is Buckets and df.count() == 240_001
+    early = warehouse.silver_rows("sales_ord_items", rows.where("order_id <> 'a'"), 16)
+    assert type(early[1]) is Dealt and early[0].count() == 240_000
+
+
+def test_the_first_item_that_has_a_number_stays(spark):
+    rows = spark.createDataFrame([("a", None), ("a", 2), ("a", 1), ("b", None), (None, 3), (None, 2)],
+                                 "order_id string, order_item_id int").select(
+        "*", F.lit("p").alias("product_id"), F.lit(None).cast("string").alias("seller_id"),
+        F.lit("2018-01-01 10:00:00").alias("shipping_limit_date"),
+        F.lit(1).cast("decimal(10,2)").alias("price"), F.lit(1).cast("decimal(10,2)").alias("freight_value"))
+    df, buckets = warehouse.silver_rows("sales_ord_items", rows, 4)
+    want = silver.order_items(rows)
+    assert isinstance(buckets, Dealt) and df.columns == want.columns
+    assert sorted(map(str, df.collect())) == sorted(map(str, want.collect()))
+    assert {(r.order_id, r.order_item_id) for r in df.collect()} == {("a", 1), ("b", None), (None, 2)}

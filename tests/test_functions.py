@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -107,3 +108,25 @@ def test_date_styles(spark):
         df = spark.createDataFrame([(k, 1) for k in cases], "t string, n int")
         got = {r.t: None if r.p is None else str(r.p) for r in df.select("t", parse("t").alias("p")).collect()}
         assert got == cases
+
+
+def test_dates_in_the_plain_layout_are_those_of_the_others(spark):
+    """Cut by place or rearranged: the same dates, and null for the same text."""
+    from tidewater.functions.dates import DAY_FIRST, _try_parse
+    dates = ("02-10-2017", "31-02-2017", "29/02/2016", "29.02.2015", "02.10-2017", "2-1-2017", "01-13-2017",
+             "00-00-0000", "2017-10-02", "02 10 2017", "02-10-17", "x")
+    times = ("", " ", " 10:56", " 24:00", " 10:60", " 9:5", "T10:56", "  10:56", " 10:56:07.5", "\n", " 10:56\n", " 10")
+    df = spark.createDataFrame([(d + t,) for d in dates for t in times] + [(None,)], "s string")
+    slow = _try_parse(F.trim("s"), DAY_FIRST, "$3-$2-$1")
+    got = df.select("s", try_parse_day_first("s").cast("string").alias("a"), slow.cast("string").alias("b"))
+    assert got.where("NOT a <=> b").collect() == [] and got.where("a IS NOT NULL").count() > 30
+
+
+def test_order_dates_are_compiled(spark):
+    """The JVM leaves methods of 8000 bytes and more to its interpreter."""
+    from tidewater.plans import silver
+    from tidewater.schemas import BRONZE
+    df = silver.orders(spark.createDataFrame([], BRONZE["sales_ord_details"]))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    text = df._jdf.queryExecution().explainString(mode)
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text))) < 8000
