@@ -46,6 +46,43 @@ def test_letters_beyond_ascii_and_a_turned_over_memory(monkeypatch):
         assert coder.count([t.encode() for t in some]) == [len(w) for w in want]
 
 
+def test_distinct_letters_are_given_to_the_library_once():
+    from tidewater.llm.token_blocks import WordEncoder
+    from tokenizers import Tokenizer
+    tokenizer, coder = Tokenizer.from_file(PATH), WordEncoder(PATH)
+    given = []
+    ask = coder.memory.encode
+    coder.memory.encode = lambda words: given.extend(words.to_pylist()) or ask(words)
+    texts = ["Straße Word, word", "WORD. word!!! STRASSE straße; \u0391\u03a3 \u03b1\u03c3", "", " \t", "word"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert coder.encode([t.encode() for t in texts]) == want
+    assert coder.encode([t.encode() for t in texts]) == want
+    assert sorted(given) == ["strasse", "straße", "word", "\u03b1\u03c3"]
+    assert coder.encode([]) == [] and coder.count([b"", b"Word"]) == [0, len(want[4])]
+
+
+def test_bytes_that_are_no_text_and_a_model_without_a_suffix():
+    from tidewater.llm.token_blocks import WordEncoder
+    from tokenizers import Tokenizer
+    tokenizer, coder = Tokenizer.from_file(PATH), WordEncoder(PATH)
+    coder.memory.last[:] = True
+    texts = [b"caf\xe9 d\xc3,", b"\x00 tokenization. \xff\xfe; internationally", b"\xed\xa0\x80a b"]
+    words = [[w.decode("utf-8", "replace") for w in t.split()] for t in texts]
+    assert coder.encode(texts) == [
+        [i for w in t for i in tokenizer.encode(w, add_special_tokens=False).ids] for t in words]
+
+
+def test_texts_are_handed_over_by_their_bytes(monkeypatch):
+    import pyarrow as pa
+    from tidewater.llm import common
+    monkeypatch.setattr(common, "SLICE_BYTES", 10)
+    texts = [b"", b"x" * 4, b"x" * 6, b"x" * 25, b"", b"x", b"x" * 10, b""]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])
+    got = [b.column(0).to_pylist() for b in common.text_slices(batch, 0)]
+    assert got == [texts[:3], texts[3:4], texts[4:6], texts[6:]]
+    assert not list(common.text_slices(batch.slice(0, 0), 0))
+
+
 def test_file_index(odd):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(PATH)

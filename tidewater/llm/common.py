@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Rows handed to a Python helper at a time, so that the Python objects of a
 #: batch stay small next to its Arrow buffers.
 SLICE_ROWS = 128
+#: Bytes of text handed to Arrow's functions at a time.
+SLICE_BYTES = 8 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +54,17 @@ def slices(batch: pa.RecordBatch, rows: int = SLICE_ROWS) -> Iterator[pa.RecordB
         yield batch.slice(at, rows)
 
 
+def text_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices with about ``SLICE_BYTES`` of binary ``column`` each, a row at least."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy().astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        most = SLICE_BYTES + (ends[at - 1] if at else 0)
+        until = max(at + 1, int(np.searchsorted(ends, most, "right")))
+        yield batch.slice(at, until - at)
+        at = until
+
+
 def splitmix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser, elementwise on uint64 (wrapping)."""
     x = x + np.uint64(0x9E3779B97F4A7C15)

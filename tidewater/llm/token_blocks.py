@@ -25,11 +25,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import slices, text_bytes
+from tidewater.llm.common import slices, text_bytes, text_slices
 from tidewater.session import staging_path
 
 BLOCK = 128
@@ -40,11 +41,13 @@ LAYOUT = ((0, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6)
           (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 _COUNT = np.array([c for c, _ in LAYOUT])
 _BITS = np.array([b for _, b in LAYOUT])
-#: Words whose ids a worker remembers before it lets go of those long unseen.
+#: Words whose ids a worker remembers before it lets go of those not met again.
 CACHE_WORDS = 250_000
+#: Words that the library is given at a time.
+UNITS = 4096
 #: Marks that may end a word; those that special tokens or contractions use
 #: aren't among them.
-_MARKS = b".,;:!?*%$&#)"
+_MARKS = ".,;:!?*%$&#)"
 SEGMENTS = ("part int, first_id long, doc_ids array<long>, lengths array<int>, n_ids long, "
             "words binary, blocks binary")
 
@@ -139,63 +142,86 @@ def decode_ids(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
     return value[place < size[block[word]]]
 
 
-def letter_table() -> dict[int, str]:
-    """Latin, Greek and Cyrillic letters, by code point, as the byte-level
-    model sees them lowered. Each is its own composed form, no two of them
-    compose with each other, and each lowers to a single letter."""
-    from tokenizers.pre_tokenizers import ByteLevel
-    level = ByteLevel(add_prefix_space=False, use_regex=False)
-    table = {}
-    for code in range(0x41, 0x530):
-        char = chr(code)
-        low = char.lower()
-        if (unicodedata.category(char) in ("Ll", "Lu") and len(low) == 1
-                and unicodedata.is_normalized("NFC", char)):
-            table[code] = level.pre_tokenize_str(low)[0][0]
-    return table
-
-
-class WordMemory(dict):
-    """The ids of words, as the little-endian bytes of 32-bit numbers. A word
-    that isn't held is encoded when it is asked for."""
-
-    def __init__(self, tokenizer, past: dict[bytes, bytes]):
-        self.tokenizer, self.past = tokenizer, past
-        self.model = tokenizer.model.tokenize
-        self.table = letter_table()
-        self.letters = frozenset(map(chr, self.table)).issuperset
+def letter_table() -> list[int]:
+    """Latin, Greek and Cyrillic letters, as code points. Each is its own
+    composed form, no two of them compose with each other, and each lowers to
+    a single letter of the table, in Arrow as in Python."""
+    chars = list(map(chr, range(0x41, 0x530)))
+    letters = {c for c in chars if unicodedata.category(c) in ("Ll", "Lu")
+               and unicodedata.is_normalized("NFC", c)}
+    lowered = pc.utf8_lower(pa.array(chars)).to_pylist()
+    return [ord(c) for c, low in zip(chars, lowered, strict=True)
+            if c in letters and low in letters and low == c.lower()]
+
+
+class WordMemory:
+    """The ids of words, as the little-endian bytes of 32-bit numbers. Words
+    that aren't held are encoded together, when they are asked for."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.words, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
+        self.again = np.zeros(0, bool)
+
+    def find(self, words: pa.Array) -> pa.Array:
+        """The ids of each of the distinct ``words``."""
+        if len(self.words) > CACHE_WORDS:
+            self.turn()
+        place = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().copy()
+        new = np.flatnonzero(place < 0)
+        self.again[place[place >= 0]] = True
+        place[new] = len(self.words) + np.arange(len(new))
+        if len(new):
+            added = words.take(pa.array(new))
+            self.ids = pa.concat_arrays([self.ids, self.encode(added)])
+            self.words = pa.concat_arrays([self.words, added])
+            self.again = np.append(self.again, np.zeros(len(new), bool))
+        return self.ids.take(pa.array(place))
 
     def turn(self) -> None:
-        """Set aside what is held; what is met again is taken over."""
-        self.past = dict(self)
-        self.clear()
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.past.get(word)
-        if ids is None:
-            core = word.rstrip(_MARKS)
-            if core.isalpha():                 # A-Z and a-z alone
-                ids = self._unit(word, core, core.lower().decode())
-            else:
-                text = core.decode("utf-8", "replace")
-                if core and self.letters(text):
-                    ids = self._unit(word, core, text.translate(self.table))
-                else:                          # its marks may go on with what is before them
-                    ids = _id_bytes(self.tokenizer.encode(
-                        word.decode("utf-8", "replace"), add_special_tokens=False).ids)
-        self[word] = ids
-        return ids
-
-    def _unit(self, word: bytes, core: bytes, text: str) -> bytes:
-        """A run of letters of the table is a single unit of the library's
-        model, which is asked without the normaliser and the splitter."""
-        if core != word:
-            return self[core] + self[word[len(core):]]
-        return _id_bytes([t.id for t in self.model(text)])
-
-
-def _id_bytes(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+        """Keep what was met again since the last time."""
+        kept = pa.array(self.again)
+        self.words, self.ids = self.words.filter(kept), self.ids.filter(kept)
+        self.again = np.zeros(len(self.words), bool)
+
+    def encode(self, words: pa.Array) -> pa.Array:
+        coded = [self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids
+                 for w in words.cast(pa.binary()).to_pylist()]
+        return pa.array([np.array(ids, "<u4").tobytes() for ids in coded], pa.large_binary())
+
+
+class LetterMemory(WordMemory):
+    """The ids of runs of lowered letters of the table. Each is a single unit
+    of the library's model, so many are given to it at once, without the
+    normaliser and the splitter; the model marks the end of each by a suffix."""
+
+    def __init__(self, tokenizer):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
+        super().__init__(tokenizer)
+        self.table = letter_table()
+        self.units = Tokenizer(tokenizer.model)
+        self.units.pre_tokenizer = Sequence([
+            Split(" ", "removed"), ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocab = tokenizer.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        suffix = tokenizer.model.end_of_word_suffix or ""
+        self.last[[i for piece, i in vocab.items() if piece.endswith(suffix)]] = True
+
+    def encode(self, words: pa.Array) -> pa.Array:
+        coded = []
+        for at in range(0, len(words), UNITS):
+            some = words.slice(at, UNITS)
+            text = " ".join(some.to_numpy(zero_copy_only=False))
+            ids = np.array(self.units.encode_batch_fast([text], add_special_tokens=False)[0].ids,
+                           "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(some):
+                coded.append(pa.Array.from_buffers(pa.large_binary(), len(some), [
+                    None, pa.py_buffer(np.append(0, 4 * ends).astype("<i8")), pa.py_buffer(ids)]))
+            else:                                  # a model without such a suffix
+                coded.append(super().encode(some))
+        return pa.concat_arrays(coded)
 
 
 class WordEncoder:
@@ -203,25 +229,53 @@ class WordEncoder:
     composes text, splits it into runs of letters, single digits and runs of
     other marks, and drops white space. So its pieces never cross ASCII white
     space, nor the place between a letter and the marks that end a word, and
-    each distinct part is given to the library once and remembered. A memory
-    of ``CACHE_WORDS`` words is set aside and a new one begun."""
+    each distinct part is given to the library once and remembered. Arrow finds
+    the distinct words, so the memories are asked once for all texts given
+    together. Of a memory of more than ``CACHE_WORDS`` words those met again
+    are kept."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.memory = WordMemory(Tokenizer.from_file(path), {})
-
-    def arrays(self, texts: list[bytes]) -> list[np.ndarray]:
+        tokenizer = Tokenizer.from_file(path)
+        self.memory, self.others = LetterMemory(tokenizer), WordMemory(tokenizer)
+        letters = "".join(map(chr, self.memory.table))
+        self.parts = f"^(?P<core>[{letters}]+)(?P<marks>[{_MARKS}]*)$"
+
+    def coded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in UTF-8, where those of each begin and the last's end)."""
+        split = pc.ascii_split_whitespace(texts.cast(pa.binary()).view(pa.string()))
+        words = split.flatten().dictionary_encode()
+        ids = self._words(words.dictionary).take(words.indices)
+        ends = np.frombuffer(ids.buffers()[1], "<i8", len(ids) + 1) // 4
+        bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return np.frombuffer(ids.buffers()[2] or b"", "<u4", int(bounds[-1])), bounds
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words: those of their letters, then those of the
+        marks that end them. The marks of any other word may go on with what
+        is before them."""
+        parts = pc.extract_regex(words, self.parts)
+        core, marks = parts.flatten()              # null where the word is another
+        core, marks = pc.utf8_lower(core).dictionary_encode(), marks.dictionary_encode()
+        ids = pc.binary_join_element_wise(
+            self.memory.find(core.dictionary).take(core.indices),
+            self.others.find(marks.dictionary).take(marks.indices),
+            pa.scalar(b"", pa.large_binary()))
+        other = parts.is_null()
+        return pc.replace_with_mask(ids, other, self.others.find(words.filter(other)))
+
+    def arrays(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
-        if len(self.memory) > CACHE_WORDS:
-            self.memory.turn()
-        get = self.memory.__getitem__
-        return [np.frombuffer(b"".join(map(get, t.split())), "<u4") for t in texts]
+        ids, bounds = self.coded(texts)
+        return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
     def encode(self, texts: list[bytes]) -> list[list[int]]:
-        return [ids.tolist() for ids in self.arrays(texts)]
+        return [ids.tolist() for ids in self.arrays(pa.array(texts, pa.binary()))]
 
-    def count(self, texts: list[bytes]) -> list[int]:
-        return [len(ids) for ids in self.arrays(texts)]
+    def count(self, texts: list[bytes] | pa.Array) -> list[int]:
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.binary())
+        return np.diff(self.coded(texts)[1]).tolist()
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -258,8 +312,8 @@ def _packer(path: str, end_id: int) -> Callable:
                 names=["part", "first_id", "doc_ids", "lengths", "n_ids", "words", "blocks"])
 
         for whole in batches:
-            for batch in slices(whole, 64):
-                coded = encoder.arrays(batch.column(1).to_pylist())
+            for batch in text_slices(whole, 1):
+                coded = encoder.arrays(batch.column(1))
                 for doc, found in zip(batch.column(0).to_pylist(), coded, strict=True):
                     doc_ids.append(doc)
                     lengths.append(len(found) + 1)

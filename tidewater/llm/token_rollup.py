@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import slices, stage, text_bytes
+from tidewater.llm.common import slices, stage, text_bytes, text_slices
 from tidewater.llm.token_blocks import word_encoder
 
 GROUP = ["source", "lang", "tokenizer"]
@@ -160,10 +160,9 @@ def _word_counter(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
         for whole in batches:
-            for batch in slices(whole, 64):
+            for batch in text_slices(whole, 3):
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:3], pa.array(encoder.count(batch.column(3).to_pylist()),
-                                                  pa.int64())],
+                    [*batch.columns[:3], pa.array(encoder.count(batch.column(3)), pa.int64())],
                     names=["doc_id", "source", "lang", "tokens"])
     return run
 
