@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 
 from tidewater.llm.lattice_lm import MARK, Lattice, first_weights, lattice_scores, load_pieces
-from tidewater.llm.secret_grammar import find_secrets, learn_automata
+from tidewater.llm.secret_grammar import Automaton, find_secrets, learn_automata
 from tidewater.llm.toxicity import drop_toxic, fit_nnpu, score_toxicity, train_toxicity
 
 from .conftest import ODD
@@ -85,6 +85,60 @@ def test_rare_formats_count_when_they_can_be_told(spark):
     assert q not in made.suffix.values() or math.exp(made.step[q]["d"][0]) > 0.9
 
 
+class PlainMerging(Automaton):
+    """Each blue state against each red one."""
+
+    def _merge_states(self):
+        red = [0]
+        while blue := sorted((t, q, s) for q in red for s, (_, t) in self.out[q].items()
+                             if t is not None and t not in red):
+            state, parent, symbol = blue[0]
+            found = next((q for q in red if self._compatible(q, state)), None)
+            if found is None:
+                red.append(state)
+            else:
+                self.out[parent][symbol][1] = found
+                self._fold(found, state)
+        self.states = red
+
+
+def tree_counts(seed, values, depth, symbols="dhlHU", share=0.6):
+    """Counts as ``learn_automata`` gives them, of random strings; a share of the prefixes are states."""
+    r, counts, after = random.Random(seed), {}, {}
+    for _ in range(values):
+        value = "".join(r.choice(symbols[:r.choice((1, 2, len(symbols)))]) for _ in range(r.randint(0, depth)))
+        n = r.choice((1, 3, 40, 4000))
+        for k in range(len(value) + 1):
+            was, ended = counts.get(value[:k], (0, 0))
+            counts[value[:k]] = was + n, ended + n * (k == len(value))
+        for at, c in [*((k, value[k:k + 2]) for k in range(len(value))), *enumerate(value)]:
+            was, ended = after.get(c, (0, 0))
+            after[c] = was + n, ended + n * (len(c) == 1 and at == len(value) - 1)
+    counts.setdefault("", (0, 0))
+    states = {""} | {p[:k] for p in counts if r.random() < share for k in range(len(p) + 1)}
+    return {p: c for p, c in counts.items() if not p or p[:-1] in states}, states, after
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_states_are_merged_as_by_plain_pairs(seed):
+    given = tree_counts(seed, 20 + 9 * seed, 3 + seed % 8, "dhlHU"[:2 + seed % 4])
+    plain, got = PlainMerging(*given), Automaton(*given)
+    assert (got.states, got.out, got.step, got.stop) == (plain.states, plain.out, plain.step, plain.stop)
+
+
+def test_merging_doesnt_compare_all_pairs_of_states(monkeypatch):
+    calls, compatible = [0], Automaton._compatible
+
+    def counted(self, a, b):
+        calls[0] += 1
+        return compatible(self, a, b)
+    monkeypatch.setattr(Automaton, "_compatible", counted)
+    given = tree_counts(1, 900, 9)
+    automaton = Automaton(*given)
+    assert len(given[1]) > 1000 and len(automaton.states) > 100
+    assert calls[0] <= 2 * len(given[1])
+
+
 def test_secrets_odd(odd, make):
     assert all(r["spans"] == "" for r in find_secrets(odd).collect())
     assert find_secrets(make([])).count() == 0

@@ -26,11 +26,13 @@ every row, repeated or with a null id, gets its own result row.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -143,6 +145,53 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield emit()
 
 
+class _Shares:
+    """Of each state of an automaton, one row each, the shares of the end and of each
+    symbol, how far others may be from them, and the states that the symbols lead to."""
+
+    def __init__(self, automaton: Automaton):
+        self.of = automaton
+        symbols = sorted({s for edges in automaton.out for s in edges})
+        self.column = {s: i for i, s in enumerate(symbols)}
+        self.share = np.zeros((len(automaton.n), len(symbols) + 1))
+        self.bound = np.full(len(automaton.n), math.inf)    # nothing differs from an empty state
+        self.next = np.full((len(automaton.n), len(symbols)), -1)
+        for q in range(len(automaton.n)):
+            self.put(q)
+
+    def put(self, q: int) -> None:
+        of, leaving = self.of, self.of._leaving(q)
+        if leaving:
+            self.share[q, -1] = of.ended[q] / leaving
+            self.bound[q] = of.reach * leaving ** -0.5
+        for s, (count, to) in of.out[q].items():
+            if leaving:
+                self.share[q, self.column[s]] = count / leaving
+            if to is not None:
+                self.next[q, self.column[s]] = to
+
+    def near(self, among: np.ndarray, state: int) -> np.ndarray:
+        """Those of ``among`` that ``Automaton._compatible`` may find alike, every one of
+        them: compared step by step together, the last digits left to it."""
+        near = np.ones(len(among), bool)
+        todo = [(np.arange(len(among)), among, state)]
+        while todo:
+            which, a, b = todo.pop()
+            alive = near[which]
+            which, a = which[alive], a[alive]
+            apart = np.abs(self.share[a] - self.share[b]).max(axis=1)
+            alike = apart <= (self.bound[a] + self.bound[b]) * (1 + 1e-9)
+            near[which[~alike]] = False
+            which, a = which[alike], a[alike]
+            if len(which):
+                for column in np.flatnonzero(self.next[b] >= 0):
+                    to = self.next[a, column]
+                    both = (to >= 0) & (to != self.next[b, column])
+                    if both.any():
+                        todo.append((which[both], to[both], int(self.next[b, column])))
+        return among[near]
+
+
 class Automaton:
     """A probabilistic automaton learned by state merging from the counts of
     prefixes (tree states, and the open edges that leave them) and of what
@@ -164,7 +213,7 @@ class Automaton:
         for c, (n, _) in after.items():
             if len(c) == 2:
                 self.out[self.suffix[c[0]]][c[1]] = [n, None]
-        self.alpha = alpha
+        self.reach = math.sqrt(0.5 * math.log(2 / alpha))
         self._merge_states()
         self._settle()
 
@@ -177,8 +226,7 @@ class Automaton:
     def _differ(self, k1: int, n1: int, k2: int, n2: int) -> bool:
         if not n1 or not n2:
             return False
-        bound = math.sqrt(0.5 * math.log(2 / self.alpha)) * (n1 ** -0.5 + n2 ** -0.5)
-        return abs(k1 / n1 - k2 / n2) > bound
+        return abs(k1 / n1 - k2 / n2) > self.reach * (n1 ** -0.5 + n2 ** -0.5)
 
     def _leaving(self, q: int) -> int:
         return self.ended[q] + sum(c for c, _ in self.out[q].values())
@@ -199,10 +247,14 @@ class Automaton:
                     todo.append((ta, tb))
         return True
 
-    def _fold(self, a: int, b: int) -> None:
+    def _fold(self, a: int, b: int) -> tuple[set[int], list[tuple[int, int, str]]]:
+        """Add ``b`` and what follows it to ``a``: the states that count more now, and
+        the edges (to, from, symbol) that they have now and hadn't before."""
+        grown, moved = set(), []
         todo = [(a, b)]
         while todo:
             a, b = todo.pop()
+            grown.add(a)
             self.n[a] += self.n[b]
             self.ended[a] += self.ended[b]
             for s, (count, to) in self.out[b].items():
@@ -210,27 +262,54 @@ class Automaton:
                 mine[0] += count
                 if mine[1] is None:
                     mine[1] = to
+                    if to is not None:
+                        moved.append((to, a, s))
                 elif to is not None and mine[1] != to:
                     todo.append((mine[1], to))
+        return grown, moved
 
     def _merge_states(self) -> None:
+        """Blue states, the children of red ones, in the order of their numbers: each
+        is merged into the first red state that it's compatible with, else it is red
+        itself. Red states are compared with it many at a time (``_Shares``)."""
         if not self.n:
             return
-        red = [0]
-        while True:
-            blue = sorted((t, q, s) for q in red for s, (_, t) in self.out[q].items()
-                          if t is not None and t not in red)
-            if not blue:
-                break
-            state, parent, symbol = blue[0]
-            for q in red:
-                if self._compatible(q, state):
-                    self.out[parent][symbol][1] = q
-                    self._fold(q, state)
-                    break
-            else:
-                red.append(state)
-        self.states = red
+        shares = _Shares(self)
+        red, is_red = np.zeros(len(self.n), int), np.zeros(len(self.n), bool)
+        size = 0
+        blue: list[tuple[int, int, str]] = []       # a blue state has one edge that leads to it
+
+        def redden(q: int) -> None:
+            nonlocal size
+            red[size], is_red[q], size = q, True, size + 1
+            for s, (_, t) in self.out[q].items():
+                if t is not None:
+                    heapq.heappush(blue, (t, q, s))
+
+        def first_compatible(q: int) -> int | None:
+            at, most = 0, 64
+            while at < size:
+                for r in shares.near(red[at:min(at + most, size)], q).tolist():
+                    if self._compatible(r, q):
+                        return r
+                at, most = at + most, 4 * most
+            return None
+
+        redden(0)
+        while blue:
+            state, parent, symbol = heapq.heappop(blue)
+            found = first_compatible(state)
+            if found is None:
+                redden(state)
+                continue
+            self.out[parent][symbol][1] = found
+            grown, moved = self._fold(found, state)
+            for q in {parent, *grown}:
+                shares.put(q)
+            for edge in moved:
+                if is_red[edge[1]]:
+                    heapq.heappush(blue, edge)
+        self.states = red[:size].tolist()
 
     def _settle(self) -> None:
         """Log probabilities, ``UNSEEN`` of them dealt evenly; an open edge and
