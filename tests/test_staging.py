@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater import session
-from tidewater.plans import gold
-from tidewater.sources import Buckets, SnapshotTable
+from tidewater.operators import extend_key_map, number_first, with_keys
+from tidewater.plans import gold, registry, warehouse
+from tidewater.sources import Buckets, SnapshotTable, read_table
 
 DATES = ("order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
          "order_delivered_customer_date")
@@ -119,3 +120,62 @@ def test_staging_dropped_leaves_what_was_there(spark):
         assert not os.path.exists(innermost.removeprefix("file:"))
         assert os.path.exists(inner.removeprefix("file:"))
     assert not os.path.exists(inner.removeprefix("file:")) and spark.read.parquet(kept).count() == 3
+
+
+def customers(spark, *ids):
+    return spark.createDataFrame([(f"c{i}", u, "z", "City", "st") for i, u in enumerate(ids)],
+                                 "customer_id string, customer_unique_id string, customer_zip_code string, "
+                                 "customer_city string, customer_state string")
+
+
+def test_gold_builds_leave_nothing_staged(spark, monkeypatch, staged_now):
+    monkeypatch.setattr(warehouse, "GOLD_MODELS", ("dim_customer",))
+    root = tempfile.mkdtemp(prefix="tw-test-")
+    silver = SnapshotTable(spark, f"{root}/silver/crm_cust_info")
+    session.staged(spark.range(1), session.staging_path(spark, "other"))
+    for ids, keys in ((("u3", "u1", None, "u1"), {None: 1, "u1": 2, "u3": 3}),
+                      (("u2", "u3", "u1", None), {None: 1, "u1": 2, "u3": 3, "u2": 4})):
+        silver.replace(customers(spark, *ids))
+        warehouse.build_gold(spark, f"{root}/silver", f"{root}/gold", views=False)
+        built = read_table(spark, f"{root}/gold/dim_customer")
+        assert {r.customer_unique_id: r.customer_key for r in built.collect()} == keys
+        assert built.columns[0] == "customer_key" and staged_now() == ["other"]
+        kept = read_table(spark, f"{root}/gold/_keys/dim_customer")
+        assert {r.customer_unique_id: r.customer_key for r in kept.collect()} == keys
+
+
+def test_first_rows_are_numbered_without_a_join(spark):
+    def table():
+        return SnapshotTable(spark, tempfile.mkdtemp(prefix="tw-test-") + "/map")
+
+    rows = spark.createDataFrame([(i * 7 % 50, None if i % 2 else "x", f"v{i}") for i in range(50)],
+                                 "a int, b string, v string")
+    rows = session.staged(rows.unionByName(rows.limit(0)), session.staging_path(spark, "rows"))
+    ours, plain = table(), table()
+    got = number_first(ours, rows, ["a", "b"], "k")
+    want = with_keys(rows, extend_key_map(plain, rows, ["a", "b"], "k"), ["a", "b"], "k")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.columns == want.columns
+    assert sorted(map(str, ours.read().collect())) == sorted(map(str, plain.read().collect()))
+    assert number_first(ours, rows, ["a", "b"], "k") is None        # the map has members
+    twice = session.staged(rows.unionByName(rows.where("a = 3")), session.staging_path(spark, "rows"))
+    assert number_first(table(), twice, ["a", "b"], "k") is None    # a member with two rows
+
+
+def test_deliveries_go_when_they_are_loaded(spark, monkeypatch):
+    class Loaded(Exception):
+        pass
+
+    seen = []
+
+    def export(wh, src):
+        os.makedirs(src.removeprefix("file:"))
+        seen.append(src.removeprefix("file:"))
+
+    def load_silver(*_):
+        raise Loaded([os.path.isdir(s) for s in seen])
+    monkeypatch.setattr(warehouse, "export_sources", export)
+    monkeypatch.setattr(warehouse, "load_bronze", lambda _spark, src, _bronze: seen.append(src.removeprefix("file:")))
+    monkeypatch.setattr(warehouse, "load_silver", load_silver)
+    with pytest.raises(Loaded, match="False, False"):
+        registry.QUERIES["a8_published_layers"](spark, "/nowhere")
+    assert seen[0] == seen[1]
